@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from fundloom.catalog.registry import ORACLES, QUERIES
 
 _MODULES = [
-    "sources", "scalars",
+    "sources", "scalars", "joins", "dedup", "coverage", "accuracy", "profile", "timeseries", "documents",
 ]
 for _name in _MODULES:
     import_module(f"fundloom.catalog.{_name}")

@@ -135,7 +135,7 @@ view(
       CAST(last_day(CAST(o_orderdate AS DATE)) AS DATE) AS month_end,
       CAST(o_orderdate AS DATE) AS filing_date,
       CAST(last_day(CAST(o_orderdate AS DATE)) AS DATE) AS report_period,
-      CASE WHEN o_custkey % 13 <> 0 THEN round(o_totalprice / 1e7, 8) END AS "return",
+      CASE WHEN o_custkey % 13 <> 0 THEN o_totalprice / 1e7 END AS "return",
       o_orderkey AS accession, CAST(o_orderpriority[1] AS INTEGER) AS position
     FROM orders""",
 )

@@ -229,11 +229,12 @@ def finite_check(spark, sf):
 
 @query(
     "extreme_return_flag",
-    over(["filings"], """SELECT accession, "return" * 20 > 0.5 OR "return" * 20 < -0.5 AS is_extreme FROM filings"""),
+    over(["filings"], """SELECT accession, "return" * 20 > 0.5 OR "return" * 20 < -0.5 AS is_extreme FROM filings
+      WHERE "return" IS NOT NULL"""),
 )
 def extreme_return_flag(spark, sf):
     filed = views.filings(spark, sf).withColumn("scaled", F.col("return") * 20)
-    return filed.select("accession", S.extreme_return("scaled").alias("is_extreme"))
+    return filed.where(F.col("scaled").isNotNull()).select("accession", S.extreme_return("scaled").alias("is_extreme"))
 
 
 _GAPPED = ["class_id", "month_end", "return", "sales", "reinvest", "redemptions", "cash"]
@@ -263,9 +264,9 @@ def net_flow(spark, sf):
 
 @query(
     "prediction_error",
-    over(["scored"], f"""SELECT class_id, {d('month_end')}, {r('predicted_alpha - actual_alpha', 'prediction_error', 8)},
-      {r('abs(predicted_alpha - actual_alpha)', 'abs_error', 8)} FROM scored"""),
-    digits=8,
+    over(["scored"], f"""SELECT class_id, {d('month_end')}, {r('predicted_alpha - actual_alpha', 'prediction_error', 10)},
+      {r('abs(predicted_alpha - actual_alpha)', 'abs_error', 10)} FROM scored"""),
+    digits=10,
 )
 def prediction_error(spark, sf):
     out = joins.prediction_error(views.predictions_vs_actual(spark, sf))

@@ -297,8 +297,8 @@ def _factor_files(spark, sf, columns, momentum: bool = False):
 @query(
     "scan_factor_text",
     over(["factors"], f"SELECT {d('month_end')}, " + ", ".join(
-        r(f"{c} * 100", c, 7) for c in factor_source.FIVE) + " FROM factors"),
-    digits=7,
+        r(f"coalesce({c} * 100, -99.99)", c, 8) for c in factor_source.FIVE) + " FROM factors"),
+    digits=8,
 )
 def scan_factor_text(spark, sf):
     return _factor_files(spark, sf, factor_source.FIVE)
@@ -307,8 +307,8 @@ def scan_factor_text(spark, sf):
 @query(
     "build_factor_panel",
     over(["factors"], f"SELECT {d('month_end')}, " + ", ".join(
-        r(c, c, 7) for c in factor_source.MONTHLY) + " FROM factors"),
-    digits=7,
+        r(c, c, 10) for c in factor_source.MONTHLY) + " FROM factors"),
+    digits=10,
 )
 def build_factor_panel(spark, sf):
     five = _factor_files(spark, sf, factor_source.FIVE)
@@ -316,7 +316,7 @@ def build_factor_panel(spark, sf):
     return factor_source.build_factor_panel(five, momentum, missing_to_null=True)
 
 
-def _index_documents(spark, sf) -> DataFrame:
+def index_documents(spark, sf) -> DataFrame:
     """A filing index per customer: parallel arrays of 1 to 9 filings, built from the row's own values."""
     key = F.col("c_custkey")
     at = F.sequence(F.lit(0), F.pmod(key, F.lit(9)).cast("int"))
@@ -363,7 +363,7 @@ view(
       WHERE starts_with(upper(form), 'NPORT-P') AND filing_date >= '2001-06-30'"""),
 )
 def scan_filing_index(spark, sf):
-    return filings.scan_filing_index(_index_documents(spark, sf), "2001-06-30")
+    return filings.scan_filing_index(index_documents(spark, sf), "2001-06-30")
 
 
 @query(
@@ -380,7 +380,7 @@ def scan_filing_index(spark, sf):
     ),
 )
 def latest_prospectus_by_tier(spark, sf):
-    return filings.latest_prospectus_by_tier(_index_documents(spark, sf))
+    return filings.latest_prospectus_by_tier(index_documents(spark, sf))
 
 
 def _registrants(spark, sf) -> DataFrame:
@@ -407,7 +407,7 @@ def registrants_flatten(spark, sf):
     return joins.registrants_flatten(_registrants(spark, sf))
 
 
-def _quarters(spark, sf) -> DataFrame:
+def quarters(spark, sf) -> DataFrame:
     span = views.table(spark, sf, "orders").agg(
         F.min("o_orderdate").cast("date").alias("first"), F.max("o_orderdate").cast("date").alias("last")
     )
@@ -424,7 +424,7 @@ view(
 
 @query("quarters_available", over(["quarters"], "SELECT quarter FROM quarters"))
 def quarters_available(spark, sf):
-    return _quarters(spark, sf)
+    return quarters(spark, sf)
 
 
 @query(
@@ -436,7 +436,7 @@ def quarters_available(spark, sf):
       WHERE closes >= DATE '1996-06-02' AND opens <= DATE '1999-12-15'"""),
 )
 def quarter_overlap_filter(spark, sf):
-    return filings.quarter_overlap_filter(_quarters(spark, sf), "1996-06-02", "1999-12-15")
+    return filings.quarter_overlap_filter(quarters(spark, sf), "1996-06-02", "1999-12-15")
 
 
 _PANEL_OUT = f"""class_id, {d('month_end')}, {r('"return"', 'return', 6)}, {r('total_investments', digits=4)}"""

@@ -129,7 +129,7 @@ def filings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.last_day(F.to_date("o_orderdate")).alias("month_end"),
         F.to_date("o_orderdate").alias("filing_date"),
         F.last_day(F.to_date("o_orderdate")).alias("report_period"),
-        F.when(key % 13 != 0, F.round(F.col("o_totalprice") / 1e7, 8)).alias("return"),
+        F.when(key % 13 != 0, F.col("o_totalprice") / 1e7).alias("return"),
         F.col("o_orderkey").alias("accession"),
         F.substring("o_orderpriority", 1, 1).cast("int").alias("position"),
     )
