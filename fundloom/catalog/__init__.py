@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from fundloom.catalog.registry import ORACLES, QUERIES
 
 _MODULES = [
-    "sources", "scalars", "joins", "dedup", "coverage", "accuracy", "profile", "timeseries", "documents",
+    "sources", "scalars", "joins", "dedup", "coverage", "accuracy", "profile", "timeseries",
+    "documents", "features", "models", "portfolio", "scoring", "jobs",
 ]
 for _name in _MODULES:
     import_module(f"fundloom.catalog.{_name}")

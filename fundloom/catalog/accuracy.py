@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from fundloom.catalog.registry import d, over, query, r
 from fundloom.operators import accuracy, ordering
 from fundloom.plans import views
-from fundloom.session import staging_path
+from fundloom.session import materialize, staging_path
 from fundloom.sources import sinks
 
 P, T = "predicted_alpha", "actual_alpha"
@@ -131,7 +131,7 @@ def describe_by_month(spark, sf):
     digits={"*": 8, "skewness": 6, "kurtosis": 6},
 )
 def distribution_moments(spark, sf):
-    return accuracy.distribution_moments(views.predictions(spark, sf), E_)
+    return accuracy.distribution_moments(materialize(views.predictions(spark, sf).select(E_)), E_)
 
 
 _SUMMARY = f"""count(*) AS total_predictions, count(DISTINCT class_id) AS unique_funds, {d('min(month_end)', 'start')},
@@ -154,7 +154,7 @@ def _model_corr(m: str) -> str:
     digits=8,
 )
 def prediction_report(spark, sf):
-    pred = views.predictions(spark, sf).where(F.col(E_).isNotNull())
+    pred = materialize(views.predictions(spark, sf).where(F.col(E_).isNotNull()))
     report = accuracy.prediction_report(pred, MODELS)
     models = [m.removesuffix("_prediction") for m in MODELS]
     parts = {"mean": "mean", "std": "std", "correlation": "correlation_with_ensemble"}
@@ -166,7 +166,7 @@ def prediction_report(spark, sf):
 
 @query("sink_report_json")
 def sink_report_json(spark, sf):
-    pred = views.predictions(spark, sf).where(F.col(E_).isNotNull())
+    pred = materialize(views.predictions(spark, sf).where(F.col(E_).isNotNull()))
     report = accuracy.prediction_report(pred, MODELS)
     path = sinks.sink_report_json(
         report, staging_path(spark, "report"), config=F.struct(F.lit("mean").alias("ensemble_method"))
@@ -230,7 +230,7 @@ def _stats_sql(extra: str) -> str:
     digits=5,
 )
 def panel_summary_stats(spark, sf):
-    return accuracy.panel_summary_stats(views.characteristics(spark, sf), VARIABLES, digits=5)
+    return accuracy.panel_summary_stats(materialize(views.characteristics(spark, sf)), VARIABLES, digits=5)
 
 
 @query(
@@ -242,4 +242,4 @@ def panel_summary_stats(spark, sf):
     digits=5,
 )
 def scaling_evidence(spark, sf):
-    return accuracy.scaling_evidence(views.characteristics(spark, sf), VARIABLES)
+    return accuracy.scaling_evidence(materialize(views.characteristics(spark, sf)), VARIABLES)

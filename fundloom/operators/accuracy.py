@@ -10,6 +10,7 @@ from fundloom.functions.scalars import col, null_double
 from fundloom.functions.stats import (
     correlation, quantiles_wide, sample_excess_kurtosis, sample_skewness, unpivot_measures,
 )
+from fundloom.session import materialize
 
 PAIR = ["predicted_alpha", "actual_alpha"]
 
@@ -83,7 +84,7 @@ def accuracy_by_fund(df: DataFrame) -> DataFrame:
 
 
 def accuracy_by_fund_summary(df: DataFrame) -> DataFrame:
-    funds = accuracy_by_fund(df)
+    funds = materialize(accuracy_by_fund(df))
     spread = funds.agg(
         F.avg("correlation").alias("mean_correlation"),
         F.stddev_samp("correlation").alias("std_correlation"),
@@ -174,7 +175,9 @@ def pivot_error_matrix(df: DataFrame, months: Sequence[Column] | None = None) ->
 
 
 def panel_summary_stats(df: DataFrame, variables: Sequence[str], digits: int = 3) -> DataFrame:
-    """One row per variable: mean, median, deviation, counts and range, as in a summary table."""
+    """One row per variable: mean, median, deviation, counts and range, as in a summary table.
+
+    The frame is read three times; pass a scan or a materialized frame."""
     long = unpivot_measures(df, variables)
     moments = long.groupBy("variable").agg(
         F.avg("value").alias("mean"),

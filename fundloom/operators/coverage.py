@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fundloom.functions.scalars import col, months_spanned
 from fundloom.functions.stats import all_true, quantiles_wide, unpivot_measures
+from fundloom.session import materialize
 
 ALPHA = "realized alpha"
 
@@ -35,8 +36,8 @@ def coverage_by_fund(panel: DataFrame) -> DataFrame:
 
 
 def coverage_summary(panel: DataFrame) -> DataFrame:
-    """Distribution of coverage over the funds; `panel` is aggregated once per branch."""
-    funds = coverage_by_fund(panel)
+    """Distribution of coverage over the funds."""
+    funds = materialize(coverage_by_fund(panel))
     gaps = F.when(F.col("missing_months") > 0, F.col("missing_months"))
     summary = funds.agg(
         F.avg("coverage_pct").alias("mean_coverage"),
@@ -138,6 +139,7 @@ def months_before_alpha(panel: DataFrame) -> DataFrame:
         .where(F.col("first_alpha").isNotNull())
         .withColumn("months", months_spanned(F.col("first_month"), F.col("first_alpha")))
     )
+    per_fund = materialize(per_fund)
     spread = per_fund.agg(
         F.count(F.lit(1)).alias("funds"),
         F.avg("months").alias("mean_months"),

@@ -290,10 +290,14 @@ def value_added(panel: DataFrame, expenses: DataFrame, tna: DataFrame) -> DataFr
 
 def value_added_from(df: DataFrame, assets: str) -> DataFrame:
     by_month = Window.partitionBy("class_id").orderBy("month_end")
-    with_lag = df.withColumn("tna_lag", F.lag(assets).over(by_month))
+    return value_added_of(df.withColumn("tna_lag", F.lag(assets).over(by_month)))
+
+
+def value_added_of(df: DataFrame) -> DataFrame:
+    """(alpha - expense ratio) x lagged assets, null when the panel lacks one of the two."""
     if "net_expense_ratio" not in df.columns or "alpha_hat" not in df.columns:
-        return with_lag.withColumn("value_added", null_double())
-    return with_lag.withColumn(
+        return df.withColumn("value_added", null_double())
+    return df.withColumn(
         "value_added", (F.col("alpha_hat") - F.col("net_expense_ratio")) * F.col("tna_lag")
     )
 

@@ -15,7 +15,7 @@ def global_positions(df: DataFrame, order: Sequence[Column], name: str = "positi
     """0-based place of every row in `order`, which should be total.
 
     The range partitioning splits even a heavily repeated leading key as long as the later columns tell
-    its rows apart. The sorted rows are checkpointed, so the counts that give each task its offset and the
+    its rows apart. The sorted rows are materialized, so the counts that give each task its offset and the
     rows that receive it come from the same files, also after an executor is lost.
     """
     ordered = (

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from fundloom.operators import dedup, joins, profile, regression, timeseries
 
@@ -29,22 +29,20 @@ def build_panel(
 ) -> DataFrame:
     """Filings to the published panel.
 
-    Class windows (volatility, regression, lags) and the regression join all key on the class, so their
-    shuffles are by class and month of the already reduced panel, never of the raw filings.
+    After deduplication one shuffle and sort by class serve the flow volatility, the regression and both
+    lags; the factors are broadcast and keep that layout. Side tables are joined by class first, then by
+    series and registrant.
     """
     facts = class_month_facts(filed, tie)
     if stored_returns is not None:
         facts = joins.outer_merge_returns(facts, stored_returns, extra_months)
-    with_factors = joins.join_factors(facts, factors)
-    stats = regression.rolling_factor_regression(with_factors, regression_factors, window, min_obs)
-    sided = joins.join_expense_by_class(with_factors, expenses)
-    sided = joins.join_turnover_by_series(sided, expenses)
+    fitted = regression.with_factor_regression(
+        joins.join_factors(facts, factors), regression_factors, window, min_obs
+    )
+    lagged = timeseries.lag_tna(timeseries.lag_realized_alpha(fitted))
+    sided = joins.join_expense_by_class(lagged, expenses)
     sided = joins.join_manager(sided, managers)
     if manual is not None:
         sided = joins.apply_overrides(sided, manual)
-    joined = timeseries.lag_realized_alpha(joins.join_regression_stats(sided, stats))
-    return profile.paper_column_names(joins.value_added_from(joined, "total_investments"))
-
-
-def published_keys(panel: DataFrame) -> DataFrame:
-    return panel.groupBy("class_id", "month_end").agg(F.count(F.lit(1)).alias("n"))
+    sided = joins.join_turnover_by_series(sided, expenses)
+    return profile.paper_column_names(joins.value_added_of(sided))

@@ -48,8 +48,11 @@ def staging_path(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint, so that later passes read the same rows."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(shared_root(df.sparkSession))
-    return df.checkpoint(eager=True)
+    """Cut the lineage with a table in the shared folder.
+
+    Operators that read their input several times start from it: the input is computed once, every pass
+    sees the same rows also after an executor is lost, and each pass reads only the columns it needs.
+    """
+    path = staging_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
