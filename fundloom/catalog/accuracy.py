@@ -90,7 +90,7 @@ def accuracy_by_fund(spark, sf):
 
 @query(
     "accuracy_by_fund_summary",
-    over(["scored"], f"""SELECT {r('avg(c)', 'mean_correlation', 6)}, {r('stddev_samp(c)', 'std_correlation', 8)},
+    over(["scored"], f"""SELECT {r('avg(c)', 'mean_correlation', 8)}, {r('stddev_samp(c)', 'std_correlation', 8)},
       {r('quantile_cont(c, 0.5)', 'median_correlation', 8)}
       FROM (SELECT {CORR} AS c FROM scored GROUP BY class_id)"""),
     digits=8,

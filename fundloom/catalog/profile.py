@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fundloom.catalog.registry import i, over, query, r
-from fundloom.operators import coverage, features, ordering, portfolio, profile, timeseries
+from fundloom.functions import stats
+from fundloom.operators import coverage, ordering, portfolio, profile, timeseries
 from fundloom.plans import views
 
 COLUMNS = ["class_id", "series_id", "month_end", "return", "sales", "cash", "n"]
@@ -134,4 +135,4 @@ def spot_check_sample(spark, sf):
 def required_columns_check(spark, sf):
     """The characteristics after their contract was checked; a missing column stops the job instead."""
     chars = profile.require_columns(views.characteristics(spark, sf), ["fundno", "Date", *views.FEATURES])
-    return features.complete_case_filter(chars, views.FEATURES).select("fundno", "Date", *views.FEATURES)
+    return stats.complete_case_filter(chars, views.FEATURES).select("fundno", "Date", *views.FEATURES)

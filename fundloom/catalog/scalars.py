@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fundloom.catalog.registry import d, i, over, query, r
-from fundloom.functions import scalars as S
+from fundloom.functions import scalars as S, stats
 from fundloom.operators import features, joins, profile, timeseries
 from fundloom.plans import views
 
@@ -211,7 +211,7 @@ def filter_single_fund(spark, sf):
     digits={"*": 6, "sales": 2},
 )
 def complete_case_filter(spark, sf):
-    kept = features.complete_case_filter(views.panel(spark, sf), ["return", "sales", "redemptions"])
+    kept = stats.complete_case_filter(views.panel(spark, sf), ["return", "sales", "redemptions"])
     return kept.select("class_id", "month_end", "return", "sales")
 
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from fundloom.catalog.registry import d, over, query, r, view
-from fundloom.operators import features, models, scoring
+from fundloom.functions import stats
+from fundloom.operators import models, scoring
 from fundloom.plans import views
 from fundloom.plans.views import FEATURES, TARGET
 from fundloom.session import materialize
@@ -107,7 +108,7 @@ def ensemble_weighted(spark, sf):
     digits={"*": 10, "prediction_std": 9},
 )
 def prediction_spread(spark, sf):
-    complete = features.complete_case_filter(_wide(spark, sf), COLUMNS)
+    complete = stats.complete_case_filter(_wide(spark, sf), COLUMNS)
     out = scoring.prediction_spread(complete, COLUMNS)
     return out.select("class_id", "month_end", "prediction_std", "prediction_min", "prediction_max")
 

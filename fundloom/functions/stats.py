@@ -140,3 +140,12 @@ def all_true(flags: Sequence[Column]) -> Column:
 
 def total(terms: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a + b, terms)
+
+
+def complete_case_filter(df: DataFrame, needed: Sequence[str]) -> DataFrame:
+    """Rows without a null in the given columns.
+
+    One condition per column: the single many-column predicate of `na.drop` makes the optimizer derive a
+    version of it for every combination of renamed columns above it.
+    """
+    return df.where(all_true([col(c).isNotNull() for c in needed]))

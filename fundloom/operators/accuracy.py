@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from fundloom.functions.scalars import col, null_double
 from fundloom.functions.stats import (
-    correlation, quantiles_wide, sample_excess_kurtosis, sample_skewness, unpivot_measures,
+    complete_case_filter, correlation, quantiles_wide, sample_excess_kurtosis, sample_skewness, unpivot_measures,
 )
 from fundloom.session import materialize
 
@@ -16,7 +16,7 @@ PAIR = ["predicted_alpha", "actual_alpha"]
 
 
 def _complete(df: DataFrame) -> DataFrame:
-    return df.na.drop(subset=PAIR)
+    return complete_case_filter(df, PAIR)
 
 
 def accuracy_overall(df: DataFrame) -> DataFrame:

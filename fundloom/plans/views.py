@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from fundloom.functions.stats import complete_case_filter
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -242,7 +244,8 @@ def characteristics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Complete characteristics, with measures of every scale kept as they are."""
-    return characteristics(spark, sf_dir).na.drop()
+    rows = characteristics(spark, sf_dir)
+    return complete_case_filter(rows, rows.columns)
 
 
 def returns(spark: SparkSession, sf_dir: str) -> DataFrame:
