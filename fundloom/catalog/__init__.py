@@ -11,7 +11,7 @@ from fundloom.catalog.registry import ORACLES, QUERIES
 
 _MODULES = [
     "sources", "scalars", "joins", "dedup", "coverage", "accuracy", "profile", "timeseries",
-    "documents", "features", "models", "portfolio", "scoring", "jobs",
+    "documents", "features", "models", "portfolio", "scoring", "jobs", "incremental",
 ]
 for _name in _MODULES:
     import_module(f"fundloom.catalog.{_name}")

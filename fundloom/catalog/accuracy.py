@@ -68,7 +68,7 @@ def accuracy_by_month(spark, sf):
 
 @query(
     "accuracy_by_month_summary",
-    over(["scored"], f"""SELECT {r('avg(c)', 'mean_correlation', 6)}, {r('min(c)', 'min_correlation', 8)},
+    over(["scored"], f"""SELECT {r('avg(c)', 'mean_correlation', 8)}, {r('min(c)', 'min_correlation', 8)},
       {r('max(c)', 'max_correlation', 8)} FROM (SELECT {CORR} AS c FROM scored GROUP BY month_end)"""),
     digits=8,
 )
@@ -191,9 +191,9 @@ MONTHS = ["199801", "199802", "199806", "200012"]
 @query(
     "pivot_error_matrix",
     over(["scored"], "SELECT class_id, " + ", ".join(
-        r(f"avg(CASE WHEN strftime(month_end, '%Y%m') = '{m}' THEN {P} - {T} END)", m, 9) for m in MONTHS)
+        r(f"avg(CASE WHEN strftime(month_end, '%Y%m') = '{m}' THEN {P} - {T} END)", m, 10) for m in MONTHS)
         + " FROM scored GROUP BY 1"),
-    digits=9,
+    digits=10,
 )
 def pivot_error_matrix(spark, sf):
     return accuracy.pivot_error_matrix(_scored(spark, sf), MONTHS)

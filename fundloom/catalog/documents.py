@@ -174,8 +174,8 @@ _VALUES = {
     digits=8,
 )
 def prospectus_html_extract(spark, sf):
-    plain = _prospectuses(spark, sf).where(~T.is_xbrl("body"))
-    return ixbrl.html_records(plain).drop("series_id")
+    scanned = ixbrl.scan_documents(_prospectuses(spark, sf))
+    return ixbrl.html_records(scanned).drop("series_id")
 
 
 def _tagged(spark, sf) -> DataFrame:
@@ -218,7 +218,7 @@ _RECORD = f"doc_id, series_id, class_id, context_ref, {r('er', 'net_expense_rati
 
 @query("context_join_facts", f"SELECT {_RECORD} FROM ({_CONTEXT_ROWS})", digits=8)
 def context_join_facts(spark, sf):
-    return joins.context_join_facts(ixbrl.ixbrl_facts(_tagged(spark, sf)))
+    return joins.context_join_facts(ixbrl.ixbrl_facts(ixbrl.scan_documents(_tagged(spark, sf))))
 
 
 @query(

@@ -47,6 +47,7 @@ def exact_quantiles(
     probs: Sequence[float],
     by: Sequence[str] = (),
     accuracy: int = 10000,
+    few_groups: bool = False,
 ) -> DataFrame:
     """Linear-interpolated quantiles as rows (by, variable, prob, quantile), for groups of any size.
 
@@ -54,6 +55,8 @@ def exact_quantiles(
     first brackets each wanted rank; a second pass counts what lies below the bracket and keeps only the
     distinct values inside it. The sketch errs by at most n/accuracy ranks, the bracket spans three times
     that on both sides, and a rank outside its bracket fails the job instead of giving a wrong number.
+    `few_groups` states that the groups are bounded (calendar dates, models), so their brackets may be
+    broadcast; otherwise the measured size decides.
     """
     keys = [*by, "variable"]
     margin = 3.0 / accuracy
@@ -83,7 +86,7 @@ def exact_quantiles(
         *[col(k) for k in keys], "n", "t.prob", "t.lo", "t.hi"
     )
     # Without groups the brackets are one row per measure and probability, a size fixed by the call.
-    side = brackets if by else F.broadcast(brackets)
+    side = F.broadcast(brackets) if few_groups or not by else brackets
     in_reach = F.col("hi").isNull() | (F.col("value") <= F.col("hi"))
     inside = F.col("lo").isNull() | (F.col("value") >= F.col("lo"))
     cells = (

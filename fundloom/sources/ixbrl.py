@@ -9,6 +9,7 @@ from fundloom.functions.text import (
     prospectus_records,
 )
 from fundloom.operators.joins import context_join_facts
+from fundloom.session import materialize
 
 # What the name of a tag (its local part) or its name attribute contains, per kind of fact.
 SERIES_TAG = r"SeriesId|SeriesClassId"
@@ -26,37 +27,60 @@ def _attribute(attributes: Column, name: str) -> Column:
     return find_first(attributes, rf"\b(?i:{name})\s*=\s*[\"']([^\"']*)[\"']", "")
 
 
-def ixbrl_elements(documents: DataFrame) -> DataFrame:
-    """Every attributed element of every document: tag, name attribute, context and trimmed text."""
+def _elements(body: Column) -> Column:
+    """Attributed elements of one document that name a series, class, expense ratio or turnover."""
     found = F.transform(
-        F.regexp_extract_all("body", F.lit(_ELEMENT), 0),
+        F.regexp_extract_all(body, F.lit(_ELEMENT), 0),
         lambda e: F.struct(
             F.regexp_extract(e, _ELEMENT, 1).alias("tag"),
-            F.regexp_extract(e, _ELEMENT, 2).alias("attributes"),
+            _attribute(F.regexp_extract(e, _ELEMENT, 2), "contextref").alias("context_ref"),
+            _attribute(F.regexp_extract(e, _ELEMENT, 2), "name").alias("name"),
             F.trim(F.regexp_extract(e, _ELEMENT, 3)).alias("text_value"),
         ),
     )
-    rows = documents.select("doc_id", F.posexplode(found).alias("position", "e"))
-    return rows.select(
+    wanted = "(?i)series|class|netexp|expenseratio|turnover"
+    return F.filter(
+        found,
+        lambda e: (e["text_value"] != "")
+        & (
+            e["tag"].rlike(wanted)
+            | F.coalesce(e["name"].rlike(wanted), F.lit(False))
+            | F.coalesce(e["context_ref"].rlike(wanted), F.lit(False))
+        ),
+    )
+
+
+def scan_documents(documents: DataFrame) -> DataFrame:
+    """The one pass over the texts: per document its prospectus records, or its relevant elements and the
+    values of its sentences. What is left is a small fraction of the text."""
+    plain = is_html("body") & ~is_xbrl("body")
+
+    def sentence(pattern: str) -> Column:
+        return F.when(~plain, find_first(F.col("body"), pattern, "(?Ui)").try_cast("double") / 100.0)
+
+    return documents.select(
         "doc_id",
-        "position",
-        F.substring_index("e.tag", ":", -1).alias("local_name"),
-        "e.tag",
-        _attribute(F.col("e.attributes"), "contextref").alias("context_ref"),
-        _attribute(F.col("e.attributes"), "name").alias("name"),
-        F.when(F.col("e.text_value") != "", F.col("e.text_value")).alias("text_value"),
+        plain.alias("is_plain"),
+        F.when(plain, prospectus_records("body")).alias("records"),
+        F.when(~plain, _elements(F.col("body"))).alias("elements"),
+        sentence(FALLBACK_EXPENSE).alias("s_expense"),
+        sentence(FALLBACK_TURNOVER).alias("s_turnover"),
     )
 
 
-def ixbrl_facts(documents: DataFrame) -> DataFrame:
-    """Elements that say something about a series, a class, an expense ratio or a turnover."""
-    elements = ixbrl_elements(documents).where(F.col("text_value").isNotNull())
-    local, name = F.col("local_name"), F.coalesce("name", F.lit(""))
+def _element_rows(scanned: DataFrame) -> DataFrame:
+    rows = scanned.select("doc_id", F.posexplode("elements").alias("position", "e"))
+    return rows.select("doc_id", "position", "e.*", percent_from_text(F.col("e.text_value")).alias("value"))
+
+
+def ixbrl_facts(scanned: DataFrame) -> DataFrame:
+    """Elements with what they say: a series, a class, an expense ratio or a turnover."""
+    local, name = F.substring_index("tag", ":", -1), F.coalesce("name", F.lit(""))
 
     def kind(label: str, hit: Column) -> Column:
         return F.when(hit, F.lit(label))
 
-    kinds = F.array_compact(
+    stated = F.array_compact(
         F.array(
             kind("series", local.rlike(SERIES_TAG)),
             kind("class", local.rlike(CLASS_TAG)),
@@ -64,7 +88,7 @@ def ixbrl_facts(documents: DataFrame) -> DataFrame:
             kind("turnover", local.rlike(TURNOVER_TAG) | name.rlike(TURNOVER_TAG)),
         )
     )
-    return elements.withColumn("kind", F.explode(kinds)).withColumn("value", percent_from_text("text_value"))
+    return _element_rows(scanned).withColumn("kind", F.explode(stated))
 
 
 def _first_value(kind: str) -> Column:
@@ -72,11 +96,11 @@ def _first_value(kind: str) -> Column:
     return F.min_by(F.when(known, F.col("value")), F.when(known, F.col("position")))
 
 
-def fund_level_records(documents: DataFrame) -> DataFrame:
+def fund_level_records(scanned: DataFrame) -> DataFrame:
     """One record per document from the first labelled non-fraction or non-numeric element of each kind,
     else from a sentence in the text."""
     label = F.lower(F.coalesce("name", "context_ref"))
-    labelled = ixbrl_elements(documents).where(F.col("tag").contains("non") & label.isNotNull())
+    labelled = _element_rows(scanned).where(F.col("tag").contains("non") & label.isNotNull())
     either = labelled.withColumn(
         "label_kind",
         F.explode(
@@ -87,16 +111,11 @@ def fund_level_records(documents: DataFrame) -> DataFrame:
                 )
             )
         ),
-    ).withColumn("value", percent_from_text("text_value"))
+    )
     tagged = either.groupBy("doc_id").agg(
         _first_value("expense").alias("tag_expense"), _first_value("turnover").alias("tag_turnover")
     )
-    sentence = documents.select(
-        "doc_id",
-        (find_first(F.col("body"), FALLBACK_EXPENSE, "(?Ui)").try_cast("double") / 100.0).alias("s_expense"),
-        (find_first(F.col("body"), FALLBACK_TURNOVER, "(?Ui)").try_cast("double") / 100.0).alias("s_turnover"),
-    )
-    joined = sentence.join(tagged, "doc_id", "left").select(
+    joined = scanned.join(tagged, "doc_id", "left").select(
         "doc_id",
         F.lit(None).cast("string").alias("series_id"),
         F.lit(None).cast("string").alias("class_id"),
@@ -110,22 +129,25 @@ def fund_level_records(documents: DataFrame) -> DataFrame:
 RECORD = ["doc_id", "series_id", "class_id", "context_ref", "net_expense_ratio", "turnover_pct"]
 
 
-def ixbrl_records(documents: DataFrame) -> DataFrame:
+def ixbrl_records(scanned: DataFrame) -> DataFrame:
     """Records per context; documents without any fall back to one fund-level record."""
-    by_context = context_join_facts(ixbrl_facts(documents)).select(*RECORD)
-    rest = documents.join(by_context.select("doc_id").distinct(), "doc_id", "left_anti")
+    by_context = context_join_facts(ixbrl_facts(scanned)).select(*RECORD)
+    rest = scanned.join(by_context.select("doc_id").distinct(), "doc_id", "left_anti")
     return by_context.unionByName(fund_level_records(rest))
 
 
-def html_records(documents: DataFrame) -> DataFrame:
-    rows = documents.select("doc_id", F.explode(prospectus_records("body")).alias("r"))
+def html_records(scanned: DataFrame) -> DataFrame:
+    rows = scanned.select("doc_id", F.explode("records").alias("r"))
     return rows.select("doc_id", F.lit(None).cast("string").alias("series_id"), "r.*").select(*RECORD)
 
 
 def extract_records(documents: DataFrame) -> DataFrame:
-    """Prospectus parsing for plain HTML documents, tagged facts for the others."""
-    plain = is_html("body") & ~is_xbrl("body")
-    return html_records(documents.where(plain)).unionByName(ixbrl_records(documents.where(~plain)))
+    """Prospectus parsing for plain HTML documents, tagged facts for the others.
+
+    The texts are read once; joins and fallbacks work on the materialized findings.
+    """
+    scanned = materialize(scan_documents(documents))
+    return html_records(scanned.where("is_plain")).unionByName(ixbrl_records(scanned.where("not is_plain")))
 
 
 def kinds(documents: DataFrame) -> DataFrame:

@@ -1,7 +1,8 @@
 """Newly landed quarters as a stream of files merged into the returns database.
 
 The incremental update is a file stream: each micro-batch holds the filings that landed since the last one.
-The merge is idempotent, latest filing per key, so a repeated batch leaves the same table.
+The database is partitioned by year, and a batch rewrites only the years it has months in. The merge is
+idempotent, latest filing per key, so a repeated batch leaves the same table.
 """
 
 from __future__ import annotations
@@ -10,44 +11,42 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from fundloom.operators.dedup import dedup_latest_by_registrant, incremental_upsert
+from fundloom.session import materialize
 
 RETURNS_SCHEMA = (
     "cik string, class_id string, series_id string, month_end date, `return` double, "
     "filing_date date, report_period date, accession bigint"
 )
+COLUMNS = [c.split()[0].strip("`") for c in RETURNS_SCHEMA.split(", ")]
 
 
-def version_path(root: str, version: int) -> str:
-    return f"{root}/version={version}"
-
-
-def current_version(spark: SparkSession, root: str) -> int:
-    """Greatest completely written version below `root`, -1 without any."""
-    jvm = spark.sparkContext._jvm
-    base = jvm.org.apache.hadoop.fs.Path(root)
-    fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(base):
-        return -1
-    found = [s.getPath() for s in fs.listStatus(base)]
-    done = [p for p in found if fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
-    numbers = [int(p.getName().split("=")[1]) for p in done if p.getName().startswith("version=")]
-    return max(numbers, default=-1)
+def _exists(spark: SparkSession, path: str) -> bool:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
 
 
 def read_returns_database(spark: SparkSession, root: str) -> DataFrame:
-    version = current_version(spark, root)
-    if version < 0:
-        return spark.createDataFrame([], RETURNS_SCHEMA)
-    return spark.read.schema(RETURNS_SCHEMA).parquet(version_path(root, version))
+    if not _exists(spark, root):
+        return spark.createDataFrame([], f"{RETURNS_SCHEMA}, year int")
+    return spark.read.schema(f"{RETURNS_SCHEMA}, year int").parquet(root)
 
 
 def merge_batch(spark: SparkSession, root: str, new: DataFrame) -> None:
-    """Write existing and new rows, deduplicated, as the next version; readers see it once complete."""
-    version = current_version(spark, root)
-    names = [c.split()[0].strip("`") for c in RETURNS_SCHEMA.split(", ")]
-    batch = dedup_latest_by_registrant(new.select(*names))
-    merged = incremental_upsert(read_returns_database(spark, root), batch) if version >= 0 else batch
-    merged.write.mode("overwrite").parquet(version_path(root, version + 1))
+    """Merge filings into the years they belong to; other years are neither read nor written."""
+    batch = materialize(dedup_latest_by_registrant(new.select(*COLUMNS)).withColumn("year", F.year("month_end")))
+    years = [row["year"] for row in batch.select("year").distinct().collect()]  # calendar years
+    if not years:
+        return
+    stored = read_returns_database(spark, root).where(F.col("year").isin(years))
+    # the merged years are complete in the shared folder before their partitions are replaced
+    merged = materialize(incremental_upsert(stored, batch))
+    (
+        merged.repartition("year", F.pmod(F.xxhash64("class_id"), F.lit(32)))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("year")
+        .parquet(root)
+    )
 
 
 def stream_quarters(
