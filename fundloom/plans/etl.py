@@ -29,17 +29,16 @@ def build_panel(
 ) -> DataFrame:
     """Filings to the published panel.
 
-    After deduplication one shuffle and sort by class serve the flow volatility, the regression and both
-    lags; the factors are broadcast and keep that layout. Side tables are joined by class first, then by
-    series and registrant.
+    After deduplication one shuffle and sort by class serve the flow volatility, the lagged assets and the
+    regression sums; the factors are broadcast and keep that layout. The lag of the fitted alpha needs a
+    second one, as a Python step hides the layout of its input. Side tables are joined last.
     """
     facts = class_month_facts(filed, tie)
     if stored_returns is not None:
         facts = joins.outer_merge_returns(facts, stored_returns, extra_months)
-    fitted = regression.with_factor_regression(
-        joins.join_factors(facts, factors), regression_factors, window, min_obs
-    )
-    lagged = timeseries.lag_tna(timeseries.lag_realized_alpha(fitted))
+    windowed = joins.join_factors(timeseries.lag_tna(facts), factors)
+    fitted = regression.with_factor_regression(windowed, regression_factors, window, min_obs)
+    lagged = timeseries.lag_realized_alpha(fitted)
     sided = joins.join_expense_by_class(lagged, expenses)
     sided = joins.join_manager(sided, managers)
     if manual is not None:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from fundloom.functions.stats import complete_case_filter
+from fundloom.session import materialize
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,16 +52,18 @@ def supplier_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Class x month facts with some months absent, some returns unknown and cash known quarterly."""
+def panel(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) -> DataFrame:
+    """Class x month facts with some months absent, some returns unknown and cash known quarterly.
+
+    `base` is the materialized `supplier_month` of a caller that also needs the factors."""
     at = month_number("month_end")
     supplier = table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias("l_suppkey"), "s_nationkey"
     )
     mean_return = F.col("sum_discount") / F.col("n") - F.col("sum_tax") / F.col("n")
+    monthly = base if base is not None else supplier_month(spark, sf_dir)
     return (
-        supplier_month(spark, sf_dir)
-        .where((F.col("l_suppkey") * 5 + at) % 29 != 0)
+        monthly.where((F.col("l_suppkey") * 5 + at) % 29 != 0)
         .join(supplier, "l_suppkey")
         .select(
             class_key("l_suppkey").alias("class_id"),
@@ -81,7 +84,7 @@ def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def factors(spark: SparkSession, sf_dir: str) -> DataFrame:
+def factors(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) -> DataFrame:
     """Monthly factor series; one row per calendar month, so it may be broadcast."""
     supplier = table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("n_nationkey")
@@ -91,9 +94,9 @@ def factors(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum(F.when(F.col("n_regionkey") == r, F.col("sum_discount") - F.col("sum_tax"))).alias(f"s{r}")
         for r in range(5)
     ] + [F.sum(F.when(F.col("n_regionkey") == r, F.col("n"))).alias(f"n{r}") for r in range(5)]
+    sums = base if base is not None else supplier_month(spark, sf_dir)
     monthly = (
-        supplier_month(spark, sf_dir)
-        .join(supplier, "l_suppkey")
+        sums.join(supplier, "l_suppkey")
         .join(nation, "n_nationkey")
         .groupBy("month_end")
         .agg(
@@ -192,10 +195,12 @@ FEATURES = [
 TARGET = "alpha6_1mo_12m"
 
 
-def characteristics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Quarterly characteristics per fund: the target of a quarter and 17 values known before it."""
+def characteristics(spark: SparkSession, sf_dir: str, facts: DataFrame | None = None) -> DataFrame:
+    """Quarterly characteristics per fund: the target of a quarter and 17 values known before it.
+
+    `facts` is the materialized panel of a caller that also needs the returns."""
     quarterly = (
-        panel(spark, sf_dir)
+        (facts if facts is not None else panel(spark, sf_dir))
         .withColumn("quarter_end", F.last_day(F.add_months(F.trunc("month_end", "quarter"), 2)))
         .groupBy(F.col("class_id").alias("fundno"), "quarter_end")
         .agg(
@@ -242,40 +247,53 @@ def characteristics(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def training_rows(spark: SparkSession, sf_dir: str, facts: DataFrame | None = None) -> DataFrame:
     """Complete characteristics, with measures of every scale kept as they are."""
-    rows = characteristics(spark, sf_dir)
+    rows = characteristics(spark, sf_dir, facts)
     return complete_case_filter(rows, rows.columns)
 
 
-def returns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return panel(spark, sf_dir).select(
+def returns(spark: SparkSession, sf_dir: str, facts: DataFrame | None = None) -> DataFrame:
+    return (facts if facts is not None else panel(spark, sf_dir)).select(
         F.col("class_id").alias("fundno"),
         F.trunc("month_end", "MM").alias("Date"),
         F.col("return").alias("mret"),
     )
 
 
-def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Model outputs per class and month, with the alpha realised over the same 12 rows."""
+def scored_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The panel with factors, two model outputs per class and month, and the alpha realised over the same
+    12 rows. The line items are read once; factors and panel come from their materialized monthly sums, and
+    all windows share one shuffle by class."""
+    base = materialize(supplier_month(spark, sf_dir))
     history = Window.partitionBy("class_id").orderBy("month_end")
     year = history.rowsBetween(-11, 0)
     excess, market = F.col("return") - F.col("RF"), F.col("MKT_RF")
     complete = F.count(F.when(excess.isNotNull() & market.isNotNull(), 1)).over(year)
-    joined = panel(spark, sf_dir).join(F.broadcast(factors(spark, sf_dir)), "month_end", "left")
-    models = joined.select(
-        "class_id", "month_end", "cik", "return",
-        F.round(F.avg("return").over(history.rowsBetween(-3, -1)), 9).alias("xgb_prediction"),
-        F.round(F.avg("return").over(history.rowsBetween(-6, -1)), 9).alias("rf_prediction"),
-        F.when(
-            complete >= 8, F.round(F.expr("regr_intercept(`return` - RF, MKT_RF)").over(year), 9)
-        ).alias("actual_alpha"),
+    joined = panel(spark, sf_dir, base).join(
+        F.broadcast(factors(spark, sf_dir, base)), "month_end", "left"
+    )
+    models = joined.withColumns(
+        {
+            "xgb_prediction": F.round(F.avg("return").over(history.rowsBetween(-3, -1)), 9),
+            "rf_prediction": F.round(F.avg("return").over(history.rowsBetween(-6, -1)), 9),
+            "actual_alpha": F.when(
+                complete >= 8, F.round(F.expr("regr_intercept(`return` - RF, MKT_RF)").over(year), 9)
+            ),
+        }
     )
     return models.withColumn(
         "ensemble_prediction", (F.col("xgb_prediction") + F.col("rf_prediction")) / 2
     )
 
 
+def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scored_panel(spark, sf_dir).select(
+        "class_id", "month_end", "cik", "return", "xgb_prediction", "rf_prediction", "actual_alpha",
+        "ensemble_prediction",
+    )
+
+
 def predictions_vs_actual(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scored rows next to the realised alpha."""
     p = predictions(spark, sf_dir).where(F.col("ensemble_prediction").isNotNull())
@@ -287,12 +305,8 @@ def predictions_vs_actual(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def audited_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The panel with factors and realised alpha, as the coverage reports read it."""
-    fac = factors(spark, sf_dir)
-    alpha = predictions(spark, sf_dir).select(
-        "class_id", "month_end", F.col("actual_alpha").alias("realized alpha")
-    )
     return (
-        panel(spark, sf_dir)
-        .join(alpha, ["class_id", "month_end"], "left")
-        .join(F.broadcast(fac), "month_end", "left")
+        scored_panel(spark, sf_dir)
+        .withColumnRenamed("actual_alpha", "realized alpha")
+        .drop("xgb_prediction", "rf_prediction", "ensemble_prediction")
     )
