@@ -123,17 +123,27 @@ def _percents(text: Column, patterns: Sequence[str]) -> Column:
     return F.transform(found, lambda v: v.try_cast("double") / 100.0)
 
 
-def prospectus_records(text: str | Column) -> Column:
-    """Array of (class_id, context_ref, net_expense_ratio, turnover_pct) found in a prospectus.
+def share_classes(text: str | Column) -> Column:
+    """Share-class tokens of a prospectus in order of first appearance, pattern after pattern."""
+    low, high = CLASS_LENGTHS
+    named = F.concat(*[find_all(col(text), p) for p in CLASS_PATTERNS])
+    return F.array_distinct(F.filter(named, lambda m: F.length(m).between(low, high)))
+
+
+def expense_ratios(text: str | Column) -> Column:
+    return _percents(col(text), EXPENSE_PATTERNS)
+
+
+def turnover_rates(text: str | Column) -> Column:
+    return _percents(col(text), TURNOVER_PATTERNS)
+
+
+def prospectus_records(classes: Column, ratios: Column, turns: Column) -> Column:
+    """Array of (class_id, context_ref, net_expense_ratio, turnover_pct) from what a prospectus names.
 
     As many classes as ratios are paired by position; otherwise the first ratio and turnover are given to
-    the first five classes. Classes come in order of first appearance.
+    the first five classes. The arguments should be plain columns, as each is used for every class.
     """
-    text = col(text)
-    low, high = CLASS_LENGTHS
-    named = F.concat(*[find_all(text, p) for p in CLASS_PATTERNS])
-    classes = F.array_distinct(F.filter(named, lambda m: F.length(m).between(low, high)))
-    ratios, turns = _percents(text, EXPENSE_PATTERNS), _percents(text, TURNOVER_PATTERNS)
     paired = F.size(classes) == F.size(ratios)
 
     def record(name: Column, at: Column) -> Column:
@@ -148,5 +158,4 @@ def prospectus_records(text: str | Column) -> Column:
 
     chosen = F.when(paired, classes).otherwise(F.slice(classes, 1, FUND_LEVEL_CLASSES))
     has_values = (F.size(ratios) > 0) | (F.size(turns) > 0)
-    records = F.transform(chosen, record)
-    return F.when(has_values, records)
+    return F.when(has_values, F.transform(chosen, record))

@@ -130,7 +130,7 @@ def tna_roll_forward(df: DataFrame) -> DataFrame:
         ),
     )
     per_class = df.groupBy("class_id").agg(F.sort_array(F.collect_list(month)).alias("months"))
-    return per_class.select("class_id", F.explode(states).alias("s")).select("class_id", "s.*")
+    return per_class.select("class_id", F.explode_outer(states).alias("s")).select("class_id", "s.*")
 
 
 def expanding_train_window(dates: DataFrame, panel_len: int = 10) -> DataFrame:

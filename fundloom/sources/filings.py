@@ -44,10 +44,15 @@ YEAR_TIERS = [2020, 2015, 2010, 2005, 1990]
 
 
 def _parsed(documents: DataFrame, schema: str) -> DataFrame:
-    """Documents that parse; a broken one is left out as a whole."""
+    """Documents with their parsed content `x`; a broken one has none of it.
+
+    Rows without content are dropped only after their arrays are exploded (in the outer form), as a filter
+    here would make the parser run a second time.
+    """
     parsed = F.from_xml("body", schema, {"columnNameOfCorruptRecord": "_corrupt_record"})
     keys = [c for c in documents.columns if c != "body"]
-    return documents.select(*keys, parsed.alias("x")).where(F.col("x._corrupt_record").isNull())
+    read = documents.select(*keys, parsed.alias("x"))
+    return read.withColumn("x", F.when(F.col("x._corrupt_record").isNull(), F.col("x")))
 
 
 def scan_filings_xml_elements(documents: DataFrame) -> DataFrame:
@@ -61,8 +66,8 @@ def scan_filings_xml_elements(documents: DataFrame) -> DataFrame:
     empty = F.array().cast(f"array<{_CLASS}>")
     classes = F.concat(F.coalesce(F.col("x.Class"), empty), F.coalesce(nested, empty))
     per_class = _parsed(documents, ELEMENT_SCHEMA).select(
-        *keys, F.to_date("x.ReportPeriod").alias("report_period"), F.explode(classes).alias("c")
-    )
+        *keys, F.to_date("x.ReportPeriod").alias("report_period"), F.explode_outer(classes).alias("c")
+    ).where(F.col("c").isNotNull())
 
     def of(name: str, i: int) -> Column:
         return F.col(f"c.{name}{i}")
@@ -85,8 +90,9 @@ def scan_filings_xml_elements(documents: DataFrame) -> DataFrame:
     known = F.when(gap > 0, F.slice(F.col("months"), 1, gap.cast("int") - 1)).otherwise(F.col("months"))
     listed = per_class.withColumn("months", months).withColumn("months", known)
     rows = listed.select(
-        *keys, "c", "report_period", F.size("months").alias("n"), F.posexplode("months").alias("j", "m")
-    )
+        *keys, "c", "report_period", F.size("months").alias("n"),
+        F.posexplode_outer("months").alias("j", "m"),
+    ).where(F.col("j").isNotNull())
     return rows.select(
         *keys,
         F.col("c.ClassId").alias("class_id"),
@@ -122,7 +128,7 @@ def scan_filings_xml_attributes(documents: DataFrame) -> DataFrame:
                 for k in (1, 2, 3)
             ]
         ).alias("flows"),
-        F.explode(f"{fund}.returnInfo.monthlyTotReturns.monthlyTotReturn").alias("r"),
+        F.explode_outer(f"{fund}.returnInfo.monthlyTotReturns.monthlyTotReturn").alias("r"),
     ).where(F.col("report_period").isNotNull() & (F.col("r._classId") != ""))
     stated = F.filter(
         F.array("r._rtn1", "r._rtn2", "r._rtn3"),
@@ -131,8 +137,8 @@ def scan_filings_xml_attributes(documents: DataFrame) -> DataFrame:
     returns = F.transform(stated, lambda v: pct_to_decimal(safe_float_default(v)))
     rows = parsed.withColumn("returns", returns).select(
         *keys, "r", "report_period", "total_investments", "flows", F.size("returns").alias("n"),
-        F.posexplode("returns").alias("j", "return"),
-    )
+        F.posexplode_outer("returns").alias("j", "return"),
+    ).where(F.col("j").isNotNull())
     return rows.select(
         *keys,
         F.col("r._classId").alias("class_id"),
@@ -151,7 +157,8 @@ def _index_rows(indexes: DataFrame) -> DataFrame:
     zipped = F.arrays_zip("r.form", "r.accessionNumber", "r.primaryDocument", "r.filingDate")
     return (
         indexes.select(*keys, recent.alias("r"))
-        .select(*keys, F.posexplode(zipped).alias("position", "f"))
+        .select(*keys, F.posexplode_outer(zipped).alias("position", "f"))
+        .where(F.col("position").isNotNull())
         .select(
             *keys, "position", F.col("f.form").alias("form"),
             F.col("f.accessionNumber").alias("accession"),

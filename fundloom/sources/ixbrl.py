@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fundloom.functions.text import (
-    FALLBACK_EXPENSE, FALLBACK_TURNOVER, find_first, is_html, is_xbrl, percent_from_text,
-    prospectus_records,
+    FALLBACK_EXPENSE, FALLBACK_TURNOVER, expense_ratios, find_first, is_html, is_xbrl,
+    percent_from_text, prospectus_records, share_classes, turnover_rates,
 )
 from fundloom.operators.joins import context_join_facts
 from fundloom.session import materialize
@@ -52,25 +52,36 @@ def _elements(body: Column) -> Column:
 
 def scan_documents(documents: DataFrame) -> DataFrame:
     """The one pass over the texts: per document its prospectus records, or its relevant elements and the
-    values of its sentences. What is left is a small fraction of the text."""
-    plain = is_html("body") & ~is_xbrl("body")
+    values of its sentences. What is left is a small fraction of the text.
+
+    Whoever explodes the arrays uses the outer form and filters afterwards: a plain explode makes the optimizer
+    test the array for emptiness below the extraction, which would run every pattern again.
+    """
+    plain = F.col("is_plain")
 
     def sentence(pattern: str) -> Column:
         return F.when(~plain, find_first(F.col("body"), pattern, "(?Ui)").try_cast("double") / 100.0)
 
-    return documents.select(
+    marked = documents.select(
+        "doc_id", "body", (is_html("body") & ~is_xbrl("body")).alias("is_plain")
+    )
+    found = marked.select(
         "doc_id",
-        plain.alias("is_plain"),
-        F.when(plain, prospectus_records("body")).alias("records"),
+        "is_plain",
+        F.when(plain, share_classes("body")).alias("classes"),
+        F.when(plain, expense_ratios("body")).alias("ratios"),
+        F.when(plain, turnover_rates("body")).alias("turns"),
         F.when(~plain, _elements(F.col("body"))).alias("elements"),
         sentence(FALLBACK_EXPENSE).alias("s_expense"),
         sentence(FALLBACK_TURNOVER).alias("s_turnover"),
     )
+    records = prospectus_records(F.col("classes"), F.col("ratios"), F.col("turns"))
+    return found.withColumn("records", records).drop("classes", "ratios", "turns")
 
 
 def _element_rows(scanned: DataFrame) -> DataFrame:
-    rows = scanned.select("doc_id", F.posexplode("elements").alias("position", "e"))
-    return rows.select("doc_id", "position", "e.*", percent_from_text(F.col("e.text_value")).alias("value"))
+    rows = scanned.select("doc_id", F.posexplode_outer("elements").alias("position", "e"))
+    return rows.where(F.col("position").isNotNull()).select("doc_id", "position", "e.*", percent_from_text(F.col("e.text_value")).alias("value"))
 
 
 def ixbrl_facts(scanned: DataFrame) -> DataFrame:
@@ -137,8 +148,8 @@ def ixbrl_records(scanned: DataFrame) -> DataFrame:
 
 
 def html_records(scanned: DataFrame) -> DataFrame:
-    rows = scanned.select("doc_id", F.explode("records").alias("r"))
-    return rows.select("doc_id", F.lit(None).cast("string").alias("series_id"), "r.*").select(*RECORD)
+    rows = scanned.select("doc_id", F.explode_outer("records").alias("r"))
+    return rows.where(F.col("r").isNotNull()).select("doc_id", F.lit(None).cast("string").alias("series_id"), "r.*").select(*RECORD)
 
 
 def extract_records(documents: DataFrame) -> DataFrame:
