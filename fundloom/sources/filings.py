@@ -129,12 +129,14 @@ def scan_filings_xml_attributes(documents: DataFrame) -> DataFrame:
             ]
         ).alias("flows"),
         F.explode_outer(f"{fund}.returnInfo.monthlyTotReturns.monthlyTotReturn").alias("r"),
-    ).where(F.col("report_period").isNotNull() & (F.col("r._classId") != ""))
+    )
     stated = F.filter(
         F.array("r._rtn1", "r._rtn2", "r._rtn3"),
         lambda v: v.isNotNull() & ~F.upper(v).isin("N/A", "NULL", ""),
     )
-    returns = F.transform(stated, lambda v: pct_to_decimal(safe_float_default(v)))
+    # a document without period and a class without id have no returns to explode
+    dated = F.col("report_period").isNotNull() & (F.col("r._classId") != "")
+    returns = F.when(dated, F.transform(stated, lambda v: pct_to_decimal(safe_float_default(v))))
     rows = parsed.withColumn("returns", returns).select(
         *keys, "r", "report_period", "total_investments", "flows", F.size("returns").alias("n"),
         F.posexplode_outer("returns").alias("j", "return"),

@@ -48,3 +48,13 @@ def test_top_values_limits_before_the_shuffle(spark, sf_dir):
 )
 def test_no_all_pairs_joins(spark, sf_dir, name):
     assert "CartesianProduct" not in plan(all_queries()[name](spark, sf_dir))
+
+
+@pytest.mark.parametrize("name", ["rolling_factor_regression", "class_month_panel"])
+def test_windows_are_solved_once(spark, sf_dir, name):
+    assert plan(all_queries()[name](spark, sf_dir)).count("ArrowEvalPython") == 1
+
+
+@pytest.mark.parametrize("name", ["scan_filings_xml_elements", "scan_filings_xml_attributes"])
+def test_documents_are_parsed_once(spark, sf_dir, name):
+    assert plan(all_queries()[name](spark, sf_dir)).count("from_xml(") <= 1
