@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from fundloom.catalog.registry import d, over, query, r, view
 from fundloom.catalog.sources import quarters
+from fundloom.functions.scalars import quarter_key
 from fundloom.operators import dedup, joins, timeseries
 from fundloom.plans import views
 
@@ -321,8 +322,7 @@ def semi_train_dates(spark, sf):
 def anti_processed_quarters(spark, sf):
     orders = views.table(spark, sf, "orders")
     early = orders.where(F.col("o_orderdate") < F.lit("1999-05-01").cast("timestamp"))
-    quarter = F.concat(F.year("o_orderdate").cast("string"), F.lit("q"), F.quarter("o_orderdate"))
-    return joins.anti_processed_quarters(quarters(spark, sf), early.select(quarter.alias("quarter")).distinct())
+    return joins.anti_processed_quarters(quarters(spark, sf), early.select(quarter_key("o_orderdate").alias("quarter")).distinct())
 
 
 @query(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fundloom.catalog.registry import d, i, over, query, r, view
+from fundloom.functions.scalars import quarter_key
 from fundloom.operators import coverage, joins, timeseries
 from fundloom.plans import views
 from fundloom.session import staging_path
@@ -487,8 +488,7 @@ def sink_by_format(spark, sf):
 )
 def sink_db_metadata(spark, sf):
     db = views.filings(spark, sf)
-    quarter = F.concat(F.year("report_period").cast("string"), F.lit("q"), F.quarter("report_period"))
-    path = sinks.sink_parquet(coverage.database_metadata(db, quarter), staging_path(spark, "metadata"))
+    path = sinks.sink_parquet(coverage.database_metadata(db, quarter_key("report_period")), staging_path(spark, "metadata"))
     return spark.read.parquet(path)
 
 

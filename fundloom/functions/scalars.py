@@ -104,10 +104,6 @@ def months_spanned(first: Column, last: Column) -> Column:
     return (F.year(last) - F.year(first)) * 12 + F.month(last) - F.month(first)
 
 
-def is_infinite(c: str | Column) -> Column:
-    return F.abs(col(c)) == F.lit(float("inf"))
-
-
 def extreme_return(c: str | Column, limit: float = 0.5) -> Column:
     return F.abs(col(c)) > F.lit(limit)
 

@@ -209,7 +209,3 @@ def scaling_evidence(df: DataFrame, variables: Sequence[str]) -> DataFrame:
         ((F.abs("m") < 0.1) & (F.abs(F.col("s") - 1.0) < 0.2)).alias("table_scaled")
     )
     return flagged.crossJoin(F.broadcast(verdict))
-
-
-def absent_measures(names: Sequence[str]) -> list[Column]:
-    return [null_double().alias(n) for n in names]

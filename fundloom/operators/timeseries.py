@@ -153,7 +153,3 @@ def semi_train_dates(characteristics: DataFrame, formation_date: str, panel_len:
 def extended_history(df: DataFrame, since: str, extra_months: int) -> DataFrame:
     """Rows from `extra_months` before `since`; the bound is a scan predicate."""
     return df.where(F.col("month_end") >= F.add_months(F.lit(since).cast("date"), -extra_months))
-
-
-def month_cells(months: Sequence[int]) -> list[str]:
-    return [f"m{m:02d}" for m in months]

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from fundloom.functions.scalars import (
-    extreme_return, month_end_shift, pad_registrant_id, pct_to_decimal, safe_float_default,
-    tag_month_offset, to_numeric_or_null,
+    extreme_return, month_end_shift, pad_registrant_id, pct_to_decimal, quarter_key,
+    safe_float_default, tag_month_offset, to_numeric_or_null,
 )
 
 MAX_MONTHS = 12  # fixed value: monthly elements per class
@@ -236,9 +236,7 @@ def scan_bulk_num_sub(
 def quarters_available(first: Column, last: Column) -> Column:
     """All quarter keys from the quarter of `first` to that of `last`."""
     starts = F.sequence(F.trunc(first, "quarter"), F.trunc(last, "quarter"), F.expr("interval 3 months"))
-    return F.transform(
-        starts, lambda d: F.concat(F.year(d).cast("string"), F.lit("q"), F.quarter(d).cast("string"))
-    )
+    return F.transform(starts, quarter_key)
 
 
 def quarter_overlap_filter(quarters: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:

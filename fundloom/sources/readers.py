@@ -6,13 +6,18 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from fundloom.functions.scalars import coerce_month_start, strip_float_suffix, to_numeric_or_null
+from fundloom.functions.scalars import (
+    coerce_month_start, col, nan_to_null, strip_float_suffix, to_numeric_or_null,
+)
 
 RETURN_COLUMNS = ["fundno", "Date", "mret"]
 
 
 def scan_parquet_projected(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
-    return spark.read.parquet(path).select(*[F.col(f"`{c}`") for c in columns])
+    """Only the given columns are read; NaN measures become null."""
+    raw = spark.read.parquet(path).select(*[col(c) for c in columns])
+    measures = [f.name for f in raw.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+    return raw.withColumns({c: nan_to_null(c) for c in measures})
 
 
 def scan_hive_returns(

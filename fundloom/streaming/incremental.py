@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from fundloom.functions.scalars import quarter_key
 from fundloom.operators.dedup import dedup_latest_by_registrant, incremental_upsert
 from fundloom.session import materialize
 
@@ -68,5 +69,4 @@ def stream_quarters(
 
 
 def processed_quarters(db: DataFrame) -> DataFrame:
-    quarter = F.concat(F.year("report_period").cast("string"), F.lit("q"), F.quarter("report_period"))
-    return db.select(quarter.alias("quarter")).distinct()
+    return db.select(quarter_key("report_period").alias("quarter")).distinct()
