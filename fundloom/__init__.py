@@ -1,3 +1,8 @@
-"""Fund panel analytics on Spark: landed filings to panel, models, portfolios and audits."""
+"""Fund-panel analytics on Spark."""
 
-__version__ = "0.1.0"
+import sys
+
+from pyspark import cloudpickle
+
+# Executors need no copy of this package: functions inside UDFs travel with the job by value.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
