@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fundloom.llm import bpe
+from fundloom.llm import bpe, sharding, simhash
 from fundloom.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,12 @@ def hex_sha256(text):
     return F.sha2(text.cast("binary"), 256)
 
 
+@query("op1_simhash_near_duplicates")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(read(spark, sf_dir, "documents"), words=4, max_bits=4)
+    return found.select("doc_id", "fingerprint", "component_id")
+
+
 @query("op8_bpe_round_trip")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -41,3 +47,38 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
         hex_sha256(F.array_join(F.col("ids").cast("array<string>"), " ")).alias("ids_sha256"),
         hex_sha256(F.col("decoded")).alias("decoded_sha256"),
     )
+
+
+SHARDS = 16
+#: The CRC-32 of a list of bytes: the table of the reflected polynomial, then one step for each byte.
+_CRC_TABLE = """SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i::UBIGINT, [0::UBIGINT for _ in range(8)]),
+  lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END)) AS t"""
+
+
+@query(
+    "op9_jump_hash_shards",
+    f"""WITH RECURSIVE crc AS ({_CRC_TABLE}),
+    rows_ AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+    wide AS (SELECT r, doc_id, text, CASE WHEN coalesce(doc_id, 0) < 0 THEN coalesce(doc_id, 0)::HUGEINT
+      + 18446744073709551616::HUGEINT ELSE coalesce(doc_id, 0)::HUGEINT END AS k, n
+      FROM rows_, (VALUES ({SHARDS}), ({SHARDS + 1})) AS s(n)),
+    walk AS (SELECT r, n, k, 0::BIGINT AS at_, 0::BIGINT AS j FROM wide
+      UNION ALL
+      SELECT r, n, k2, j, floor((j + 1)::DOUBLE * (2147483648.0::DOUBLE / ((k2 // 8589934592)::DOUBLE + 1)))::BIGINT
+      FROM (SELECT *, (k * 2862933555777941757::HUGEINT + 1) % 18446744073709551616::HUGEINT AS k2
+        FROM walk WHERE j < n)),
+    ends AS (SELECT r, n, max(at_) AS shard FROM walk GROUP BY 1, 2),
+    sized AS (SELECT r, doc_id, octet_length(encode(text)) + 1 AS size,
+      xor(4294967295::UBIGINT, list_reduce(list_prepend(4294967295::UBIGINT,
+        list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda x: ('0x' || x)::UBIGINT)),
+        lambda c, b: xor(c >> 8, t[(xor(c, b) & 255)::BIGINT + 1]))) AS text_crc32
+      FROM rows_, crc)
+    SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'key' AS law, a.shard::INTEGER AS shard,
+      row_number() OVER (PARTITION BY a.shard ORDER BY substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 2),
+        doc_id NULLS FIRST, size, text_crc32) - 1 AS slot, b.shard::INTEGER AS grown_shard
+    FROM sized JOIN ends a ON a.r = sized.r AND a.n = {SHARDS} JOIN ends b ON b.r = sized.r AND b.n = {SHARDS + 1}""",
+)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    placed = sharding.shard_documents(docs, SHARDS)
+    return placed.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
