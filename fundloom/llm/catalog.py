@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fundloom.llm import bpe, langid, secret_scan, sharding, simhash
+from fundloom.llm import bpe, langid, secret_scan, sharding, simhash, sketches
 from fundloom.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -112,3 +112,19 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return langid.identify(docs).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query("op6_document_fingerprints")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sketches.edited_documents(read(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id",
+        F.length("text").cast("long").alias("n_chars"),
+        hex_sha256(F.col("edited")).alias("edited_sha256"),
+        sketches.as_text(F.col("sketch")).alias("fingerprint"),
+        sketches.as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
+        sketches.resemblance(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
+        sketches.resemblance(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
+        sketches.containment(F.col("edited_sketch"), F.col("sketch")).alias("edited_in_text"),
+        sketches.distinct_shingles(F.col("sketch")).alias("n_shingles"),
+    )
