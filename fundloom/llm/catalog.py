@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fundloom.llm import bpe, langid, passages, secret_scan, sharding, simhash, sketches
+from fundloom.llm import bpe, forest, langid, passages, secret_scan, sharding, simhash, sketches
 from fundloom.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -135,3 +135,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = passages.repeated_passages(read(spark, sf_dir, "documents"))
     kept = F.coalesce(hex_sha256(F.col("kept")), F.col("whole_sha256"))
     return found.select("doc_id", "n_words", "n_removed", kept.alias("kept_sha256"))
+
+
+@query("op4_hash_prefix_forest")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.nearest_neighbours(read(spark, sf_dir, "embeddings"), every=100, nearest=10)
