@@ -7,7 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fundloom.llm import bpe, forest, langid, passages, secret_scan, sharding, simhash, sketches
+from fundloom.llm import (
+    bpe,
+    forest,
+    langid,
+    licenses,
+    mixing,
+    passages,
+    secret_scan,
+    sharding,
+    simhash,
+    sketches,
+)
 from fundloom.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -140,3 +151,29 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_hash_prefix_forest")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.nearest_neighbours(read(spark, sf_dir, "embeddings"), every=100, nearest=10)
+
+
+def _licenses_sql() -> str:
+    quoted = [(n, t.replace("'", "''")) for n, t in licenses.KNOWN_TEXTS]
+    values = ", ".join(f"('{n}', '{t}')" for n, t in quoted)
+    return f"""WITH known AS (SELECT license, sha256({licenses.canonical_sql('t')}) AS digest
+      FROM (VALUES {values}) AS k(license, t)),
+    rows_ AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+    lines AS (SELECT r, unnest(string_split(text, chr(10))) AS line FROM rows_),
+    found AS (SELECT r, string_agg(DISTINCT license, ',' ORDER BY license) AS line_licenses
+      FROM (SELECT r, sha256({licenses.canonical_sql('line')}) AS digest FROM lines) JOIN known USING (digest)
+      GROUP BY r)
+    SELECT doc_id, digest, license, coalesce(line_licenses, '') AS line_licenses
+    FROM (SELECT r, doc_id, sha256({licenses.canonical_sql('text')}) AS digest FROM rows_)
+    LEFT JOIN known USING (digest) LEFT JOIN found USING (r)"""
+
+
+@query("op2_license_scan", _licenses_sql())
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(read(spark, sf_dir, "documents"))
+
+
+@query("op5_pfair_mixture")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "source")
+    return mixing.mix(docs).select("doc_id", "source", "block", "slot", "position")
