@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -12,10 +13,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from fundloom.llm.common import small_batches
 from fundloom.llm.components import components
+from fundloom.llm.sketches import resemblance
 from fundloom.session import materialize
 
-#: A fingerprint is cut into so many blocks.
-BLOCKS = 8
+#: A fingerprint is cut into so many blocks more than bits may differ; two or more of them agree in as many.
+SPARE = 4
 #: Distinct fingerprints of one block key that one task compares; larger keys are cut finer.
 KEY_ROWS = 32_768
 #: Shingles of a text whose bits are counted at once.
@@ -55,26 +57,26 @@ def fingerprint(spark: SparkSession, text: Column, words: int) -> Column:
     return fingerprints(text)
 
 
-def _first_key(max_bits: int) -> tuple[list[int], np.ndarray]:
-    """Masks of the block keys, and the first key that two fingerprints share, by the blocks they differ in."""
-    width = 64 // BLOCKS
-    keys = list(combinations(range(BLOCKS), BLOCKS - max_bits))
-    masks = [sum(((1 << width) - 1) << (width * b) for b in key) for key in keys]
-    first = np.full(1 << BLOCKS, -1, np.int16)
-    for differ in range(1 << BLOCKS):
-        for c, key in enumerate(keys):
-            if not any(differ >> b & 1 for b in key):
-                first[differ] = c
-                break
-    return masks, first
+def _block_masks(max_bits: int, spare: int) -> list[int]:
+    edges = [round(64 * i / (max_bits + spare)) for i in range(max_bits + spare + 1)]
+    return [(1 << hi) - (1 << lo) for lo, hi in zip(edges, edges[1:])]
 
 
-def _differing_blocks(x: np.ndarray) -> np.ndarray:
-    width = 64 // BLOCKS
+def _first_key(max_bits: int, spare: int) -> tuple[list[int], list[int], np.ndarray]:
+    """Masks of the blocks and of the block keys, and the first key that two fingerprints share, by the blocks
+    they differ in."""
+    blocks = _block_masks(max_bits, spare)
+    keys = list(combinations(range(len(blocks)), spare))
+    first = np.full(1 << len(blocks), -1, np.int16)
+    for differ in range(1 << len(blocks)):
+        first[differ] = next((c for c, key in enumerate(keys) if not any(differ >> b & 1 for b in key)), -1)
+    return blocks, [sum(blocks[b] for b in key) for key in keys], first
+
+
+def _differing_blocks(x: np.ndarray, blocks: list[int]) -> np.ndarray:
     out = np.zeros(len(x), np.int64)
-    for b in range(BLOCKS):
-        part = (x >> np.uint64(width * b)) & np.uint64((1 << width) - 1)
-        out |= (part != 0).astype(np.int64) << b
+    for b, mask in enumerate(blocks):
+        out |= ((x & np.uint64(mask)) != 0).astype(np.int64) << b
     return out
 
 
@@ -99,7 +101,7 @@ def _tree(found: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([*parents, none]), np.concatenate([*children, none])
 
 
-def _linker(max_bits: int, first: np.ndarray, most: int):
+def _linker(max_bits: int, blocks: list[int], first: np.ndarray, most: int):
     """For rows sorted by (c, key, fp): links within each key. A key of over `most` rows is passed on as rows
     without partner, so that a task holds `most` rows of a key."""
 
@@ -109,7 +111,7 @@ def _linker(max_bits: int, first: np.ndarray, most: int):
 
     def links(c: int, found: np.ndarray) -> Iterator[pa.RecordBatch]:
         u, v = _tree(found, max_bits)
-        own = first[_differing_blocks(u ^ v)] == c  # other links belong to another key that the pair shares
+        own = first[_differing_blocks(u ^ v, blocks)] == c  # other links belong to another key that the pair shares
         if own.any():
             yield emit(np.full(int(own.sum()), c), u[own], v[own])
 
@@ -150,22 +152,24 @@ def _worth(starts: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(starts[use].tolist(), ends[use].tolist()))
 
 
-def near_links(fingerprints: DataFrame, max_bits: int = 4) -> DataFrame:
+def _signed(mask: int) -> int:
+    return mask - (1 << 64) if mask >> 63 else mask
+
+
+def near_links(fingerprints: DataFrame, max_bits: int = 4, spare: int = SPARE) -> DataFrame:
     """Links (u, v) between distinct `fp` that connect all fingerprints at `max_bits` or fewer differing bits.
 
-    Two such fingerprints agree in `BLOCKS - max_bits` of the blocks or more, so they meet under one of the
-    keys made of that many blocks. A key that gathers more than `KEY_ROWS` distinct fingerprints is cut again
-    by the same rule over its remaining bits in half-width blocks, which leaves 2^16 values at most.
+    Cut into `max_bits + spare` blocks, two such fingerprints agree in `spare` blocks or more, so they meet
+    under one of the keys made of that many. A key that gathers more than `KEY_ROWS` distinct fingerprints is
+    cut again by the same rule over its other blocks, halved, and those finer keys are compared whole.
     """
-    masks, first = _first_key(max_bits)
-    signed = [m - (1 << 64) if m >> 63 else m for m in masks]
+    blocks, masks, first = _first_key(max_bits, spare)
     schema = "c int, u long, v long"
-    keyed = fingerprints.select(
-        F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in signed])).alias("c", "key"), "fp"
-    )
+    keys = F.array(*[F.col("fp").bitwiseAND(F.lit(_signed(m))) for m in masks])
+    keyed = fingerprints.select(F.posexplode(keys).alias("c", "key"), "fp")
     sorted_keys = keyed.repartition("c", "key").sortWithinPartitions("c", "key", "fp")
-    found = materialize(sorted_keys.mapInArrow(_linker(max_bits, first, KEY_ROWS), schema))
-    finer = _finer_masks(fingerprints.sparkSession, masks, max_bits)
+    found = materialize(sorted_keys.mapInArrow(_linker(max_bits, blocks, first, KEY_ROWS), schema))
+    finer = _finer_masks(fingerprints.sparkSession, blocks, masks, max_bits)
     again = (
         found.where("v IS NULL")
         .select("c", F.col("u").alias("fp"))
@@ -174,20 +178,22 @@ def near_links(fingerprints: DataFrame, max_bits: int = 4) -> DataFrame:
         .repartition("c", "s", "key")
         .sortWithinPartitions("c", "s", "key", "fp")
         .select("c", F.xxhash64("s", "key").alias("key"), "fp")
-        .mapInArrow(_linker(max_bits, first, 1 << 17), schema)
+        .mapInArrow(_linker(max_bits, blocks, first, 1 << 62), schema)
     )
     return found.where("v IS NOT NULL").select("u", "v").unionByName(again.select("u", "v"))
 
 
-def _finer_masks(spark: SparkSession, masks: list[int], max_bits: int) -> DataFrame:
-    width = 64 // BLOCKS // 2
+def _finer_masks(spark: SparkSession, blocks: list[int], masks: list[int], max_bits: int) -> DataFrame:
+    """(c, s, mask): for each key the finer keys, which fix half of the other blocks' halves as well."""
     rows = []
     for c, mask in enumerate(masks):
-        halves = [((1 << width) - 1) << (width * h) for h in range(2 * BLOCKS)]
-        free = [h for h in halves if not mask & h]
-        for s, chosen in enumerate(combinations(free, max(1, len(free) - max_bits))):
-            whole = mask | sum(chosen)
-            rows.append((c, s, whole - (1 << 64) if whole >> 63 else whole))
+        halves = []
+        for block in (b for b in blocks if not b & mask):
+            low, size = (block & -block).bit_length() - 1, block.bit_count()
+            cut = low + size // 2
+            halves += [(1 << cut) - (1 << low), (1 << (low + size)) - (1 << cut)]
+        for s, chosen in enumerate(combinations(halves, len(halves) - max_bits)):
+            rows.append((c, s, _signed(mask | sum(chosen))))
     return spark.createDataFrame(rows, "c int, s int, mask long")
 
 
@@ -218,14 +224,98 @@ def near_duplicates(
     )
 
 
-def one_of_each(docs: DataFrame, words: int = 5, max_bits: int = 4, key: str = "doc_id") -> DataFrame:
-    """`docs` without near duplicates: of each component the document with the smallest key stays.
+def _features(spark: SparkSession, text: Column, words: int, kept: int) -> Column:
+    """Struct of `fp`, the fingerprint of a text's distinct words, and `sketch`, the `kept` least hashes of its
+    shingles of `words` words, 32 bits each. ASCII lower case."""
+    small_batches(spark)
+
+    @F.arrow_udf("struct<fp:bigint,sketch:array<int>>")
+    def features(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            prints, sketches = [], []
+            for t in batch:
+                found = (t.as_py() or "").encode().lower().split()
+                prints.append(text_fingerprint(" ".join(w.decode() for w in sorted(set(found))), 1))
+                least = np.empty(0, np.uint64)
+                for at in range(0, max(1, len(found) - words + 1), _SHINGLES):
+                    part = found[at : at + _SHINGLES + words - 1]
+                    ends = range(max(1, len(part) - words + 1)) if part else ()
+                    hashes = [xxhash.xxh64_intdigest(b" ".join(part[i : i + words]), 42) for i in ends]
+                    least = np.unique(np.concatenate([least, np.array(hashes, np.uint64)]))[:kept]
+                sketches.append((least >> np.uint64(32)).astype(np.uint32).view(np.int32))
+            fp = pa.array(np.array(prints, np.uint64).view(np.int64))
+            yield pa.StructArray.from_arrays([fp, pa.array(sketches, pa.list_(pa.int32()))], ["fp", "sketch"])
+
+    return features(text)
+
+
+#: Texts of a group that all others of it are compared with: those nearest to the group's majority of bits.
+HUBS = 4
+
+
+def near_groups(
+    docs: DataFrame,
+    words: int = 5,
+    similarity: float = 0.8,
+    max_bits: int = 6,
+    spare: int = 3,
+    kept: int = 128,
+    key: str = "doc_id",
+    text: str = "text",
+) -> DataFrame:
+    """`key`, `text_hash` and `component_id` of every document: near duplicates by `similarity` of shingles.
 
-    Of rows that repeat that key, the first by all their values stays. Columns are those of `docs`.
+    Fingerprints of shingles scatter too much at a similarity of 0.8 (12 of 64 bits at the median), so those
+    of the texts' distinct words find the candidates, at `max_bits` or fewer; a change of one word moves them
+    little. Candidates link if their shingles of `words` words resemble each other by `similarity`, estimated
+    from their `kept` least hashes (exact below that number). Each text is compared with the text that its
+    fingerprint was linked through and with the `HUBS` of its group, never with all of it.
+    """
+    spark = docs.sparkSession
+    own = docs.select(F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    rows = own.select("_key", F.xxhash64("_text").alias("th"), _features(spark, F.col("_text"), words, kept).alias("f"))
+    rows = materialize(rows.select("_key", "th", "f.fp", "f.sketch"))
+    texts = materialize(rows.select("th", "fp", "sketch").dropDuplicates(["th"]))
+    of_print = texts.groupBy("fp").agg(F.min("th").alias("first"))
+    links = materialize(near_links(of_print.select("fp"), max_bits, spare))
+    rooted = texts.select("th", "fp").join(components(links).withColumnRenamed("node", "fp"), "fp", "left")
+    rooted = rooted.withColumn("root", F.coalesce("root", "fp"))
+    bits = [F.sum(F.shiftrightunsigned("fp", i).bitwiseAND(F.lit(1))) for i in range(64)]
+    most = reduce(
+        Column.bitwiseOR,
+        [F.when(2 * b > F.count(F.lit(1)), F.lit(_signed(1 << i))).otherwise(F.lit(0)) for i, b in enumerate(bits)],
+    )
+    centres = rooted.groupBy("root").agg(most.alias("centre"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    groups = materialize(rooted.join(centres, "root").select("root", "th", "fp", "centre"))
+    away = F.bit_count(F.col("fp").bitwiseXOR(F.col("centre")))
+    place = F.row_number().over(Window.partitionBy("root").orderBy(away, "th"))
+    hubs = groups.withColumn("at", place).where(F.col("at") <= HUBS)
+    hubs = hubs.select("root", F.col("th").alias("b"), F.col("fp").alias("hub"))
+    near = F.bit_count(F.col("fp").bitwiseXOR(F.col("hub"))) <= max_bits
+    to_hub = groups.join(hubs, "root").where(near).select(F.col("th").alias("a"), "b")
+    same = groups.select(F.col("th").alias("a"), "fp").join(of_print, "fp").select("a", F.col("first").alias("b"))
+    ends = [of_print.select(F.col("fp").alias(c), F.col("first").alias(n)) for c, n in (("u", "a"), ("v", "b"))]
+    across = links.join(ends[0], "u").join(ends[1], "v").select("a", "b")
+    pairs = to_hub.unionByName(same).unionByName(across).where("a <> b")
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    one, two = (texts.select(F.col("th").alias(n), F.col("sketch").alias(f"s{n}")) for n in ("a", "b"))
+    alike = resemblance(F.col("sa"), F.col("sb"), kept) >= similarity
+    verified = pairs.join(one, "a").join(two, "b").where(alike).select(F.col("a").alias("u"), F.col("b").alias("v"))
+    of_text = components(verified).withColumnRenamed("node", "th")
+    whole = rows.select("_key", "th").join(of_text, "th", "left").withColumn("root", F.coalesce("root", "th"))
+    names = whole.groupBy("root").agg(F.min("_key").alias("component_id"))
+    return whole.join(names, "root").select(F.col("_key").alias(key), F.col("th").alias("text_hash"), "component_id")
+
+
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """`docs` without near duplicates: of each group the document with the smallest key stays.
+
+    Of rows that share that key, the first by their values stays. Texts that are null or without words are
+    alike and form one group. Columns are those of `docs`.
     """
-    found = near_duplicates(docs, words, max_bits, key)
+    found = near_groups(docs, key=key, text=text, **options)
     stay = found.where(F.col(key).eqNullSafe(F.col("component_id"))).select(F.col(key).alias("_stay")).distinct()
-    order = [F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])]
-    first = F.row_number().over(Window.partitionBy(key).orderBy(*order))
+    order = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+    first = F.row_number().over(Window.partitionBy(key).orderBy(order))
     kept = docs.join(stay, F.col(key).eqNullSafe(F.col("_stay"))).withColumn("_row", first)
     return kept.where("_row = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
