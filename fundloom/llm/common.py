@@ -22,6 +22,18 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
         spark.conf.set(key, str(rows))
 
 
+def packed(docs: DataFrame, **columns: Column) -> DataFrame:
+    """The rows of `docs` as one column `row` beside the given ones, so that no name of theirs can clash."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    return docs.select(whole, *[c.alias(name) for name, c in columns.items()])
+
+
+def unpacked(rows: DataFrame, docs: DataFrame, **columns: Column) -> DataFrame:
+    """The columns of `docs` again, then the given ones, which take the place of columns of their names."""
+    old = [F.col(f"row.`{c}`") for c in docs.columns if c not in columns]
+    return rows.select(*old, *[c.alias(name) for name, c in columns.items()])
+
+
 def numbered(df: DataFrame, group: list[Column], block: Column, order: list[Column], name: str) -> DataFrame:
     """0-based gapless numbers within each group, without one task per group.
 

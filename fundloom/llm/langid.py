@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from fundloom.llm.common import small_batches
+from fundloom.llm.common import packed, small_batches, unpacked
 
 #: Bytes that one run of the network reads; its state starts anew with each stretch.
 STEPS = 64
@@ -288,14 +288,14 @@ def identify(
     text that is null or without letters is `und`, and so is every text if there is nothing to learn from.
     """
     net = network or fit(docs, key, text, lang)
-    found = docs.withColumn("_found", language(docs.sparkSession, net, F.col(text)))
-    return found.withColumns(
-        {"held_out": ~may_learn(F.col(key)), "lang_pred": F.col("_found.lang"), "score": F.col("_found.score")}
-    ).drop("_found")
+    found = packed(docs, found=language(docs.sparkSession, net, F.col(text)), held_out=~may_learn(F.col(key)))
+    return unpacked(
+        found, docs, held_out=F.col("held_out"), lang_pred=F.col("found.lang"), score=F.col("found.score")
+    )
 
 
-def in_known_language(docs: DataFrame, least: float = 0.5) -> DataFrame:
-    """`docs` without those that have no language: no letters, or a score below `least`."""
-    found = identify(docs)
-    kept = found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+def in_known_language(docs: DataFrame, least: float = 0.3) -> DataFrame:
+    """`docs` without those that have no language: no letters, or a score below `least`, hardly above chance."""
+    net = fit(docs)
+    found = packed(docs, found=language(docs.sparkSession, net, F.col("text")))
+    return unpacked(found.where((F.col("found.lang") != UNKNOWN) & (F.col("found.score") >= least)), docs)

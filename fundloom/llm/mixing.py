@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from fundloom.llm.common import numbered
+from fundloom.llm.common import numbered, packed, unpacked
 
 #: Documents of a block, shares that the weights are rounded to, and sources with a weight of their own;
 #: the documents of all smaller sources are mixed as one.
@@ -146,9 +146,9 @@ def mix(
         "_places array<array<int>>",
     )
     digest = F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary"))
-    placed = numbered(docs, [label], F.substring(digest, 1, 2), [digest, F.col(key)], "_seq")
-    block = F.floor(F.col("_seq") / block_rows)
-    placed = placed.withColumn("_mix", label).withColumn("block", block).join(F.broadcast(table), "_mix")
+    rows = packed(docs, key=F.col(key), digest=digest, _mix=label)
+    placed = numbered(rows, [F.col("_mix")], F.substring("digest", 1, 2), [F.col("digest"), F.col("key")], "_seq")
+    placed = placed.withColumn("block", F.floor(F.col("_seq") / block_rows)).join(F.broadcast(table), "_mix")
     phase = F.size(F.filter("_before", lambda b: b <= F.col("block"))) - 1
     placed = placed.withColumn("_phase", phase).withColumn("_nth", F.col("block") - F.get("_before", F.col("_phase")))
     turn = F.col("_nth") % F.get("_blocks", F.col("_phase"))
@@ -165,8 +165,7 @@ def mix(
         missing = F.aggregate(earlier, F.lit(0).cast("long"), lambda a, x: a + x["n"])
     position = F.col("slot") * block_rows + F.col("_seq") % block_rows - missing
     placed = placed.withColumn("slot", slot).withColumn("position", position)
-    hidden = ["_mix", "_before", "_blocks", "_length", "_start", "_places", "_phase", "_nth", "_seq"]
-    return placed.drop(*hidden)
+    return unpacked(placed, docs, block=F.col("block"), slot=F.col("slot"), position=F.col("position"))
 
 
 def in_mixed_order(docs: DataFrame, key: str = "doc_id", source: str = "source", **options) -> DataFrame:
@@ -174,8 +173,6 @@ def in_mixed_order(docs: DataFrame, key: str = "doc_id", source: str = "source",
 
     All rows and columns stay as they are; the order of the rows in the written files is the mixture.
     """
-    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    rows = docs.select(F.col(key).alias("_key"), F.col(source).alias("_source"), whole.alias("_row"))
-    placed = mix(rows, key="_key", source="_source", **options)
-    ordered = placed.select("position", "_row").repartitionByRange("position").sortWithinPartitions("position")
-    return ordered.select("_row.*")
+    rows = packed(docs, key=F.col(key), source=F.col(source))
+    placed = mix(rows, key="key", source="source", **options).select("position", "row")
+    return unpacked(placed.repartitionByRange("position").sortWithinPartitions("position"), docs)

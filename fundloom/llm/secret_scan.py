@@ -11,7 +11,7 @@ import pyarrow as pa
 import tiktoken
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from fundloom.llm.common import small_batches
+from fundloom.llm.common import packed, small_batches, unpacked
 
 # The kinds in their order, their patterns and the least length of what they find.
 KINDS = ["assign", "access", "hex", "random"]
@@ -134,8 +134,9 @@ def redact_secrets(
                 out.append("".join([*parts, whole[at:]]) if parts else None)
             yield pa.array(out, pa.string())
 
-    changed = docs.withColumn("_changed", redact(F.col(text)))
+    rows = packed(docs, changed=redact(F.col(text)))
+    new = {text: F.coalesce("changed", F.col(f"row.`{text}`"))}
     if n_chars in docs.columns:
-        counted = F.coalesce(F.length("_changed").cast(docs.schema[n_chars].dataType), F.col(n_chars))
-        changed = changed.withColumn(n_chars, counted)
-    return changed.withColumn(text, F.coalesce("_changed", F.col(text))).drop("_changed")
+        count = F.length("changed").cast(docs.schema[n_chars].dataType)
+        new[n_chars] = F.coalesce(count, F.col(f"row.`{n_chars}`"))
+    return unpacked(rows, docs, **new).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -6,7 +6,7 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from fundloom.llm.common import numbered
+from fundloom.llm.common import numbered, packed, unpacked
 
 _MULTIPLIER = Decimal(2862933555777941757)  # of the published generator
 _WORD = Decimal(2**64)
@@ -50,15 +50,24 @@ def shard_documents(docs: DataFrame, shards: int, key: str = "doc_id", text: str
     Slots are gapless from 0 in each shard, by the digest of the key; equal rows are interchangeable.
     """
     own = F.coalesce(F.col(text), F.lit("")).cast("binary")
-    placed = docs.withColumns(
-        {
-            "size": (F.octet_length(own) + 1).cast("long"),
-            "text_crc32": F.crc32(own),
-            "law": F.lit("key"),
-            "shard": jump_hash(F.col(key), shards),
-            "grown_shard": jump_hash(F.col(key), shards + 1),
-        }
+    placed = packed(
+        docs,
+        key=F.col(key),
+        size=(F.octet_length(own) + 1).cast("long"),
+        crc=F.crc32(own),
+        shard=jump_hash(F.col(key), shards),
+        grown=jump_hash(F.col(key), shards + 1),
+    )
+    block = F.substring(F.md5(F.coalesce(F.col("key").cast("string"), F.lit("")).cast("binary")), 1, 2)
+    order = [F.col("key"), F.col("size"), F.col("crc")]
+    found = numbered(placed, [F.col("shard")], block, order, "slot")
+    return unpacked(
+        found,
+        docs,
+        size=F.col("size"),
+        text_crc32=F.col("crc"),
+        law=F.lit("key"),
+        shard=F.col("shard"),
+        slot=F.col("slot"),
+        grown_shard=F.col("grown"),
     )
-    block = F.substring(F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")), 1, 2)
-    order = [F.col(key), F.col("size"), F.col("text_crc32")]
-    return numbered(placed, [F.col("shard")], block, order, "slot")

@@ -11,7 +11,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from fundloom.llm.common import small_batches
+from fundloom.llm.common import packed, small_batches, unpacked
 from fundloom.llm.components import components
 from fundloom.llm.sketches import resemblance
 from fundloom.session import materialize
@@ -315,7 +315,7 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", **opti
     """
     found = near_groups(docs, key=key, text=text, **options)
     stay = found.where(F.col(key).eqNullSafe(F.col("component_id"))).select(F.col(key).alias("_stay")).distinct()
-    order = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
-    first = F.row_number().over(Window.partitionBy(key).orderBy(order))
-    kept = docs.join(stay, F.col(key).eqNullSafe(F.col("_stay"))).withColumn("_row", first)
-    return kept.where("_row = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = packed(docs, key=F.col(key), hash=F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
+    first = F.row_number().over(Window.partitionBy("key").orderBy("hash"))
+    kept = rows.join(stay, F.col("key").eqNullSafe(F.col("_stay"))).withColumn("place", first)
+    return unpacked(kept.where("place = 1"), docs)
