@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fundloom.catalog.registry import d, over, query, r
-from fundloom.operators import accuracy, ordering
+from fundloom.operators import accuracy, ordering, portfolio
 from fundloom.plans import views
 from fundloom.session import materialize, staging_path
 from fundloom.sources import sinks
@@ -141,7 +141,8 @@ _SUMMARY = f"""count(*) AS total_predictions, count(DISTINCT class_id) AS unique
 
 
 def _model_corr(m: str) -> str:
-    return f"""covar_pop({m}, {E_}) / (stddev_pop({m}) * stddev_pop({E_}))"""
+    both = f"FILTER ({m} IS NOT NULL AND {E_} IS NOT NULL)"
+    return f"covar_pop({m}, {E_}) / (stddev_pop({m}) {both} * stddev_pop({E_}) {both})"
 
 
 @query(
@@ -149,13 +150,11 @@ def _model_corr(m: str) -> str:
     over(["predictions"], f"SELECT {_SUMMARY}, " + ", ".join(
         f"{r(f'avg({m})', f'{m[:-11]}_mean', 8)}, {r(f'stddev_samp({m})', f'{m[:-11]}_std', 8)}, "
         f"{r(_model_corr(m), f'{m[:-11]}_correlation', 8)}" for m in MODELS)
-        + f" FROM (SELECT * FROM predictions WHERE {E_} IS NOT NULL AND xgb_prediction IS NOT NULL"
-        + " AND rf_prediction IS NOT NULL)"),
+        + " FROM predictions"),
     digits=8,
 )
 def prediction_report(spark, sf):
-    pred = materialize(views.predictions(spark, sf).where(F.col(E_).isNotNull()))
-    report = accuracy.prediction_report(pred, MODELS)
+    report = accuracy.prediction_report(materialize(views.predictions(spark, sf)), MODELS)
     models = [m.removesuffix("_prediction") for m in MODELS]
     parts = {"mean": "mean", "std": "std", "correlation": "correlation_with_ensemble"}
     flat = [
@@ -166,8 +165,7 @@ def prediction_report(spark, sf):
 
 @query("sink_report_json")
 def sink_report_json(spark, sf):
-    pred = materialize(views.predictions(spark, sf).where(F.col(E_).isNotNull()))
-    report = accuracy.prediction_report(pred, MODELS)
+    report = accuracy.prediction_report(materialize(views.predictions(spark, sf)), MODELS)
     path = sinks.sink_report_json(
         report, staging_path(spark, "report"), config=F.struct(F.lit("mean").alias("ensemble_method"))
     )
@@ -185,18 +183,16 @@ def single_fund_summary(spark, sf):
     return accuracy.single_fund_summary(views.predictions(spark, sf), "C000000003")
 
 
-MONTHS = ["199801", "199802", "199806", "200012"]
-
-
 @query(
     "pivot_error_matrix",
-    over(["scored"], "SELECT class_id, " + ", ".join(
-        r(f"avg(CASE WHEN strftime(month_end, '%Y%m') = '{m}' THEN {P} - {T} END)", m, 10) for m in MONTHS)
-        + " FROM scored GROUP BY 1"),
+    over(["scored"], "SELECT * FROM (PIVOT cells ON m USING max(v) GROUP BY class_id)", {"cells":
+        f"""SELECT class_id, strftime(month_end, '%Y%m') AS m, {r(f'avg({P} - {T})', 'v', 10)} FROM scored GROUP BY ALL"""}),
     digits=10,
 )
 def pivot_error_matrix(spark, sf):
-    return accuracy.pivot_error_matrix(_scored(spark, sf), MONTHS)
+    """A column for every month of the calendar."""
+    scored = materialize(_scored(spark, sf))
+    return accuracy.pivot_error_matrix(scored, portfolio.months_of(scored, "month_end"))
 
 
 @query(

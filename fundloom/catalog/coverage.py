@@ -17,17 +17,17 @@ BY_FUND = {
         SELECT class_id, min(month_end) AS first_date, max(month_end) AS last_date,
           count(DISTINCT month_end) AS actual_months, count("return") AS has_returns, count({A}) AS has_alpha,
           datediff('month', min(month_end), max(month_end)) + 1 AS expected_months
-        FROM audited_panel GROUP BY 1)"""
+        FROM gappy_audit GROUP BY 1)"""
 }
 
 
 def _panel(spark, sf):
-    return views.audited_panel(spark, sf)
+    return views.gappy(views.audited_panel(spark, sf))
 
 
 @query(
     "coverage_by_fund",
-    over(["audited_panel"], f"""SELECT class_id, {d('first_date')}, {d('last_date')}, actual_months, has_returns,
+    over(["gappy_audit"], f"""SELECT class_id, {d('first_date')}, {d('last_date')}, actual_months, has_returns,
       has_alpha, {i('expected_months')}, {i('missing_months')}, {r('coverage_pct')} FROM funds""", BY_FUND),
 )
 def coverage_by_fund(spark, sf):
@@ -36,7 +36,7 @@ def coverage_by_fund(spark, sf):
 
 @query(
     "coverage_summary",
-    over(["audited_panel"], f"""SELECT {r('avg(coverage_pct)', 'mean_coverage')}, {r('min(coverage_pct)', 'min_coverage')},
+    over(["gappy_audit"], f"""SELECT {r('avg(coverage_pct)', 'mean_coverage')}, {r('min(coverage_pct)', 'min_coverage')},
       {r('max(coverage_pct)', 'max_coverage')}, count(*) AS funds,
       {i('count(CASE WHEN missing_months > 0 THEN 1 END)', 'funds_with_gaps')},
       {r('avg(CASE WHEN missing_months > 0 THEN missing_months END)', 'mean_missing')},
@@ -49,7 +49,7 @@ def coverage_summary(spark, sf):
 
 @query(
     "worst_coverage",
-    over(["audited_panel"], f"""SELECT class_id, {i('expected_months')}, actual_months, {r('coverage_pct')} FROM funds
+    over(["gappy_audit"], f"""SELECT class_id, {i('expected_months')}, actual_months, {r('coverage_pct')} FROM funds
       WHERE coverage_pct < 97.5 ORDER BY funds.coverage_pct, class_id LIMIT 10""", BY_FUND),
 )
 def worst_coverage(spark, sf):
@@ -87,9 +87,9 @@ def quarterly_unique_funds(spark, sf):
 
 @query(
     "availability_by_month",
-    over(["audited_panel"], f"""SELECT {d('month_end')}, count("return") AS returns, count({A}) AS alphas,
+    over(["gappy_audit"], f"""SELECT {d('month_end')}, count("return") AS returns, count({A}) AS alphas,
       count(MKT_RF) AS factors, count(*) AS total_records, {r(f'count({A}) * 100.0 / count(*)', 'pct_with_alpha')},
-      {r('count(MKT_RF) * 100.0 / count(*)', 'pct_with_factors')} FROM audited_panel GROUP BY audited_panel.month_end"""),
+      {r('count(MKT_RF) * 100.0 / count(*)', 'pct_with_factors')} FROM gappy_audit GROUP BY gappy_audit.month_end"""),
 )
 def availability_by_month(spark, sf):
     return coverage.availability_by_month(_panel(spark, sf))
@@ -97,8 +97,8 @@ def availability_by_month(spark, sf):
 
 @query(
     "availability_by_year",
-    over(["audited_panel"], f"""SELECT year(month_end) AS year, count(*) AS total, count({A}) AS with_alpha,
-      {r(f'count({A}) * 100.0::DOUBLE / count(*)', 'pct', 1)} FROM audited_panel GROUP BY 1"""),
+    over(["gappy_audit"], f"""SELECT year(month_end) AS year, count(*) AS total, count({A}) AS with_alpha,
+      {r(f'count({A}) * 100.0::DOUBLE / count(*)', 'pct', 1)} FROM gappy_audit GROUP BY 1"""),
     digits=1,
 )
 def availability_by_year(spark, sf):
@@ -107,8 +107,8 @@ def availability_by_year(spark, sf):
 
 @query(
     "column_availability",
-    over(["audited_panel"], " UNION ALL ".join(
-        f"SELECT '{c}' AS variable, count({c}) AS available, {r(f'count({c}) / count(*)', 'share')} FROM audited_panel"
+    over(["gappy_audit"], " UNION ALL ".join(
+        f"SELECT '{c}' AS variable, count({c}) AS available, {r(f'count({c}) / count(*)', 'share')} FROM gappy_audit"
         for c in FACTORS)),
 )
 def column_availability(spark, sf):
@@ -117,9 +117,9 @@ def column_availability(spark, sf):
 
 @query(
     "fund_history",
-    over(["audited_panel"], f"""SELECT class_id, {d('min(month_end)', 'first_month')}, {d('max(month_end)', 'last_month')},
+    over(["gappy_audit"], f"""SELECT class_id, {d('min(month_end)', 'first_month')}, {d('max(month_end)', 'last_month')},
       count(*) AS total_months, count({A}) AS months_with_alpha, {r(f'count({A}) * 100.0 / count(*)', 'pct_with_alpha')}
-      FROM audited_panel GROUP BY 1"""),
+      FROM gappy_audit GROUP BY 1"""),
 )
 def fund_history(spark, sf):
     return coverage.fund_history(_panel(spark, sf))
@@ -127,10 +127,10 @@ def fund_history(spark, sf):
 
 @query(
     "months_before_alpha",
-    over(["audited_panel"], f"""SELECT count(*) AS funds, {r('avg(months)', 'mean_months')}, {i('min(months)', 'min_months')},
+    over(["gappy_audit"], f"""SELECT count(*) AS funds, {r('avg(months)', 'mean_months')}, {i('min(months)', 'min_months')},
       {i('max(months)', 'max_months')}, {r('quantile_cont(months, 0.5)', 'median_months')} FROM (
         SELECT datediff('month', min(month_end), min(CASE WHEN {A} IS NOT NULL THEN month_end END)) AS months
-        FROM audited_panel GROUP BY class_id) WHERE months IS NOT NULL"""),
+        FROM gappy_audit GROUP BY class_id) WHERE months IS NOT NULL"""),
 )
 def months_before_alpha(spark, sf):
     return coverage.months_before_alpha(_panel(spark, sf))
@@ -138,10 +138,10 @@ def months_before_alpha(spark, sf):
 
 @query(
     "alpha_boundary_months",
-    over(["audited_panel"], f"""SELECT {d('a', 'first_month')}, {d('b', 'first_alpha')}, {d('c', 'last_without_alpha')},
+    over(["gappy_audit"], f"""SELECT {d('a', 'first_month')}, {d('b', 'first_alpha')}, {d('c', 'last_without_alpha')},
       {i("datediff('month', a, b)", 'months_to_alpha')} FROM (SELECT min(month_end) AS a,
         min(CASE WHEN {A} IS NOT NULL THEN month_end END) AS b, max(CASE WHEN {A} IS NULL THEN month_end END) AS c
-        FROM audited_panel)"""),
+        FROM gappy_audit)"""),
 )
 def alpha_boundary_months(spark, sf):
     return coverage.alpha_boundary_months(_panel(spark, sf))
@@ -149,18 +149,18 @@ def alpha_boundary_months(spark, sf):
 
 @query(
     "funds_with_min_history",
-    over(["panel"], """SELECT count(*) AS funds, count(CASE WHEN m >= 36 THEN 1 END) AS funds_with_history,
-      max(m) AS longest FROM (SELECT count(DISTINCT month_end) AS m FROM panel GROUP BY class_id)"""),
+    over(["gappy_panel"], """SELECT count(*) AS funds, count(CASE WHEN m >= 36 THEN 1 END) AS funds_with_history,
+      max(m) AS longest FROM (SELECT count(DISTINCT month_end) AS m FROM gappy_panel GROUP BY class_id)"""),
 )
 def funds_with_min_history(spark, sf):
-    return coverage.funds_with_min_history(views.panel(spark, sf))
+    return coverage.funds_with_min_history(views.gappy(views.panel(spark, sf)))
 
 
 @query(
     "regression_eligibility",
-    over(["audited_panel"], f"""SELECT {i('sum(n)', 'complete_rows')}, count(CASE WHEN n >= 30 THEN 1 END) AS eligible_funds,
+    over(["gappy_audit"], f"""SELECT {i('sum(n)', 'complete_rows')}, count(CASE WHEN n >= 30 THEN 1 END) AS eligible_funds,
       max(n) AS longest, {i('sum(greatest(n - 29, 0))', 'expected_windows')} FROM (SELECT count(CASE WHEN "return" IS NOT NULL
-        AND {' AND '.join(f'{c} IS NOT NULL' for c in FACTORS)} THEN 1 END) AS n FROM audited_panel GROUP BY class_id)"""),
+        AND {' AND '.join(f'{c} IS NOT NULL' for c in FACTORS)} THEN 1 END) AS n FROM gappy_audit GROUP BY class_id)"""),
 )
 def regression_eligibility(spark, sf):
     return coverage.regression_eligibility(_panel(spark, sf), ["return", *FACTORS])
@@ -168,10 +168,10 @@ def regression_eligibility(spark, sf):
 
 @query(
     "alpha_coverage_by_month",
-    over(["audited_panel"], f"""SELECT count(*) AS months, min(n) AS min_per_month, max(n) AS max_per_month,
-      {r('avg(n)', 'mean_per_month')}, {r(f'''(SELECT count({A}) / count(*) FROM audited_panel
+    over(["gappy_audit"], f"""SELECT count(*) AS months, min(n) AS min_per_month, max(n) AS max_per_month,
+      {r('avg(n)', 'mean_per_month')}, {r(f'''(SELECT count({A}) / count(*) FROM gappy_audit
         WHERE month_end >= DATE '2000-12-31')''', 'recent_share')}
-      FROM (SELECT count({A}) AS n FROM audited_panel GROUP BY month_end) WHERE n > 0"""),
+      FROM (SELECT count({A}) AS n FROM gappy_audit GROUP BY month_end) WHERE n > 0"""),
 )
 def alpha_coverage_by_month(spark, sf):
     return coverage.alpha_coverage_by_month(_panel(spark, sf), "2000-12-31")
@@ -191,16 +191,16 @@ _MEASURES = ("coverage", "late_coverage", "months_per_fund")
 @query(
     "coverage_before_after",
     over(
-        ["audited_panel"],
+        ["gappy_audit"],
         "SELECT records_before, records_after, records_after - records_before AS records_change, "
         + ", ".join(
             f"{r(f'{m}_before')}, {r(f'{m}_after')}, {r(f'{m}_after - {m}_before', f'{m}_change')}" for m in _MEASURES
         )
         + " FROM old, new",
         {
-            "sparse": "SELECT * FROM audited_panel WHERE month(month_end) % 2 = 0",
+            "sparse": "SELECT * FROM gappy_audit WHERE month(month_end) % 2 = 0",
             "old": _coverage_sql("sparse", "before"),
-            "new": _coverage_sql("audited_panel", "after"),
+            "new": _coverage_sql("gappy_audit", "after"),
         },
     ),
 )
@@ -212,20 +212,20 @@ def coverage_before_after(spark, sf):
 
 @query(
     "modal_fund_timeline",
-    over(["panel"], f"""SELECT class_id, {d('month_end')}, {r('"return"', 'return')} FROM panel WHERE class_id =
-      (SELECT class_id FROM panel GROUP BY 1 ORDER BY count(*) DESC, class_id LIMIT 1) ORDER BY panel.month_end LIMIT 12"""),
+    over(["gappy_panel"], f"""SELECT class_id, {d('month_end')}, {r('"return"', 'return')} FROM gappy_panel WHERE class_id =
+      (SELECT class_id FROM gappy_panel GROUP BY 1 ORDER BY count(*) DESC, class_id LIMIT 1) ORDER BY gappy_panel.month_end LIMIT 12"""),
 )
 def modal_fund_timeline(spark, sf):
-    return coverage.modal_fund_timeline(views.panel(spark, sf))
+    return coverage.modal_fund_timeline(views.gappy(views.panel(spark, sf)))
 
 
 @query(
     "month_gaps",
-    over(["panel"], f"""SELECT class_id, count(*) AS n_steps, {i('sum((days > 32)::INT)', 'n_gap')},
+    over(["gappy_panel"], f"""SELECT class_id, count(*) AS n_steps, {i('sum((days > 32)::INT)', 'n_gap')},
       {i('sum((days BETWEEN 25 AND 35)::INT)', 'n_normal')}, {i('sum((days > 60)::INT)', 'n_large')},
       {i('max(days)', 'max_days')} FROM (SELECT class_id,
-        month_end - lag(month_end) OVER (PARTITION BY class_id ORDER BY month_end) AS days FROM panel)
+        month_end - lag(month_end) OVER (PARTITION BY class_id ORDER BY month_end) AS days FROM gappy_panel)
       WHERE days IS NOT NULL GROUP BY 1"""),
 )
 def month_gaps(spark, sf):
-    return timeseries.month_gap_summary(views.panel(spark, sf))
+    return timeseries.month_gap_summary(views.gappy(views.panel(spark, sf)))

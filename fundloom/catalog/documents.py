@@ -160,8 +160,8 @@ _VALUES = {
       list_transform({_all(T.TURNOVER_PATTERNS, "")}, lambda x: CAST(x AS DOUBLE) / 100) AS turns FROM prospectuses""",
     "classed": """SELECT *, list_filter(named, lambda x, k: list_position(named, x) = k) AS classes FROM found
       WHERE NOT tagged""",
-    "numbered": """SELECT *, unnest(range(1, least(CASE WHEN len(classes) = len(ratios) THEN len(classes) ELSE 5 END,
-      len(classes)) + 1)) AS k FROM classed WHERE len(ratios) > 0 OR len(turns) > 0""",
+    "numbered": """SELECT *, unnest(range(1, len(classes) + 1)) AS k FROM classed
+      WHERE len(ratios) > 0 OR len(turns) > 0""",
 }
 
 
@@ -271,10 +271,9 @@ def document_kind(spark, sf):
 @query(
     "document_url_key",
     over(["index_rows"], f"""SELECT CAST(CAST(cik AS BIGINT) AS VARCHAR) || '/' || replace(accession, '-', '') || '/'
-      || replace(primary_doc, 'xslFormNPORT-P_X01/', '') AS url_key, {i('length(accession)', 'n')} FROM index_rows
-      WHERE starts_with(upper(form), 'NPORT-P') AND filing_date >= '1990-01-01'"""),
+      || replace(primary_doc, 'xslFormNPORT-P_X01/', '') AS url_key, {i('length(accession)', 'n')} FROM index_rows"""),
 )
 def document_url_key(spark, sf):
-    rows = filings.scan_filing_index(index_documents(spark, sf), "1990-01-01")
+    rows = filings.scan_filing_index(index_documents(spark, sf), since="", prefix="")
     key = scalars.document_url_key(F.col("cik"), F.col("accession"), F.col("primary_doc"))
     return rows.select(key.alias("url_key"), F.length("accession").alias("n"))

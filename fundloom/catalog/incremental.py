@@ -18,13 +18,12 @@ from fundloom.streaming import incremental
     digits=10,
 )
 def incremental_stream(spark, sf):
-    """Filings land as files of two priorities and are merged batch by batch."""
+    """Filings of two priorities land one after the other, and each landing is merged when it is there."""
     filed = views.filings(spark, sf).select(*incremental.COLUMNS, (F.col("position") <= 3).alias("early"))
-    landing, root = staging_path(spark, "landing"), staging_path(spark, "returns_db")
-    filed.repartition("early").write.partitionBy("early").parquet(landing)
-    stream = incremental.stream_quarters(
-        spark, landing, root, staging_path(spark, "progress"), files_per_batch=1
-    )
-    stream.awaitTermination()
+    landing, root, progress = (staging_path(spark, n) for n in ("landing", "returns_db", "progress"))
+    for early in (True, False):
+        part = filed.where(F.col("early") if early else ~F.col("early")).drop("early")
+        part.write.parquet(f"{landing}/early={early}")
+        incremental.stream_quarters(spark, landing, root, progress).awaitTermination()
     db = incremental.read_returns_database(spark, root)
     return db.select("cik", "class_id", "month_end", "filing_date", "accession", "return")

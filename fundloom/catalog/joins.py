@@ -9,6 +9,7 @@ from fundloom.catalog.sources import quarters
 from fundloom.functions.scalars import quarter_key
 from fundloom.operators import dedup, joins, timeseries
 from fundloom.plans import views
+from fundloom.session import materialize
 
 KEYS = f"class_id, {d('month_end')}"
 
@@ -161,16 +162,17 @@ def missing_data_template(spark, sf):
 
 @query(
     "join_num_sub",
-    f"""SELECT l_orderkey AS adsh, l_linenumber AS line, o_custkey AS cik, {d('o_orderdate', 'period')},
+    f"""SELECT l_orderkey + l_linenumber AS adsh, l_orderkey, l_linenumber AS line, o_custkey AS cik, {d('o_orderdate', 'period')},
       {d('o_orderdate + INTERVAL 60 DAY', 'filed')}
       FROM (SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber FROM lineitem)
-      LEFT JOIN (SELECT * FROM orders WHERE o_orderstatus <> 'P') ON l_orderkey = o_orderkey""",
+      LEFT JOIN orders ON l_orderkey + l_linenumber = o_orderkey""",
 )
 def join_num_sub(spark, sf):
+    """Facts by a key that some submissions lack: the order after as many as the line has before it."""
     numbers = views.table(spark, sf, "lineitem").select(
-        F.col("l_orderkey").alias("adsh"), F.col("l_linenumber").alias("line")
+        (F.col("l_orderkey") + F.col("l_linenumber")).alias("adsh"), F.col("l_orderkey"), F.col("l_linenumber").alias("line")
     )
-    submissions = views.table(spark, sf, "orders").where("o_orderstatus <> 'P'").select(
+    submissions = views.table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("adsh"),
         F.col("o_custkey").alias("cik"),
         F.to_date("o_orderdate").alias("period"),
@@ -179,11 +181,10 @@ def join_num_sub(spark, sf):
     return joins.join_num_sub(numbers, submissions)
 
 
-def _stored(spark, sf):
+def _stored(spark, sf, base):
     """Stored returns: two months in three of the panel, shifted in value, and months the panel lacks."""
     at = views.month_number("month_end")
-    base = views.supplier_month(spark, sf).where((F.col("l_suppkey") + at) % 3 != 0)
-    return base.select(
+    return base.where((F.col("l_suppkey") + at) % 3 != 0).select(
         views.class_key("l_suppkey").alias("class_id"),
         "month_end",
         F.when(
@@ -212,8 +213,9 @@ view(
     digits=8,
 )
 def merge_returns_prefer_db(spark, sf):
-    panel = views.panel(spark, sf).select("class_id", "month_end", "return")
-    return joins.merge_returns_prefer_db(panel, _stored(spark, sf))
+    base = materialize(views.supplier_month(spark, sf))
+    panel = views.panel(spark, sf, base).select("class_id", "month_end", "return")
+    return joins.merge_returns_prefer_db(panel, _stored(spark, sf, base))
 
 
 @query(
@@ -227,7 +229,7 @@ def merge_returns_prefer_db(spark, sf):
           WINDOW past AS (PARTITION BY class_id ORDER BY month_end ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
             future AS (PARTITION BY class_id ORDER BY month_end ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)""",
         {
-            "shifted": """SELECT * FROM panel WHERE month_end >= DATE '1996-06-30'""",
+            "shifted": "SELECT * FROM panel",
             "reach": """SELECT class_id, CAST(min(month_end) - INTERVAL 7 MONTH AS DATE) AS since, max(month_end) AS until
               FROM shifted GROUP BY 1""",
             "inside": """SELECT s.* FROM stored s JOIN reach r ON s.class_id = r.class_id
@@ -245,9 +247,9 @@ def merge_returns_prefer_db(spark, sf):
     digits=8,
 )
 def outer_merge_returns(spark, sf):
-    panel = views.panel(spark, sf).where(F.col("month_end") >= F.lit("1996-06-30").cast("date"))
-    narrow = panel.select("class_id", "month_end", "return", "cik", "series_id")
-    return joins.outer_merge_returns(narrow, _stored(spark, sf), extra_months=7)
+    base = materialize(views.supplier_month(spark, sf))
+    narrow = views.panel(spark, sf, base).select("class_id", "month_end", "return", "cik", "series_id")
+    return joins.outer_merge_returns(narrow, _stored(spark, sf, base), extra_months=7)
 
 
 @query(
@@ -274,7 +276,7 @@ def join_pred_panel_left(spark, sf):
 
 
 SPINE_SQL = {
-    "inside": """SELECT * FROM panel WHERE month_end BETWEEN DATE '1996-01-15' AND DATE '2001-03-31'""",
+    "inside": """SELECT * FROM gappy_panel WHERE month_end BETWEEN DATE '1996-01-15' AND DATE '2001-03-31'""",
     "spine": """SELECT class_id, CAST(last_day(m) AS DATE) AS month_end FROM (SELECT DISTINCT class_id FROM inside),
       (SELECT unnest(generate_series(DATE '1996-01-01', DATE '2001-03-31', INTERVAL 1 MONTH)) AS m)""",
     "filled": """SELECT s.class_id, s.month_end, "return" AS ret FROM spine s LEFT JOIN inside USING (class_id, month_end)""",
@@ -282,11 +284,11 @@ SPINE_SQL = {
 
 
 def spine(spark, sf):
-    returns = views.panel(spark, sf).select("class_id", "month_end", "return")
+    returns = views.gappy(views.panel(spark, sf)).select("class_id", "month_end", "return")
     return joins.calendar_spine_fill(returns, "1996-01-15", "2001-03-31")
 
 
-@query("calendar_spine_fill", over(["panel"], f"SELECT {KEYS}, {r('ret', 'return')} FROM filled", SPINE_SQL))
+@query("calendar_spine_fill", over(["gappy_panel"], f"SELECT {KEYS}, {r('ret', 'return')} FROM filled", SPINE_SQL))
 def calendar_spine_fill(spark, sf):
     return spine(spark, sf)
 
@@ -327,13 +329,13 @@ def anti_processed_quarters(spark, sf):
 
 @query(
     "anti_missing_months",
-    over(["panel"], f"""SELECT class_id, {d('month_end')} FROM (
+    over(["gappy_panel"], f"""SELECT class_id, {d('month_end')} FROM (
       SELECT class_id, CAST(last_day(unnest(generate_series(date_trunc('month', min(month_end)), max(month_end),
-        INTERVAL 1 MONTH))) AS DATE) AS month_end FROM panel GROUP BY class_id)
-      WHERE (class_id, month_end) NOT IN (SELECT (class_id, month_end) FROM panel)"""),
+        INTERVAL 1 MONTH))) AS DATE) AS month_end FROM gappy_panel GROUP BY class_id)
+      WHERE (class_id, month_end) NOT IN (SELECT (class_id, month_end) FROM gappy_panel)"""),
 )
 def anti_missing_months(spark, sf):
-    return joins.anti_missing_months(views.panel(spark, sf))
+    return joins.anti_missing_months(views.gappy(views.panel(spark, sf)))
 
 
 @query(

@@ -8,6 +8,7 @@ from fundloom.catalog.registry import i, over, query, r
 from fundloom.functions import stats
 from fundloom.operators import coverage, ordering, portfolio, profile, timeseries
 from fundloom.plans import views
+from fundloom.session import materialize
 
 COLUMNS = ["class_id", "series_id", "month_end", "return", "sales", "cash", "n"]
 TYPES = ["string", "string", "date", "double", "double", "double", "bigint"]
@@ -84,17 +85,15 @@ def feature_compatibility(spark, sf):
     return verdict.join(counted, "feature").select("feature", "source", "available", "verdict", "known")
 
 
-MONTHS = ["199601", "199602", "199712", "200105"]
-
-
 @query(
     "pivot_returns_wide",
-    over(["returns"], "SELECT fundno, " + ", ".join(
-        r(f"avg(CASE WHEN strftime(\"Date\", '%Y%m') = '{m}' THEN mret END)", m) for m in MONTHS)
-        + " FROM returns GROUP BY 1"),
+    over(["returns"], "SELECT * FROM (PIVOT cells ON m USING max(v) GROUP BY fundno)", {"cells":
+        f"""SELECT fundno, strftime("Date", '%Y%m') AS m, {r('avg(mret)', 'v')} FROM returns GROUP BY ALL"""}),
 )
 def pivot_returns_wide(spark, sf):
-    return portfolio.pivot_returns_wide(views.returns(spark, sf), MONTHS)
+    """A column for every month of the calendar."""
+    rows = materialize(views.returns(spark, sf))
+    return portfolio.pivot_returns_wide(rows, portfolio.months_of(rows, "Date"))
 
 
 @query(
@@ -131,8 +130,13 @@ def spot_check_sample(spark, sf):
     return ordering.spot_check_sample(rows, ["class_id", "month_end"], 50)
 
 
-@query("required_columns_check")
+@query(
+    "required_columns_check",
+    over(["characteristics"], 'SELECT fundno, "Date", ' + ", ".join(r(f'"{f}"', f, 12) for f in views.FEATURES)
+         + " FROM characteristics"),
+    digits=12,
+)
 def required_columns_check(spark, sf):
     """The characteristics after their contract was checked; a missing column stops the job instead."""
     chars = profile.require_columns(views.characteristics(spark, sf), ["fundno", "Date", *views.FEATURES])
-    return stats.complete_case_filter(chars, views.FEATURES).select("fundno", "Date", *views.FEATURES)
+    return chars.select("fundno", "Date", *views.FEATURES)

@@ -102,10 +102,11 @@ view(
       sales, reinvest, redemptions, net_price AS total_investments,
       CASE WHEN month(month_end) % 3 = 0 THEN sum_quantity END AS cash,
       round(sum_tax / n, 6) AS avg_tax, round(sum_discount / n, 6) AS avg_discount, n
-    FROM supplier_month JOIN supplier ON l_suppkey = s_suppkey
-    WHERE (l_suppkey * 5 + year(month_end) * 12 + month(month_end)) % 29 <> 0""",
+    FROM supplier_month JOIN supplier ON l_suppkey = s_suppkey""",
     ["supplier_month"],
 )
+_GAP = "(CAST(class_id[2:] AS BIGINT) * 5 + year(month_end) * 12 + month(month_end)) % 29 <> 0"
+view("gappy_panel", f"SELECT * FROM panel WHERE {_GAP}", ["panel"])
 view(
     "factor_sums",
     "SELECT month_end, sum(n) AS n, sum(sum_discount) AS d, sum(sum_tax) AS t, "
@@ -254,3 +255,4 @@ view(
       LEFT JOIN factors USING (month_end)""",
     ["panel", "factors", "predictions"],
 )
+view("gappy_audit", f"SELECT * FROM audited_panel WHERE {_GAP}", ["audited_panel"])

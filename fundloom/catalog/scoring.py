@@ -102,14 +102,13 @@ def ensemble_weighted(spark, sf):
     "prediction_spread",
     over(["wide"], f"""SELECT {KEYS}, {r(f'''CASE WHEN {_ALL} THEN sqrt(((ols_prediction - m) ** 2
         + (rf_prediction - m) ** 2 + (xgb_prediction - m) ** 2) / 3) END''', 'prediction_std', 9)},
-      {r('least(ols_prediction, rf_prediction, xgb_prediction)', 'prediction_min', 10)},
-      {r('greatest(ols_prediction, rf_prediction, xgb_prediction)', 'prediction_max', 10)}
-      FROM (SELECT *, (ols_prediction + rf_prediction + xgb_prediction) / 3 AS m FROM wide) WHERE {_ALL}"""),
+      {r(f'CASE WHEN {_ALL} THEN least(ols_prediction, rf_prediction, xgb_prediction) END', 'prediction_min', 10)},
+      {r(f'CASE WHEN {_ALL} THEN greatest(ols_prediction, rf_prediction, xgb_prediction) END', 'prediction_max', 10)}
+      FROM (SELECT *, (ols_prediction + rf_prediction + xgb_prediction) / 3 AS m FROM wide)"""),
     digits={"*": 10, "prediction_std": 9},
 )
 def prediction_spread(spark, sf):
-    complete = stats.complete_case_filter(_wide(spark, sf), COLUMNS)
-    out = scoring.prediction_spread(complete, COLUMNS)
+    out = scoring.prediction_spread(_wide(spark, sf), COLUMNS)
     return out.select("class_id", "month_end", "prediction_std", "prediction_min", "prediction_max")
 
 
@@ -200,5 +199,5 @@ def topk_ensemble(spark, sf):
 
 def linear_coefficients(spark, sf) -> DataFrame:
     """Both linear models of the last formation date."""
-    fitted = models.linear_models(views.training_rows(spark, sf), FEATURES, TARGET)
+    fitted = models.linear_models(views.training_rows(spark, sf), FEATURES, TARGET, last_only=True)
     return models.final_model_artifacts(fitted, FEATURES)

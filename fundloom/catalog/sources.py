@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fundloom.catalog.registry import d, i, over, query, r, view
 from fundloom.functions.scalars import quarter_key
 from fundloom.operators import coverage, joins, timeseries
 from fundloom.plans import views
-from fundloom.session import staging_path
+from fundloom.session import materialize, staging_path
 from fundloom.sources import factors as factor_source, filings, readers, sinks
 
 NARROW = ["l_suppkey", "l_shipdate", "l_discount", "l_tax"]
@@ -16,13 +18,10 @@ NARROW = ["l_suppkey", "l_shipdate", "l_discount", "l_tax"]
 
 @query(
     "scan_parquet_projected",
-    f"""SELECT l_suppkey, {d('l_shipdate')}, {r('l_discount')}, {r('l_tax')} FROM lineitem
-    WHERE l_shipdate >= TIMESTAMP '1999-01-01'""",
+    f"SELECT l_suppkey, {d('l_shipdate')}, {r('l_discount')}, {r('l_tax')} FROM lineitem",
 )
 def scan_parquet_projected(spark, sf):
-    return readers.scan_parquet_projected(spark, f"{sf}/lineitem.parquet", NARROW).where(
-        F.col("l_shipdate") >= F.lit("1999-01-01").cast("timestamp")
-    )
+    return readers.scan_parquet_projected(spark, f"{sf}/lineitem.parquet", NARROW)
 
 
 def _raw_returns(spark, sf) -> DataFrame:
@@ -68,17 +67,28 @@ def scan_csv_typed(spark, sf):
 @query(
     "scan_by_extension",
     over(["panel"], f"""SELECT fmt, class_id, {d('month_end')}, {r('total_investments', digits=4)} FROM panel,
-      (SELECT unnest(['parquet', 'csv', 'json']) AS fmt)"""),
+      (SELECT unnest(['parquet', 'csv', 'json', 'array', 'typed']) AS fmt)"""),
     digits=4,
 )
 def scan_by_extension(spark, sf):
-    panel = views.panel(spark, sf).select("class_id", "month_end", "total_investments")
+    """All formats, JSON both by lines and as one pretty-printed array per series, CSV with and without schema."""
+    panel = materialize(views.panel(spark, sf).select("class_id", "series_id", "month_end", "total_investments"))
+    rows = panel.drop("series_id")
     schema = "class_id string, month_end date, total_investments double"
     parts = []
     for fmt in ("parquet", "csv", "json"):
-        path = sinks.sink_by_format(panel, staging_path(spark, f"panel.{fmt}"), fmt)
+        path = sinks.sink_by_format(rows, staging_path(spark, f"panel.{fmt}"), fmt)
         parts.append(readers.scan_by_extension(spark, path, schema).withColumn("fmt", F.lit(fmt)))
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+        if fmt == "csv":
+            parts.append(readers.scan_by_extension(spark, path).withColumn("fmt", F.lit("typed")))
+    record = F.to_json(F.struct("class_id", "month_end", "total_investments"), {"pretty": "true"})
+    listed = panel.groupBy("series_id").agg(F.array_join(F.collect_list(record), ",\n").alias("records"))
+    path = staging_path(spark, "panel.json")
+    arrays = listed.select(F.concat(F.lit("[\n"), "records", F.lit("\n]")).alias("value"), "series_id")
+    arrays.write.partitionBy("series_id").text(path)
+    read = readers.scan_by_extension(spark, path, schema).drop("series_id")
+    parts.append(read.withColumn("fmt", F.lit("array")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _element_documents(spark, sf) -> DataFrame:
@@ -460,7 +470,7 @@ def sink_parquet(spark, sf):
 def sink_parquet_partitioned(spark, sf):
     dated = _narrow(spark, sf).withColumns({"year": F.year("month_end"), "month": F.month("month_end")})
     return spark.read.parquet(
-        sinks.sink_parquet_partitioned(dated, staging_path(spark, "panel"), spread=4)
+        sinks.sink_parquet_partitioned(dated, staging_path(spark, "panel"))
     )
 
 

@@ -8,6 +8,7 @@ from fundloom.catalog.joins import SPINE_SQL, spine
 from fundloom.catalog.registry import d, i, over, query, r
 from fundloom.operators import joins, regression, timeseries
 from fundloom.plans import views
+from fundloom.session import materialize
 
 KEYS = f"class_id, {d('month_end')}"
 W = "OVER (PARTITION BY class_id ORDER BY month_end)"
@@ -79,7 +80,7 @@ _ONE = "OVER (PARTITION BY class_id ORDER BY month_end ROWS BETWEEN 35 PRECEDING
 )
 def rolling_single_factor(spark, sf):
     return regression.rolling_single_factor(
-        joins.join_factors(views.panel(spark, sf), views.factors(spark, sf))
+        _with_factors(spark, sf)
     )
 
 
@@ -106,6 +107,12 @@ def sweep_ctes(source: str, size: int, keep: str) -> dict[str, str]:
     return ctes
 
 
+def _with_factors(spark, sf):
+    """The panel next to its factors; both come from one scan of the line items."""
+    base = materialize(views.supplier_month(spark, sf))
+    return joins.join_factors(views.panel(spark, sf, base), views.factors(spark, sf, base))
+
+
 SIZE = len(regression.FACTORS) + 2
 _TERMS = ["1.0::DOUBLE", *regression.FACTORS, '"return" - RF']
 _READY = " AND ".join(f'"{c}" IS NOT NULL' for c in ["return", "RF", *regression.FACTORS])
@@ -139,12 +146,11 @@ def regression_over(views_needed: list[str], body: str, more: dict[str, str] | N
     digits={"*": 4, "alpha_hat": 6, "R2": 6},
 )
 def rolling_factor_regression(spark, sf):
-    joined = joins.join_factors(views.panel(spark, sf), views.factors(spark, sf))
-    return regression.rolling_factor_regression(joined)
+    return regression.rolling_factor_regression(_with_factors(spark, sf))
 
 
 def _filled(sql: str) -> str:
-    return over(["panel"], f"SELECT {KEYS}, {r(sql, 'return', 9)} FROM filled", SPINE_SQL)
+    return over(["gappy_panel"], f"SELECT {KEYS}, {r(sql, 'return', 9)} FROM filled", SPINE_SQL)
 
 
 _PAST = "OVER (PARTITION BY class_id ORDER BY month_end ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
@@ -176,7 +182,7 @@ _LINE = "CASE WHEN after IS NULL THEN v0 ELSE v0 + (v1 - v0) * (pos - before) /
 
 @query(
     "fill_linear",
-    over(["panel"], f"""SELECT {KEYS}, {r(f'coalesce(ret, {_LINE})', 'return', 9)},
+    over(["gappy_panel"], f"""SELECT {KEYS}, {r(f'coalesce(ret, {_LINE})', 'return', 9)},
       {r(f'coalesce(ret, CASE WHEN pos - before <= 1 THEN {_LINE} END)', 'limited', 9)} FROM ends""", _LINEAR),
     digits=9,
 )

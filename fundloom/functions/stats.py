@@ -52,9 +52,10 @@ def exact_quantiles(
     """Linear-interpolated quantiles as rows (by, variable, prob, quantile), for groups of any size.
 
     The built-in `percentile` keeps every distinct value of a group in one task. Here a mergeable sketch
-    first brackets each wanted rank; a second pass counts what lies below the bracket and keeps only the
-    distinct values inside it. The sketch errs by at most n/accuracy ranks, the bracket spans three times
-    that on both sides, and a rank outside its bracket fails the job instead of giving a wrong number.
+    first brackets each wanted rank; a second pass counts what lies below the bracket and keeps the distinct
+    values inside it, and the values next to it on both sides. The sketch errs by at most n/accuracy ranks and
+    the bracket spans three times that on both sides, whatever n is; a rank that is neither inside a bracket
+    nor next to it, which the sketch's bound rules out, fails the job instead of giving a wrong number.
     `few_groups` states that the groups are bounded (calendar dates, models), so their brackets may be
     broadcast; otherwise the measured size decides.
     """
@@ -69,16 +70,12 @@ def exact_quantiles(
         F.count(F.lit(1)).alias("n"),
         F.percentile_approx("value", below + above, accuracy).alias("cuts"),
     )
-    whole = F.col("n") <= 4 * accuracy
+    open_end = F.lit(None).cast("double")
     targets = [
         F.struct(
             F.lit(float(p)).alias("prob"),
-            (F.when(~whole, F.col("cuts")[i]) if below[i] > 0 else F.lit(None).cast("double")).alias("lo"),
-            (
-                F.when(~whole, F.col("cuts")[len(probs) + i])
-                if above[i] < 1
-                else F.lit(None).cast("double")
-            ).alias("hi"),
+            (F.col("cuts")[i] if below[i] > 0 else open_end).alias("lo"),
+            (F.col("cuts")[len(probs) + i] if above[i] < 1 else open_end).alias("hi"),
         )
         for i, p in enumerate(probs)
     ]
@@ -87,17 +84,16 @@ def exact_quantiles(
     )
     # Without groups the brackets are one row per measure and probability, a size fixed by the call.
     side = F.broadcast(brackets) if few_groups or not by else brackets
-    in_reach = F.col("hi").isNull() | (F.col("value") <= F.col("hi"))
-    inside = F.col("lo").isNull() | (F.col("value") >= F.col("lo"))
+    value = F.col("value")
+    part = F.when(value < F.col("lo"), -1).when(value > F.col("hi"), 1).otherwise(0)
     cells = (
         long.join(side, keys)
-        .where(in_reach)
-        .groupBy(*keys, "prob", "n", F.when(inside, F.col("value")).alias("at"))
-        .agg(F.count(F.lit(1)).alias("hits"))
+        .groupBy(*keys, "prob", "n", part.alias("part"), F.when(part == 0, value).alias("at"))
+        .agg(F.count(F.lit(1)).alias("hits"), F.min(value).alias("least"), F.max(value).alias("most"))
     )
     upto = (
         Window.partitionBy(*keys, "prob")
-        .orderBy(F.asc_nulls_first("at"))
+        .orderBy("part", "at")
         .rowsBetween(Window.unboundedPreceding, 0)
     )
     position = F.col("prob") * (F.col("n") - 1)
@@ -105,15 +101,22 @@ def exact_quantiles(
     ranked = cells.withColumn("upto", F.sum("hits").over(upto)).withColumns(
         {"low_rank": low_rank, "high_rank": F.ceil(position), "share": position - low_rank}
     )
+
+    def at_rank(rank: str) -> Column:
+        first, last = F.col("upto") - F.col("hits"), F.col("upto") - 1
+        known = (
+            F.when(F.col("part") == 0, F.col("at"))
+            .when((F.col("part") == -1) & (F.col(rank) == last), F.col("most"))
+            .when((F.col("part") == 1) & (F.col(rank) == first), F.col("least"))
+        )
+        return F.max(F.when(F.col(rank).between(first, last), known))
+
     found = ranked.groupBy(*keys, "prob").agg(
-        F.min(F.when(F.col("upto") > F.col("low_rank"), F.col("at"))).alias("v0"),
-        F.min(F.when(F.col("upto") > F.col("high_rank"), F.col("at"))).alias("v1"),
-        F.first("share").alias("share"),
-        F.max(F.when(F.col("at").isNull(), F.col("upto") > F.col("low_rank"))).alias("missed_low"),
+        at_rank("low_rank").alias("v0"), at_rank("high_rank").alias("v1"), F.first("share").alias("share")
     )
-    missed = F.coalesce(F.col("missed_low"), F.lit(False)) | F.col("v0").isNull() | F.col("v1").isNull()
-    value = F.col("v0") + (F.col("v1") - F.col("v0")) * F.col("share")
-    guarded = F.when(missed, F.raise_error(F.lit("quantile bracket missed")).cast("double")).otherwise(value)
+    missed = F.col("v0").isNull() | F.col("v1").isNull()
+    between = F.col("v0") + (F.col("v1") - F.col("v0")) * F.col("share")
+    guarded = F.when(missed, F.raise_error(F.lit("quantile bracket missed")).cast("double")).otherwise(between)
     return found.select(*[col(k) for k in keys], "prob", guarded.alias("quantile"))
 
 

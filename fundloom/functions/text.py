@@ -47,7 +47,6 @@ CLASS_PATTERNS = [
     r"Class\s+([A-Z]+)",
 ]
 CLASS_LENGTHS = (2, 6)
-FUND_LEVEL_CLASSES = 5
 
 # Single-number phrases used when no tagged fact was found.
 FALLBACK_EXPENSE = r"net\s+expense\s+ratio[^%\d]{0,40}(\d+(?:\.\d+)?)\s*%"
@@ -138,11 +137,11 @@ def turnover_rates(text: str | Column) -> Column:
     return _percents(col(text), TURNOVER_PATTERNS)
 
 
-def prospectus_records(classes: Column, ratios: Column, turns: Column) -> Column:
+def prospectus_records(classes: Column, ratios: Column, turns: Column, most: int | None = None) -> Column:
     """Array of (class_id, context_ref, net_expense_ratio, turnover_pct) from what a prospectus names.
 
     As many classes as ratios are paired by position; otherwise the first ratio and turnover are given to
-    the first five classes. The arguments should be plain columns, as each is used for every class.
+    every class, or to the first `most`. The arguments should be plain columns, as each is used for every class.
     """
     paired = F.size(classes) == F.size(ratios)
 
@@ -156,6 +155,6 @@ def prospectus_records(classes: Column, ratios: Column, turns: Column) -> Column
             F.get(turns, F.when(paired, at).otherwise(F.lit(0))).alias("turnover_pct"),
         )
 
-    chosen = F.when(paired, classes).otherwise(F.slice(classes, 1, FUND_LEVEL_CLASSES))
+    chosen = classes if most is None else F.when(paired, classes).otherwise(F.slice(classes, 1, most))
     has_values = (F.size(ratios) > 0) | (F.size(turns) > 0)
     return F.when(has_values, F.transform(chosen, record))

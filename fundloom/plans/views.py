@@ -53,7 +53,7 @@ def supplier_month(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def panel(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) -> DataFrame:
-    """Class x month facts with some months absent, some returns unknown and cash known quarterly.
+    """Class x month facts with some returns unknown and cash known quarterly.
 
     `base` is the materialized `supplier_month` of a caller that also needs the factors."""
     at = month_number("month_end")
@@ -63,8 +63,7 @@ def panel(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) -> Da
     mean_return = F.col("sum_discount") / F.col("n") - F.col("sum_tax") / F.col("n")
     monthly = base if base is not None else supplier_month(spark, sf_dir)
     return (
-        monthly.where((F.col("l_suppkey") * 5 + at) % 29 != 0)
-        .join(supplier, "l_suppkey")
+        monthly.join(supplier, "l_suppkey")
         .select(
             class_key("l_suppkey").alias("class_id"),
             series_key("s_nationkey").alias("series_id"),
@@ -84,6 +83,12 @@ def panel(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) -> Da
     )
 
 
+def gappy(panel: DataFrame) -> DataFrame:
+    """The panel with every 29th month of a class left out, for the reports that look for gaps."""
+    number = F.substring("class_id", 2, 9).cast("int")
+    return panel.where((number * 5 + month_number("month_end")) % 29 != 0)
+
+
 def factors(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) -> DataFrame:
     """Monthly factor series; one row per calendar month, so it may be broadcast."""
     supplier = table(spark, sf_dir, "supplier").select(

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
-_local_root: str | None = None
+STAGING = "fundloom-staging"
+_staged: set[str] = set()
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
-    """A session for tests and benches; a cluster brings its own."""
-    return (
+    """A session for tests and benches, with a shared folder of its own if none is set; a cluster brings its own."""
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("fundloom")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -22,29 +25,39 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
-        .getOrCreate()
     )
+    session = builder.getOrCreate()
+    if session.conf.get("spark.checkpoint.dir", None) is None:
+        session.stop()
+        session = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="fundloom-")).getOrCreate()
+    return session
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the cluster names it.
-
-    Only a local session, whose executors live on this machine, may fall back to a temporary folder.
-    """
-    global _local_root
+    """The folder every executor can reach, as the cluster names it."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not configured:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    if _local_root is None:
-        _local_root = tempfile.mkdtemp(prefix="fundloom-")
-    return _local_root
+    return configured.rstrip("/")
 
 
 def staging_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_root(spark)}/fundloom-staging/{uuid.uuid4().hex}/{name}"
+    """A fresh path below the shared folder; it lasts until `remove_staged` or the end of the program."""
+    own = f"{shared_root(spark)}/{STAGING}/{spark.sparkContext.applicationId}"
+    if not _staged:
+        atexit.register(remove_staged)
+    _staged.add(own)
+    return f"{own}/{uuid.uuid4().hex}/{name}"
+
+
+def remove_staged() -> None:
+    """Delete what this program's sessions have staged; frames that read it are of no use afterwards."""
+    jvm = SparkContext._jvm
+    while _staged:
+        own = _staged.pop()
+        if jvm is not None:
+            where = jvm.org.apache.hadoop.fs.Path(own)
+            where.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(where, True)
 
 
 def materialize(df: DataFrame) -> DataFrame:

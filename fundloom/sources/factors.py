@@ -20,7 +20,8 @@ def scan_factor_text(spark: SparkSession, path: str, factors: Sequence[str]) ->
     """Month end and percent values of the named factors.
 
     The monthly part starts at the first line whose trimmed first six characters are digits and ends before
-    the annual part; the header is the first line that holds the title of the first factor.
+    the annual part; the header is the first line that has the title of the first factor as one of its
+    comma-separated fields. A title that the header lacks fails the job.
     """
     title = TITLES.get(factors[0], factors[0])
     lines = F.split("value", r"\r?\n")
@@ -30,11 +31,15 @@ def scan_factor_text(spark: SparkSession, path: str, factors: Sequence[str]) ->
         return F.array_position(F.transform("lines", lambda x: F.coalesce(test(x), F.lit(False))), True)
 
     starts = first_at(lambda x: F.substring(F.trim(x), 1, 6).rlike(r"^\d{1,6}$"))
-    header = F.filter("lines", lambda x: x.contains(title))[0]
+    def fields(line: Column) -> Column:
+        return F.transform(F.split(line, ","), lambda t: F.replace(F.trim(t), F.lit(" "), F.lit("")))
+
+    def is_header(line: Column) -> Column:
+        return line.contains(",") & F.array_contains(fields(line), title)
+
+    header = F.get(F.filter("lines", is_header), F.lit(0))
     monthly = numbered.select(
-        F.transform(F.split(header, ","), lambda t: F.replace(F.trim(t), F.lit(" "), F.lit(""))).alias(
-            "titles"
-        ),
+        fields(header).alias("titles"),
         F.slice("lines", starts.cast("int"), F.size("lines")).alias("lines"),
     )
     ends = first_at(lambda x: F.trim(x).startswith(END_OF_MONTHS))
@@ -44,8 +49,10 @@ def scan_factor_text(spark: SparkSession, path: str, factors: Sequence[str]) ->
     )
 
     def value(name: str) -> Column:
-        at = F.array_position("titles", TITLES.get(name, name))
-        return to_numeric_or_null(F.when(at > 0, F.try_element_at("v", at.cast("int"))))
+        wanted = TITLES.get(name, name)
+        at = F.coalesce(F.array_position("titles", wanted), F.lit(0))
+        missing = F.raise_error(F.lit(f"no column {wanted} in the factor file")).cast("string")
+        return to_numeric_or_null(F.when(at > 0, F.try_element_at("v", at.cast("int"))).otherwise(missing))
 
     return rows.select(
         yyyymm_to_month_end(F.trim(F.col("v")[0])).alias("month_end"),
@@ -72,7 +79,8 @@ def factor_file_text(factors: DataFrame, columns: Sequence[str]) -> DataFrame:
         F.date_format("month_end", "yyyyMM"),
         *[F.format_string("%.8f", F.coalesce(F.col(c) * 100, F.lit(MISSING[0]))) for c in columns],
     )
-    intro = ["Monthly factor returns in percent.", "", titles]
+    named = " and ".join(TITLES.get(c, c) for c in columns)
+    intro = [f"Monthly returns in percent, the {named} factors among them (Momentum is Mom).", "", titles]
     tail = ["", f" {END_OF_MONTHS} January-December", titles, "  1995,1.00", "  1996,2.00"]
     listed = F.sort_array(F.collect_list(line))
     text = F.concat(F.array(*[F.lit(x) for x in intro]), listed, F.array(*[F.lit(x) for x in tail]))

@@ -18,17 +18,13 @@ _CLASS = "struct<ClassId:string,{months},CashNotReported:double,TotalInvestments
         for name in ("MonthlyTotalReturn", "SalesFlowMon", "ReinvestmentFlowMon", "RedemptionFlowMon")
     )
 )
-ELEMENT_SCHEMA = (
-    f"ReportPeriod string, Class array<{_CLASS}>, "
-    f"Series array<struct<SeriesId:string,Class:array<{_CLASS}>>>, _corrupt_record string"
-)
+ELEMENT_SCHEMA = f"ReportPeriod array<string>, Class array<{_CLASS}>, _corrupt_record string"
 
 _FLOW = "struct<_sales:string,_redemption:string,_reinvestment:string>"
 ATTRIBUTE_SCHEMA = (
-    "formData struct<genInfo:struct<repPdEnd:string>,fundInfo:struct<totAssets:string,netAssets:string,"
-    "returnInfo:struct<monthlyTotReturns:struct<monthlyTotReturn:array<struct<"
-    "_classId:string,_rtn1:string,_rtn2:string,_rtn3:string>>>>,"
-    f"mon1Flow:{_FLOW},mon2Flow:{_FLOW},mon3Flow:{_FLOW}>>, _corrupt_record string"
+    "repPdEnd array<string>, ReportPeriod array<string>, totAssets array<string>, "
+    "monthlyTotReturn array<struct<_classId:string,_rtn1:string,_rtn2:string,_rtn3:string>>, "
+    f"mon1Flow array<{_FLOW}>, mon2Flow array<{_FLOW}>, mon3Flow array<{_FLOW}>, _corrupt_record string"
 )
 
 INDEX_SCHEMA = (
@@ -43,30 +39,48 @@ PROSPECTUS_FORMS = [
 YEAR_TIERS = [2020, 2015, 2010, 2005, 1990]
 
 
-def _parsed(documents: DataFrame, schema: str) -> DataFrame:
+def _raised(body: Column, elements: list[str]) -> Column:
+    """The document with copies of the named elements, found at any depth, right below a new root.
+
+    The whole document stands behind them, so that one that is broken anywhere stays broken.
+    """
+    whole = F.regexp_replace(body, r"(?s)^\s*(?:<\?.*?\?>\s*|<!--.*?-->\s*|<!DOCTYPE[^>]*>\s*)*", "")
+    names = "|".join(elements)
+    pattern = rf"(?s)<({names})(?:\s[^>]*)?(?:/>|(?<!/)>.*?</\1\s*>)"
+    found = F.regexp_extract_all(body, F.lit(pattern), 0)
+    return F.concat(F.lit("<raised>"), F.array_join(found, ""), F.lit("<whole>"), whole, F.lit("</whole></raised>"))
+
+
+def _parsed(documents: DataFrame, schema: str, elements: list[str]) -> DataFrame:
     """Documents with their parsed content `x`; a broken one has none of it.
 
     Rows without content are dropped only after their arrays are exploded (in the outer form), as a filter
     here would make the parser run a second time.
     """
-    parsed = F.from_xml("body", schema, {"columnNameOfCorruptRecord": "_corrupt_record"})
+    options = {"columnNameOfCorruptRecord": "_corrupt_record"}
+    parsed = F.from_xml(_raised(F.col("body"), elements), schema, options)
     keys = [c for c in documents.columns if c != "body"]
     read = documents.select(*keys, parsed.alias("x"))
     return read.withColumn("x", F.when(F.col("x._corrupt_record").isNull(), F.col("x")))
 
 
+def unreadable(documents: DataFrame) -> DataFrame:
+    """The keys of the documents that no parser can read, for the log."""
+    keys = [c for c in documents.columns if c != "body"]
+    return _parsed(documents, "ReportPeriod array<string>, _corrupt_record string", ["ReportPeriod"]).where(
+        F.col("x").isNull()
+    ).select(*keys)
+
+
 def scan_filings_xml_elements(documents: DataFrame) -> DataFrame:
     """Element-style filings to up to twelve months per class.
 
-    Months stop at the first missing return; absent flows are 0, absent assets and cash null. The j-th of n
+    Classes and the period may stand at any depth. Months stop at the first missing return; absent flows are 0, absent assets and cash null. The j-th of n
     returns belongs to the month end n - j months before the report period.
     """
     keys = [c for c in documents.columns if c != "body"]
-    nested = F.flatten(F.transform(F.col("x.Series"), lambda s: s["Class"]))
-    empty = F.array().cast(f"array<{_CLASS}>")
-    classes = F.concat(F.coalesce(F.col("x.Class"), empty), F.coalesce(nested, empty))
-    per_class = _parsed(documents, ELEMENT_SCHEMA).select(
-        *keys, F.to_date("x.ReportPeriod").alias("report_period"), F.explode_outer(classes).alias("c")
+    per_class = _parsed(documents, ELEMENT_SCHEMA, ["ReportPeriod", "Class"]).select(
+        *keys, F.to_date(F.get("x.ReportPeriod", 0)).alias("report_period"), F.explode_outer("x.Class").alias("c")
     ).where(F.col("c").isNotNull())
 
     def of(name: str, i: int) -> Column:
@@ -107,28 +121,35 @@ def scan_filings_xml_attributes(documents: DataFrame) -> DataFrame:
     """Attribute-style filings to up to three months per class.
 
     N/A returns are dropped before the remaining ones are dated, oldest first, up to the report period;
-    the flows, which are those of the fund, are matched by position. Unknown assets and cash count as 0.
+    the flows, which are those of the fund, are matched by position. Elements may stand at any depth, and a
+    plain report period stands in for one that is missing. Unknown assets and cash count as 0.
     """
     keys = [c for c in documents.columns if c != "body"]
-    fund = "x.formData.fundInfo"
-    parsed = _parsed(documents, ATTRIBUTE_SCHEMA).select(
+    names = ["repPdEnd", "ReportPeriod", "totAssets", "monthlyTotReturn", "mon1Flow", "mon2Flow", "mon3Flow"]
+
+    def first(name: str) -> Column:
+        return F.get(F.col(f"x.{name}"), 0)
+
+    parsed = _parsed(documents, ATTRIBUTE_SCHEMA, names).select(
         *keys,
-        F.to_date("x.formData.genInfo.repPdEnd").alias("report_period"),
-        safe_float_default(F.col(f"{fund}.totAssets")).alias("total_investments"),
+        F.to_date(F.coalesce(first("repPdEnd"), first("ReportPeriod"))).alias("report_period"),
+        safe_float_default(first("totAssets")).alias("total_investments"),
         F.array(
             *[
-                F.struct(
+                F.named_struct(
                     *[
-                        F.coalesce(safe_float_default(F.col(f"{fund}.mon{k}Flow._{a}")), F.lit(0.0)).alias(n)
-                        for a, n in (
-                            ("sales", "sales"), ("redemption", "redemptions"), ("reinvestment", "reinvest")
+                        part
+                        for a, n in (("sales", "sales"), ("redemption", "redemptions"), ("reinvestment", "reinvest"))
+                        for part in (
+                            F.lit(n),
+                            F.coalesce(safe_float_default(first(f"mon{k}Flow")[f"_{a}"]), F.lit(0.0)),
                         )
                     ]
                 )
                 for k in (1, 2, 3)
             ]
         ).alias("flows"),
-        F.explode_outer(f"{fund}.returnInfo.monthlyTotReturns.monthlyTotReturn").alias("r"),
+        F.explode_outer("x.monthlyTotReturn").alias("r"),
     )
     stated = F.filter(
         F.array("r._rtn1", "r._rtn2", "r._rtn3"),

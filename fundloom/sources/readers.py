@@ -53,13 +53,18 @@ def scan_csv_typed(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def scan_by_extension(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    """Parquet, CSV or JSON by suffix."""
+    """Parquet, CSV or JSON by suffix; without a schema CSV types are inferred.
+
+    JSON is one record a line, or one array a file, however it is laid out: the first line that is not blank
+    tells which.
+    """
     suffix = path.rstrip("/").rsplit(".", 1)[-1].lower()
     reader = spark.read if schema is None else spark.read.schema(schema)
     if suffix == "parquet":
         return reader.parquet(path)
     if suffix == "csv":
-        return reader.option("header", True).csv(path)
+        return reader.option("header", True).option("inferSchema", schema is None).csv(path)
     if suffix == "json":
-        return reader.json(path)
+        head = spark.read.text(path).select(F.trim("value").alias("value")).where("value <> ''").first()
+        return reader.option("multiLine", head is not None and head["value"].startswith("[")).json(path)
     raise ValueError(f"unsupported file format: .{suffix}")

@@ -13,14 +13,12 @@ def sink_parquet(df: DataFrame, path: str) -> str:
 
 
 def sink_parquet_partitioned(
-    df: DataFrame, path: str, partition_cols: tuple[str, ...] = ("year", "month"), spread: int = 1
+    df: DataFrame, path: str, partition_cols: tuple[str, ...] = ("year", "month")
 ) -> str:
-    """Hive-partitioned files. Rows are brought together by partition first, which bounds the open files
-    of a task; `spread` tasks share a large partition."""
-    salted = [F.col(c) for c in partition_cols]
-    if spread > 1:
-        salted.append(F.pmod(F.xxhash64(*df.columns), F.lit(spread)))
-    df.repartition(*salted).write.mode("overwrite").partitionBy(*partition_cols).parquet(path)
+    """Hive-partitioned files. Rows are brought together by partition first, which bounds the open files of a
+    task; measured sizes decide how many tasks share a large partition."""
+    gathered = df.hint("rebalance", *partition_cols)
+    gathered.write.mode("overwrite").partitionBy(*partition_cols).parquet(path)
     return path
 
 

@@ -42,7 +42,7 @@ def merge_batch(spark: SparkSession, root: str, new: DataFrame) -> None:
     # the merged years are complete in the shared folder before their partitions are replaced
     merged = materialize(incremental_upsert(stored, batch))
     (
-        merged.repartition("year", F.pmod(F.xxhash64("class_id"), F.lit(32)))
+        merged.hint("rebalance", "year")  # as many writers for a year as its size asks for
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("year")

@@ -12,11 +12,12 @@ SF_DIR = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    from fundloom.session import local_session
+    from fundloom.session import local_session, remove_staged
 
     session = local_session(8)
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    remove_staged()
     session.stop()
 
 

@@ -19,8 +19,6 @@ def test_agrees_with_sql(spark, con, sf_dir, name):
 
 @pytest.mark.parametrize("name", sorted(set(all_queries()) - set(all_oracles())))
 def test_runs_without_sql(spark, sf_dir, name):
-    if name in ("fit_random_forest", "fit_gradient_boosting"):
-        pytest.skip("covered with small settings in test_models")
     assert all_queries()[name](spark, sf_dir).count() > 0
 
 

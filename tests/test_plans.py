@@ -3,8 +3,10 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from fundloom.catalog import all_queries
+from fundloom.sources import readers
 
 
 def plan(df):
@@ -31,6 +33,8 @@ def test_panel_job_shuffles_the_panel_by_class_once_for_its_windows(spark, sf_di
 def test_scans_prune_columns_and_push_filters(spark, sf_dir):
     text = plan(all_queries()["scan_parquet_projected"](spark, sf_dir))
     assert "l_extendedprice" not in text.split("ReadSchema")[1]
+    late = readers.scan_parquet_projected(spark, f"{sf_dir}/lineitem.parquet", ["l_suppkey", "l_shipdate"])
+    text = plan(late.where(F.col("l_shipdate") >= F.lit("1999-01-01").cast("timestamp")))
     assert "GreaterThanOrEqual(l_shipdate" in text
 
 
