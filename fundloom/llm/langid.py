@@ -22,7 +22,8 @@ STEPS = 64
 HIDDEN = 8
 #: Labelled documents of each language that the network is fitted on, and stretches taken from each.
 SAMPLE_DOCS, SAMPLE_STRETCHES = 256, 6
-EPOCHS, BATCH, RATE = 12, 512, 0.03
+#: Steps of the fit, whatever the sample's size, and stretches of a step.
+UPDATES, BATCH, RATE = 100, 512, 0.03
 #: Stretches that are read at once.
 WIDE = 4096
 UNKNOWN = "und"
@@ -189,7 +190,7 @@ def train(stretches: list[bytes], labels: list[str], seed: int = 7) -> Network |
         x_all[i, : len(s)] = np.frombuffer(s, np.uint8)
     y_all = np.searchsorted(languages, [label for _, label in rows])
     first, second, count = [np.zeros_like(v) for v in w], [np.zeros_like(v) for v in w], 0
-    for _ in range(EPOCHS):
+    while count < UPDATES:
         order = rng.permutation(len(rows))
         for at in range(0, len(rows), BATCH):
             take = order[at : at + BATCH]

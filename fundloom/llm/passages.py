@@ -241,13 +241,13 @@ def repeated_runs(docs: DataFrame, window: int, key: str, text: str) -> tuple[Da
     same = (named["d"] == chosen["d"]) & named["doc_id"].eqNullSafe(F.col("_first"))
     held = named.join(chosen, same).select(named["d"], "doc_id", "text", "marks")
     held = materialize(held)
-    for level in range(1, len(lengths) - 2):
+    last = max(1, len(lengths) - 2)  # the window itself follows from runs of the length before, where there is one
+    for level in range(1, last):
         rows = held.select("d", "text", "marks").mapInArrow(_next_level(window, level), "h long, d long, p int")
         held = materialize(held.drop("marks").join(_repeated(rows), "d"))
 
     schema = "h long, d long, p int, s int, n int, words long"
-    level = len(lengths) - 2
-    runs = held.select("d", "text", "marks").mapInArrow(_stretches(window, level), schema)
+    runs = held.select("d", "text", "marks").mapInArrow(_stretches(window, last), schema)
     runs = materialize(runs.join(held.select("d", "doc_id").distinct(), "d"))
     place = F.xxhash64("d", "p")
     twice = runs.groupBy("h").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a <> b").select("h")
