@@ -260,7 +260,10 @@ def outer_merge_returns(spark, sf):
     digits=10,
 )
 def join_pred_actual_inner(spark, sf):
-    return joins.join_pred_actual_inner(views.predictions(spark, sf), views.audited_panel(spark, sf))
+    scored = materialize(views.scored_panel(spark, sf))
+    return joins.join_pred_actual_inner(
+        views.predictions(spark, sf, scored), views.audited_panel(spark, sf, scored)
+    )
 
 
 @query(

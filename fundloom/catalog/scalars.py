@@ -8,6 +8,8 @@ from fundloom.catalog.registry import d, i, over, query, r
 from fundloom.functions import scalars as S, stats
 from fundloom.operators import features, joins, profile, timeseries
 from fundloom.plans import views
+from fundloom.session import materialize, staging_path
+from fundloom.sources import sinks
 
 
 def _orders(spark, sf):
@@ -184,14 +186,24 @@ def filter_valid_classes(spark, sf):
     return joins.filter_valid_classes(panel, mapping, series)
 
 
+def stored_returns(spark, sf):
+    """The returns database as files: one folder a year, sorted by registrant and class."""
+    rows = views.panel(spark, sf).select("class_id", "cik", "month_end", "return")
+    path = sinks.sink_sorted(
+        rows.withColumn("year", F.year("month_end")), staging_path(spark, "returns_db"), "year", ["cik", "class_id"]
+    )
+    return spark.read.parquet(path)
+
+
 @query(
     "lookup_fund_returns",
     over(["panel"], f"""SELECT class_id, cik, {d('month_end')}, {r('"return"', 'return')} FROM panel
       WHERE cik = '0000000003' AND month_end BETWEEN DATE '1996-02-29' AND DATE '2000-01-31'"""),
 )
 def lookup_fund_returns(spark, sf):
-    db = views.panel(spark, sf).select("class_id", "cik", "month_end", "return")
-    return joins.lookup_fund_returns(db, cik="3", start="1996-02-29", end="2000-01-31")
+    db = stored_returns(spark, sf)
+    found = joins.lookup_fund_returns(db, cik="3", start="1996-02-29", end="2000-01-31")
+    return found.select("class_id", "cik", "month_end", "return")
 
 
 @query(
@@ -284,12 +296,12 @@ def prediction_error(spark, sf):
     digits={"tna_lag": 4, "value_added": 3},
 )
 def value_added(spark, sf):
-    alpha = views.predictions(spark, sf).select(
-        "class_id", "month_end", F.col("actual_alpha").alias("alpha_hat")
-    )
-    panel = views.panel(spark, sf)
+    panel = materialize(views.scored_panel(spark, sf))
+    alpha = panel.select("class_id", "month_end", F.col("actual_alpha").alias("alpha_hat"))
     assets = panel.select("class_id", "month_end", F.col("total_investments").alias("tna"))
     out = joins.value_added(
-        panel.join(alpha, ["class_id", "month_end"], "left"), views.expense_ratios(spark, sf), assets
+        panel.drop("actual_alpha").join(alpha, ["class_id", "month_end"], "left"),
+        views.expense_ratios(spark, sf),
+        assets,
     )
     return out.select("class_id", "month_end", "tna_lag", "value_added")

@@ -259,7 +259,11 @@ def lookup_fund_returns(
     start: str | None = None,
     end: str | None = None,
 ) -> DataFrame:
-    """Stored returns under the given filters in month order; the filters reach the file scan."""
+    """Stored returns under the given filters in month order; the filters reach the file scan, and where the
+    database has a `year` only the years asked for are listed."""
+    for bound, keep in ((start, Column.__ge__), (end, Column.__le__)):
+        if bound is not None and "year" in db.columns:
+            db = db.where(keep(F.col("year"), F.lit(int(bound[:4]))))
     if class_id is not None:
         db = db.where(F.col("class_id") == class_id)
     if cik is not None:

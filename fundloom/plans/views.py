@@ -266,6 +266,14 @@ def returns(spark: SparkSession, sf_dir: str, facts: DataFrame | None = None) ->
     )
 
 
+def restated(panel: DataFrame) -> DataFrame:
+    """The panel as filed: for some keys an earlier filing with other values comes with the one that counts."""
+    earlier = panel.where(month_number("month_end") % 4 == 0).withColumns(
+        {"filing_date": F.date_sub("filing_date", 20), "return": F.col("return") + 0.5, "sales": F.lit(0.0)}
+    )
+    return panel.unionByName(earlier)
+
+
 def scored_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The panel with factors, two model outputs per class and month, and the alpha realised over the same
     12 rows. The line items are read once; factors and panel come from their materialized monthly sums, and
@@ -292,8 +300,8 @@ def scored_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scored_panel(spark, sf_dir).select(
+def predictions(spark: SparkSession, sf_dir: str, scored: DataFrame | None = None) -> DataFrame:
+    return (scored if scored is not None else scored_panel(spark, sf_dir)).select(
         "class_id", "month_end", "cik", "return", "xgb_prediction", "rf_prediction", "actual_alpha",
         "ensemble_prediction",
     )
@@ -308,10 +316,10 @@ def predictions_vs_actual(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def audited_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+def audited_panel(spark: SparkSession, sf_dir: str, scored: DataFrame | None = None) -> DataFrame:
     """The panel with factors and realised alpha, as the coverage reports read it."""
     return (
-        scored_panel(spark, sf_dir)
+        (scored if scored is not None else scored_panel(spark, sf_dir))
         .withColumnRenamed("actual_alpha", "realized alpha")
         .drop("xgb_prediction", "rf_prediction", "ensemble_prediction")
     )

@@ -62,3 +62,17 @@ def test_windows_are_solved_once(spark, sf_dir, name):
 @pytest.mark.parametrize("name", ["scan_filings_xml_elements", "scan_filings_xml_attributes"])
 def test_documents_are_parsed_once(spark, sf_dir, name):
     assert plan(all_queries()[name](spark, sf_dir)).count("from_xml(") <= 1
+
+
+def test_stored_returns_are_looked_up_by_pushed_filters(spark, sf_dir):
+    text = plan(all_queries()["lookup_fund_returns"](spark, sf_dir))
+    assert re.search(r"PartitionFilters: \[[^\]]*year", text)
+    assert re.search(r"PushedFilters: \[[^\]]*EqualTo\(cik,0000000003\)", text)
+
+
+@pytest.mark.parametrize(
+    "name", ["value_added", "rolling_factor_regression", "join_pred_actual_inner", "merge_returns_prefer_db"]
+)
+def test_line_items_are_scanned_once(spark, sf_dir, name):
+    text = plan(all_queries()[name](spark, sf_dir))
+    assert text.count("lineitem.parquet") <= 1
