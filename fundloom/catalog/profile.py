@@ -130,7 +130,7 @@ def spot_check_sample(spark, sf):
     return ordering.spot_check_sample(rows, ["class_id", "month_end"], 50)
 
 
-_EXACT = {"mtna_lag_1": 11}  # has as many decimals
+_EXACT = {"mtna_lag_1": 11, "beta_value_tstat_lag_1": 12}  # quotients and squares of short decimals
 
 
 @query(
