@@ -1,8 +1,8 @@
 """Repeated passages: windows of words found by doubling their length, and texts without the later copies.
 
-A window of `window` words is looked at through ever longer parts of itself: the part of the least hash among
-its parts of 5 words, then 10, then the whole 20. Equal windows choose equal parts, so a window whose part
-occurs once occurs once itself, and only windows whose part repeats are looked at again at twice the length.
+A window of 20 words is looked at through its part of the least hash among its parts of 10 words, then as a
+whole (of 40: of 10, 20, then 40). Equal windows choose equal parts, so a window whose part occurs once occurs
+once itself, and only windows whose part repeats are looked at again at twice the length.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from fundloom.llm.common import SPACES, small_batches
 from fundloom.session import materialize
@@ -21,6 +21,8 @@ from fundloom.session import materialize
 WINDOW = 20
 _FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # odd multipliers of the two window hashes
 _ROWS = 200_000
+#: Words whose hashes a task keeps at hand; beyond, it forgets them.
+_KEPT_WORDS = 500_000
 
 
 def levels(window: int) -> list[int]:
@@ -28,14 +30,22 @@ def levels(window: int) -> list[int]:
     if window < 8 or window % 2:
         raise ValueError("a window has an even number of words, 8 or more")
     found = [window]
-    while found[0] % 2 == 0 and found[0] >= 8:
+    while found[0] % 2 == 0 and (len(found) == 1 or found[0] >= 16):
         found.insert(0, found[0] // 2)
     return found
 
 
-def word_hashes(text: str) -> np.ndarray:
-    words = text.encode().split()
-    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+class _Hashes(dict):
+    """The hash of each word, computed when it is first asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        found = self[word] = xxhash.xxh64_intdigest(word)
+        return found
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        if len(self) > _KEPT_WORDS:
+            self.clear()
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -111,32 +121,24 @@ class _Rows:
                 yield pa.record_batch(arrays, self.names)
 
 
-def identity(text: Column) -> Column:
-    """64 bits of a text's word sequence; texts with the same words are copies of each other."""
-    words = F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACES), "")
-    return F.xxhash64(F.array_join(words, " "))
-
-
 def _survivors(column: pa.Array, i: int) -> np.ndarray:
     return column[i].values.to_numpy(zero_copy_only=False)
 
 
 def _first_level(window: int):
-    """Rows (h, d, p) of the chosen parts of the first length, from texts."""
+    """Rows (h, d, p) of the chosen parts of the first length, from texts; of equal texts in a task, once."""
     lengths = levels(window)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = _Rows(["h", "d", "p"])
+        rows, hashes = _Rows(["h", "d", "p"]), _Hashes()
         for batch in batches:
             for text in batch.column(0):
-                whole = text.as_py() or ""
-                words = word_hashes(whole)
-                if len(words) < window:
+                found = (text.as_py() or "").encode().split()
+                if len(found) < window:
                     continue
-                (h,) = window_hashes(words, lengths[:1])
+                (h,) = window_hashes(hashes.of(found), lengths[:1])
                 at = np.unique(chosen_parts(h, window, lengths[0]))
-                joined = b" ".join(whole.encode().split())
-                d = np.full(len(at), xxhash.xxh64_intdigest(joined, 42), np.uint64)
+                d = np.full(len(at), xxhash.xxh64_intdigest(b" ".join(found), 42), np.uint64)
                 rows.add(h[at], d, at.astype(np.int32))
                 yield from rows.full()
         yield from rows.rest()
@@ -144,11 +146,13 @@ def _first_level(window: int):
     return emit
 
 
-def _live(words: np.ndarray, window: int, level: int, marks: np.ndarray, lengths: list[int]) -> np.ndarray:
-    """The windows whose chosen part of the length before `level` is among the repeated ones."""
-    before = window_hashes(words, lengths[:level])[-1]
-    parts = chosen_parts(before, window, lengths[level - 1])
-    return np.flatnonzero(np.isin(parts, marks))
+def _live(words: np.ndarray, window: int, level: int, marks: np.ndarray, lengths: list[int]):
+    """The windows whose chosen part of the length at `level` is among the repeated ones, these parts, and the
+    hashes of that length."""
+    h = window_hashes(words, lengths[: level + 1])[-1]
+    parts = chosen_parts(h, window, lengths[level])
+    live = np.flatnonzero(np.isin(parts, marks))
+    return live, parts[live], h
 
 
 def _next_level(window: int, level: int):
@@ -156,11 +160,11 @@ def _next_level(window: int, level: int):
     lengths = levels(window)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = _Rows(["h", "d", "p"])
+        rows, hashes = _Rows(["h", "d", "p"]), _Hashes()
         for batch in batches:
             for i in range(batch.num_rows):
-                words = word_hashes(batch.column(1)[i].as_py())
-                live = _live(words, window, level, _survivors(batch.column(2), i), lengths)
+                words = hashes.of(batch.column(1)[i].as_py().encode().split())
+                live, _, _ = _live(words, window, level - 1, _survivors(batch.column(2), i), lengths)
                 h = window_hashes(words, lengths[: level + 1])[-1]
                 at = np.unique(chosen_parts(h, window, lengths[level])[live])
                 rows.add(h[at], np.full(len(at), batch.column(0)[i].as_py(), np.int64), at.astype(np.int32))
@@ -171,26 +175,23 @@ def _next_level(window: int, level: int):
 
 
 def _stretches(window: int, level: int):
-    """As `_next_level`, with one row for each run of windows that share a part: where the run starts, how many
-    windows it has, and a hash of all its words."""
+    """Rows (h, d, s, n, words) from texts with their repeated parts: one for each run of windows that share
+    such a part, with the part's hash, where the run starts, how many windows it has and a hash of its words."""
     lengths = levels(window)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = _Rows(["h", "d", "p", "s", "n", "words"])
+        rows, hashes = _Rows(["h", "d", "s", "n", "words"]), _Hashes()
         for batch in batches:
             for i in range(batch.num_rows):
-                words = word_hashes(batch.column(1)[i].as_py())
-                live = _live(words, window, level, _survivors(batch.column(2), i), lengths)
+                words = hashes.of(batch.column(1)[i].as_py().encode().split())
+                live, at, h = _live(words, window, level, _survivors(batch.column(2), i), lengths)
                 if not len(live):
                     continue
-                h = window_hashes(words, lengths[: level + 1])[-1]
-                at = chosen_parts(h, window, lengths[level])[live]
-                cuts = np.flatnonzero((np.diff(live) != 1) | (np.diff(at) != 0)) + 1
-                heads = np.append(0, cuts)
+                heads = np.append(0, np.flatnonzero((np.diff(live) != 1) | (np.diff(at) != 0)) + 1)
                 n = np.diff(np.append(heads, len(live)))
                 s = live[heads]
                 rows.add(
-                    h[at[heads]], np.full(len(s), batch.column(0)[i].as_py(), np.int64), at[heads].astype(np.int32),
+                    h[at[heads]], np.full(len(s), batch.column(0)[i].as_py(), np.int64),
                     s.astype(np.int32), n.astype(np.int32), _spans(words, s, n + window - 1),
                 )
                 yield from rows.full()
@@ -204,10 +205,10 @@ def _whole_windows(window: int):
     lengths = levels(window)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = _Rows(["h", "g", "d", "s"])
+        rows, hashes = _Rows(["h", "g", "d", "s"]), _Hashes()
         for batch in batches:
             for i in range(batch.num_rows):
-                words = word_hashes(batch.column(1)[i].as_py())
+                words = hashes.of(batch.column(1)[i].as_py().encode().split())
                 runs = batch.column(2)[i].as_py()
                 at = np.concatenate([np.arange(r["s"], r["s"] + r["n"]) for r in runs])
                 h, g = (window_hashes(words, lengths, w)[-1] for w in (0, 1))
@@ -222,50 +223,59 @@ def _repeated(rows: DataFrame) -> DataFrame:
     """(d, marks): of each text the parts that also occur in another text or elsewhere in it."""
     place = F.xxhash64("d", "p")
     twice = rows.groupBy("h").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a <> b").select("h")
-    found = rows.join(twice, "h").select("d", "p").distinct()
+    # as a table of its own, so that a part which a third of all texts have is split by size in the join
+    found = rows.join(materialize(twice), "h").select("d", "p").distinct()
     return found.groupBy("d").agg(F.collect_list("p").alias("marks"))  # as many as the text has words, at most
 
 
-def repeated_runs(docs: DataFrame, window: int, key: str, text: str) -> tuple[DataFrame, DataFrame]:
+def summaries(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(doc_id, th, d, n_words, whole_sha256) of every row: the hash of its text, the identity of its word
+    sequence, and what is left of it if nothing goes."""
+    words = F.array_remove(F.split(F.coalesce(F.col(text), F.lit("")), SPACES), "")
+    joined = F.array_join(words, " ")
+    return docs.select(
+        F.col(key).alias("doc_id"),
+        F.xxhash64(F.col(text)).alias("th"),
+        F.xxhash64(joined).alias("d"),
+        F.size(words).cast("long").alias("n_words"),
+        F.sha2(joined.cast("binary"), 256).alias("whole_sha256"),
+    )
+
+
+def repeated_runs(docs: DataFrame, rows: DataFrame, window: int, key: str, text: str) -> tuple[DataFrame, DataFrame]:
     """(d, doc_id, text, marks) of the texts that may hold a repeated window, one for each word sequence, and
-    (d, s, n): runs of n windows from s on that also start earlier."""
-    spark = docs.sparkSession
-    small_batches(spark)
+    (d, s, n): runs of n windows from s on that also start earlier. `rows` are the summaries of `docs`."""
+    small_batches(docs.sparkSession)
     lengths = levels(window)
+    last = len(lengths) - 2
     texts = docs.select(F.col(text).alias("text"))
     marks = _repeated(texts.mapInArrow(_first_level(window), "h long, d long, p int"))
-    named = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).where(F.col(text).isNotNull())
-    named = named.withColumn("d", identity(F.col("text")))
-    least = named.groupBy("d").agg(F.min(F.struct("doc_id")).alias("least"))
-    chosen = marks.join(least, "d").select("d", F.col("least.doc_id").alias("_first"), "marks")
-    same = (named["d"] == chosen["d"]) & named["doc_id"].eqNullSafe(F.col("_first"))
-    held = named.join(chosen, same).select(named["d"], "doc_id", "text", "marks")
-    held = materialize(held)
-    last = max(1, len(lengths) - 2)  # the window itself follows from runs of the length before, where there is one
-    for level in range(1, last):
-        rows = held.select("d", "text", "marks").mapInArrow(_next_level(window, level), "h long, d long, p int")
-        held = materialize(held.drop("marks").join(_repeated(rows), "d"))
-
-    schema = "h long, d long, p int, s int, n int, words long"
-    runs = held.select("d", "text", "marks").mapInArrow(_stretches(window, last), schema)
-    runs = materialize(runs.join(held.select("d", "doc_id").distinct(), "d"))
-    place = F.xxhash64("d", "p")
-    twice = runs.groupBy("h").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a <> b").select("h")
+    least = rows.where(F.col("n_words") >= window).groupBy("d").agg(F.min(F.struct("doc_id", "th")).alias("least"))
+    chosen = marks.join(least, "d").select("d", "least.*", "marks").withColumnsRenamed({"doc_id": "_id", "th": "_th"})
+    named = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("th"))
+    same = (named["th"] == chosen["_th"]) & named["doc_id"].eqNullSafe(chosen["_id"])
+    held = materialize(named.join(chosen, same).select("d", "doc_id", "text", "marks"))
+    for level in range(1, last + 1):
+        found = held.select("d", "text", "marks").mapInArrow(_next_level(window, level), "h long, d long, p int")
+        held = materialize(held.drop("marks").join(_repeated(found), "d"))
+
+    runs = held.select("d", "text", "marks").mapInArrow(_stretches(window, last), "h long, d long, s int, n int, words long")
+    names = materialize(held.select("d", "doc_id").distinct())
+    runs = materialize(runs.join(names, "d"))
     # Runs with the same words hold the same windows: the earliest stands for all, the others go as a whole.
     start = F.struct("doc_id", "d", "s").alias("start")
-    kinds = runs.join(twice, "h").groupBy("h", "words", "n").agg(F.min(start).alias("first"), F.count("*").alias("k"))
-    kinds = materialize(kinds)
+    kinds = materialize(runs.groupBy("h", "words", "n").agg(F.min(start).alias("first"), F.count("*").alias("k")))
     many = kinds.where("k > 1").select("h", "words", "n", F.col("first.d").alias("_d"), F.col("first.s").alias("_s"))
     later = runs.join(many, ["h", "words", "n"]).where((F.col("d") != F.col("_d")) | (F.col("s") != F.col("_s")))
     # Where runs with different words share a part, their windows are compared one by one.
-    differ = kinds.groupBy("h").agg(F.count("*").alias("kinds")).where("kinds > 1").select("h")
+    differ = materialize(kinds.groupBy("h").agg(F.count("*").alias("kinds")).where("kinds > 1").select("h"))
     opened = kinds.join(differ, "h").select(F.col("first.d").alias("d"), F.col("first.s").alias("s"), "n")
     opened = opened.groupBy("d").agg(F.collect_list(F.struct("s", "n")).alias("runs"))
     windows = held.drop("marks").join(opened, "d").select("d", "text", "runs")
     windows = windows.mapInArrow(_whole_windows(window), "h long, g long, d long, s int").distinct()
-    windows = materialize(windows.join(held.select("d", "doc_id").distinct(), "d"))
+    windows = materialize(windows.join(names, "d"))
     earliest = windows.groupBy("h", "g").agg(F.min(start).alias("first"), F.count("*").alias("k")).where("k > 1")
-    earliest = earliest.select("h", "g", F.col("first.d").alias("_d"), F.col("first.s").alias("_s"))
+    earliest = materialize(earliest.select("h", "g", F.col("first.d").alias("_d"), F.col("first.s").alias("_s")))
     single = windows.join(earliest, ["h", "g"]).where((F.col("d") != F.col("_d")) | (F.col("s") != F.col("_s")))
     removed = later.select("d", "s", "n").unionByName(single.select("d", "s", F.lit(1).alias("n")))
     return held, removed
@@ -308,21 +318,13 @@ def repeated_passages(docs: DataFrame, window: int = WINDOW, key: str = "doc_id"
     Rows that repeat a key and its words are one document; texts that share a key but not their words are
     ordered by the hash of their words; a null key comes first.
     """
-    held, removed = repeated_runs(docs, window, key, text)
+    rows = materialize(summaries(docs, key, text))
+    held, removed = repeated_runs(docs, rows, window, key, text)
     runs = removed.groupBy("d").agg(F.collect_list(F.struct("s", "n")).alias("runs"))
     changed = held.select("d", "text").dropDuplicates(["d"]).join(runs, "d")
     changed = changed.mapInArrow(
         _cut(window), "d long, kept string, n_removed long, spans array<struct<start:int,end:int>>"
     )
-    words = F.array_remove(F.split(F.coalesce(F.col(text), F.lit("")), SPACES), "")
-    joined = F.array_join(words, " ")
-    rows = docs.select(
-        F.col(key).alias("doc_id"),
-        F.size(words).cast("long").alias("n_words"),
-        F.sha2(joined.cast("binary"), 256).alias("whole_sha256"),
-        F.xxhash64(joined).alias("d"),
-    )
-    rows = materialize(rows)
     firsts = rows.where(F.col("n_words") >= window).groupBy("d").agg(F.min(F.struct("doc_id")).alias("first"))
     firsts = firsts.select("d", "first", F.lit(True).alias("_long"))
     copy = F.coalesce(F.col("_long"), F.lit(False)) & ~F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
