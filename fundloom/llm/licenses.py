@@ -174,6 +174,16 @@ def known_licenses(spark: SparkSession, texts: list[tuple[str, str]] = KNOWN_TEX
     return spark.createDataFrame(texts, "license string, text string").select("license", digest(F.col("text")).alias("digest"))
 
 
+def _opening(spark: SparkSession, texts: list[tuple[str, str]]) -> str:
+    """A pattern for lower-case lines that open with a word some known text opens with, in any spelling."""
+    known = spark.createDataFrame(texts, "license string, text string")
+    opened = known.select(F.split(canonical(F.col("text")), " ")[0].alias("word")).distinct().collect()
+    words = {r.word for r in opened if r.word}  # of a fixed list
+    while more := {a.split()[0] for a, b in SPELLINGS if b.split()[0] in words} - words:
+        words |= more
+    return rf"^[^\p{{L}}\p{{N}}]*(?:{'|'.join(sorted(words))})(?![\p{{L}}\p{{N}}])"
+
+
 def scan_licenses(
     docs: DataFrame, key: str = "doc_id", text: str = "text", texts: list[tuple[str, str]] = KNOWN_TEXTS
 ) -> DataFrame:
@@ -182,13 +192,15 @@ def scan_licenses(
 
     Texts that are null or without letters and digits have the digest of the empty text and no licence; equal
     texts get equal results and repeated rows stay. The known texts, a fixed list, are the broadcast side of
-    both joins, so a text or line that a third of all rows have is no hot key; lines that are none go at once.
+    both joins, so a text or line that a third of all rows have is no hot key. A line whose first word opens no
+    known text in any spelling can be none of them and goes before its canonical form is made.
     """
     known = F.broadcast(known_licenses(docs.sparkSession, texts))
     rows = docs.select(F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
     whole = rows.select("_key", F.xxhash64("_text").alias("_hash"), digest(F.col("_text")).alias("digest"))
     whole = whole.join(known, "digest", "left")
     lines = rows.select("_key", F.xxhash64("_text").alias("_hash"), F.explode(F.split("_text", "\n")).alias("_line"))
+    lines = lines.where(F.lower("_line").rlike(_opening(docs.sparkSession, texts)))
     found = lines.select("_key", "_hash", digest(F.col("_line")).alias("digest")).join(known, "digest")
     per_text = found.groupBy("_key", "_hash").agg(F.collect_set("license").alias("_found"))
     per_text = per_text.select(F.col("_key").alias("_k"), F.col("_hash").alias("_h"), "_found")
