@@ -285,12 +285,14 @@ def near_groups(
         Column.bitwiseOR,
         [F.when(2 * b > F.count(F.lit(1)), F.lit(_signed(1 << i))).otherwise(F.lit(0)) for i, b in enumerate(bits)],
     )
+    rooted = materialize(rooted)
     centres = rooted.groupBy("root").agg(most.alias("centre"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    centres = materialize(centres)
     groups = materialize(rooted.join(centres, "root").select("root", "th", "fp", "centre"))
     away = F.bit_count(F.col("fp").bitwiseXOR(F.col("centre")))
     place = F.row_number().over(Window.partitionBy("root").orderBy(away, "th"))
     hubs = groups.withColumn("at", place).where(F.col("at") <= HUBS)
-    hubs = hubs.select("root", F.col("th").alias("b"), F.col("fp").alias("hub"))
+    hubs = materialize(hubs.select("root", F.col("th").alias("b"), F.col("fp").alias("hub")))
     near = F.bit_count(F.col("fp").bitwiseXOR(F.col("hub"))) <= max_bits
     to_hub = groups.join(hubs, "root").where(near).select(F.col("th").alias("a"), "b")
     same = groups.select(F.col("th").alias("a"), "fp").join(of_print, "fp").select("a", F.col("first").alias("b"))
