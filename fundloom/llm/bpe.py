@@ -18,7 +18,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from fundloom.llm.common import small_batches
+from fundloom.llm.common import packed, small_batches, unpacked
 
 #: Pieces of text whose ids a task keeps; beyond, it forgets them and goes on. Bounds memory, not results.
 KEPT_PIECES = 500_000
@@ -225,59 +225,86 @@ def chunks(texts: list[str]) -> Iterator[list[str]]:
         yield part
 
 
-def encoded(spark: SparkSession, text: Column, tokenizer_path: str) -> Column:
-    """The ids of a text, array<int>; none for a null or empty text.
-
-    The tokenizer's file (of fixed size) is read on the driver and sent with the job.
-    """
+def _definition(spark: SparkSession, tokenizer_path: str):
+    """The tokenizer's file, of fixed size, is read on the driver and sent with the job."""
     small_batches(spark)
     with open(tokenizer_path, encoding="utf-8") as f:
-        definition = spark.sparkContext.broadcast(f.read())
+        return spark.sparkContext.broadcast(f.read())
+
+
+def _encoded(encoder: Encoder, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of a batch in a row, and where each text's begin."""
+    ids, counts = [np.empty(0, np.int32)], [np.empty(0, np.int64)]
+    for part in chunks([t or "" for t in texts.to_pylist()]):
+        some, sizes = encoder.encode(part)
+        ids.append(some)
+        counts.append(sizes)
+    return np.concatenate(ids), np.concatenate([[0], np.cumsum(np.concatenate(counts))])
+
+
+def _listed(ids: np.ndarray, starts: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(ids, pa.int32()))
+
+
+class Decoder:
+    """The text of ids: the file names no decoder, so tokens are joined by spaces, special ones included."""
+
+    def __init__(self, definition: str):
+        data = json.loads(definition)
+        tokens = {i: t for t, i in data["model"]["vocab"].items()}
+        tokens.update({t["id"]: t["content"] for t in data["added_tokens"]})
+        self.tokens = [tokens.get(i) for i in range(max(tokens) + 1)]
+
+    def decode(self, ids: np.ndarray) -> str:
+        ids = ids[(ids >= 0) & (ids < len(self.tokens))]
+        return " ".join(t for t in map(self.tokens.__getitem__, ids.tolist()) if t is not None)
+
+
+def encoded(spark: SparkSession, text: Column, tokenizer_path: str) -> Column:
+    """The ids of a text, array<int>; none for a null or empty text."""
+    definition = _definition(spark, tokenizer_path)
 
     @F.arrow_udf("array<int>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = Encoder(Vocabulary(definition.value))
         for batch in batches:
-            ids, counts = [np.empty(0, np.int32)], [np.empty(0, np.int64)]
-            for part in chunks([t or "" for t in batch.to_pylist()]):
-                some, sizes = encoder.encode(part)
-                ids.append(some)
-                counts.append(sizes)
-            offsets = np.concatenate([[0], np.cumsum(np.concatenate(counts))]).astype(np.int32)
-            yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids), pa.int32()))
+            yield _listed(*_encoded(encoder, batch))
 
     return encode(text)
 
 
 def decoded(spark: SparkSession, ids: Column, tokenizer_path: str) -> Column:
-    """The text of ids: the file names no decoder, so tokens are joined by spaces, special ones included.
-
-    Unknown ids and nulls are passed over; a null array gives an empty text.
-    """
-    small_batches(spark)
-    with open(tokenizer_path, encoding="utf-8") as f:
-        definition = spark.sparkContext.broadcast(f.read())
+    """The text of ids. Unknown ids and nulls are passed over; a null array gives an empty text."""
+    definition = _definition(spark, tokenizer_path)
 
     @F.arrow_udf("string")
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        data = json.loads(definition.value)
-        tokens = {i: t for t, i in data["model"]["vocab"].items()}
-        tokens.update({t["id"]: t["content"] for t in data["added_tokens"]})
-        table = [tokens.get(i) for i in range(max(tokens) + 1)]
+        decoder = Decoder(definition.value)
         for batch in batches:
             texts = []
             for row in batch:
-                known = row.values.to_numpy(zero_copy_only=False) if row.is_valid else np.empty(0, np.int32)
-                if known.dtype.kind == "f":  # nulls among the ids
-                    known = known[np.isfinite(known)].astype(np.int64)
-                known = known[(known >= 0) & (known < len(table))]
-                words = map(table.__getitem__, known.tolist())
-                texts.append(" ".join(w for w in words if w is not None))
+                known = row.values.drop_null().to_numpy() if row.is_valid else np.empty(0, np.int32)
+                texts.append(decoder.decode(known))
             yield pa.array(texts, pa.string())
 
     return decode(ids)
 
 
+def there_and_back(spark: SparkSession, text: Column, tokenizer_path: str) -> Column:
+    """Struct of `ids` and of `decoded`, the text decoded from those ids, in one worker."""
+    definition = _definition(spark, tokenizer_path)
+
+    @F.arrow_udf("struct<ids:array<int>,decoded:string>")
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        encoder, decoder = Encoder(Vocabulary(definition.value)), Decoder(definition.value)
+        for batch in batches:
+            ids, starts = _encoded(encoder, batch)
+            texts = [decoder.decode(ids[s:e]) for s, e in zip(starts[:-1], starts[1:])]
+            yield pa.StructArray.from_arrays([_listed(ids, starts), pa.array(texts, pa.string())], ["ids", "decoded"])
+
+    return both(text)
+
+
 def encode_documents(
     docs: DataFrame, tokenizer_path: str, text: str = "text", ids: str = "ids", n: str = "n_tokens"
 ) -> DataFrame:
@@ -294,3 +321,18 @@ def decode_documents(
 ) -> DataFrame:
     """`tokens` with the text of each array of ids."""
     return tokens.withColumn(text, decoded(tokens.sparkSession, F.col(ids), tokenizer_path))
+
+
+def round_trip_documents(
+    docs: DataFrame,
+    tokenizer_path: str,
+    text: str = "text",
+    ids: str = "ids",
+    n: str = "n_tokens",
+    decoded_text: str = "decoded",
+) -> DataFrame:
+    """`docs` with ids, their number and the text decoded from them, as `decode_documents` after
+    `encode_documents` gives it, with one Python worker for a task instead of two."""
+    rows = packed(docs, found=there_and_back(docs.sparkSession, F.col(text), tokenizer_path))
+    found = {ids: F.col("found.ids"), n: F.size("found.ids").cast("long"), decoded_text: F.col("found.decoded")}
+    return unpacked(rows, docs, **found)

@@ -74,9 +74,7 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_bpe_round_trip")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    tokens = bpe.encode_documents(docs, WORD_BPE).drop("text")
-    texts = bpe.decode_documents(tokens, WORD_BPE)
-    return texts.select(
+    return bpe.round_trip_documents(docs, WORD_BPE).select(
         "doc_id",
         "n_tokens",
         hex_sha256(F.array_join(F.col("ids").cast("array<string>"), " ")).alias("ids_sha256"),
