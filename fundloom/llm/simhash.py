@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import reduce
 from itertools import combinations
@@ -224,89 +225,200 @@ def near_duplicates(
     )
 
 
+def _shingle_hashes(found: list[bytes], words: int, kept: int | None = None) -> np.ndarray:
+    """The distinct hashes of a text's shingles, ascending; the `kept` least of them if that is given."""
+    least = np.empty(0, np.uint64)
+    for at in range(0, max(1, len(found) - words + 1), _SHINGLES):
+        part = found[at : at + _SHINGLES + words - 1]
+        ends = range(max(1, len(part) - words + 1)) if part else ()
+        hashes = [xxhash.xxh64_intdigest(b" ".join(part[i : i + words]), 42) for i in ends]
+        least = np.unique(np.concatenate([least, np.array(hashes, np.uint64)]))[:kept]
+    return least
+
+
 def _features(spark: SparkSession, text: Column, words: int, kept: int) -> Column:
-    """Struct of `fp`, the fingerprint of a text's distinct words, and `sketch`, the `kept` least hashes of its
-    shingles of `words` words, 32 bits each. ASCII lower case."""
+    """Struct of `sketch`, the `kept` least hashes of a text's shingles of `words` words, ascending, their first
+    32 bits each (as a signed number of the same order), and `low`, the next eight bits of each. ASCII lower case."""
     small_batches(spark)
 
-    @F.arrow_udf("struct<fp:bigint,sketch:array<int>>")
+    @F.arrow_udf("struct<sketch:array<int>,low:binary>")
     def features(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            prints, sketches = [], []
+            lows, sketches = [], []
             for t in batch:
-                found = (t.as_py() or "").encode().lower().split()
-                prints.append(text_fingerprint(" ".join(w.decode() for w in sorted(set(found))), 1))
-                least = np.empty(0, np.uint64)
-                for at in range(0, max(1, len(found) - words + 1), _SHINGLES):
-                    part = found[at : at + _SHINGLES + words - 1]
-                    ends = range(max(1, len(part) - words + 1)) if part else ()
-                    hashes = [xxhash.xxh64_intdigest(b" ".join(part[i : i + words]), 42) for i in ends]
-                    least = np.unique(np.concatenate([least, np.array(hashes, np.uint64)]))[:kept]
-                sketches.append((least >> np.uint64(32)).astype(np.uint32).view(np.int32))
-            fp = pa.array(np.array(prints, np.uint64).view(np.int64))
-            yield pa.StructArray.from_arrays([fp, pa.array(sketches, pa.list_(pa.int32()))], ["fp", "sketch"])
+                least = _shingle_hashes((t.as_py() or "").encode().lower().split(), words, kept)
+                first = (least >> np.uint64(32)).astype(np.uint32)
+                sketches.append((first ^ np.uint32(1 << 31)).view(np.int32))
+                lows.append((least >> np.uint64(24)).astype(np.uint8).tobytes())
+            columns = [pa.array(sketches, pa.list_(pa.int32())), pa.array(lows, pa.binary())]
+            yield pa.StructArray.from_arrays(columns, ["sketch", "low"])
 
     return features(text)
 
 
-#: Texts of a group that all others of it are compared with: those nearest to the group's majority of bits.
-HUBS = 4
+#: Hashes that come last in the order of keys: so many of the most frequent ones among one text of `SAMPLED`. The
+#: order decides how many texts share a key, not which pairs meet.
+FREQUENT, SAMPLED = 65_536, 16
+#: Estimates from sketches may err by this (3.4 standard deviations of 128 hashes at 0.8); nearer ones are counted.
+MARGIN = 0.12
+#: Texts under one key that are compared in all pairs; larger keys are made finer until they are of `DEEPEST` hashes.
+PAIRED, DEEPEST = 16, 3
+
+
+def _wide(sketch: pa.Array, low: pa.Array) -> list[np.ndarray]:
+    """The hashes of each sketch, 40 bits."""
+    out = []
+    for s, b in zip(sketch, low):
+        first = np.array(s.values, np.int64) + (1 << 31)
+        out.append(first << 8 | np.frombuffer(b.as_py(), np.uint8).astype(np.int64))
+    return out
+
+
+def _shared(size: int, similarity: float, kept: int) -> int:
+    """Hashes that a sketch of `size` shares at least with any other that is estimated near enough to be looked at.
+
+    Where all sketches that can be alike are whole, the limit is exact."""
+    least = similarity if size < similarity * kept else similarity - MARGIN
+    return max(1, math.ceil(least * size - 1e-9))
+
+
+def _in_order(spark: SparkSession, texts: DataFrame, similarity: float, kept: int) -> DataFrame:
+    """`th`, `most` (hashes a text need not share), `need` (hashes it must) and `hashes`, the first of its sketch,
+    rare ones before frequent ones, as many as keys of `DEEPEST` hashes are made from."""
+
+    @F.arrow_udf("array<bigint>")
+    def wide(s: pa.Array, b: pa.Array) -> pa.Array:
+        return pa.array(_wide(s, b), pa.list_(pa.int64()))
+
+    sample = texts.where(F.pmod("th", F.lit(SAMPLED)) == 0).select(F.explode(wide("sketch", "low")).alias("hash"))
+    counted = sample.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    top = sorted((r.hash, r.n) for r in counted.orderBy(F.desc("n"), "hash").limit(FREQUENT).collect())
+    table = spark.sparkContext.broadcast(np.array(top, np.int64).reshape(-1, 2))  # of a fixed size
+
+    @F.arrow_udf("struct<most:int,need:int,hashes:array<bigint>>")
+    def first(s: pa.Array, b: pa.Array) -> pa.Array:
+        known, counts = table.value[:, 0], table.value[:, 1]
+        most, need, hashes = [], [], []
+        for h in _wide(s, b):
+            n = np.zeros(len(h), np.int64)
+            if len(known):
+                at = np.minimum(np.searchsorted(known, h), len(known) - 1)
+                n = np.where(known[at] == h, counts[at], 0)
+            need.append(_shared(len(h), similarity, kept))
+            most.append(max(0, len(h) - need[-1]))
+            hashes.append(h[np.lexsort((h, n))][: most[-1] + DEEPEST] if len(h) else [-1])
+        columns = [pa.array(most, pa.int32()), pa.array(need, pa.int32()), pa.array(hashes, pa.list_(pa.int64()))]
+        return pa.StructArray.from_arrays(columns, ["most", "need", "hashes"])
+
+    rows = texts.select("th", first("sketch", "low").alias("o"))
+    return rows.select("th", "o.most", "o.need", "o.hashes")
+
+
+def _alike(own: DataFrame, texts: DataFrame, pairs: DataFrame, words: int, similarity: float, kept: int) -> DataFrame:
+    """The pairs (u, v) among `pairs` of which the shingles are alike by `similarity`.
+
+    Sketches that hold all shingles tell that themselves; of the others, those that may be alike are counted whole.
+    """
+    pairs = pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).where("u <> v").distinct()
+
+    def joined(sets: DataFrame, what: DataFrame) -> DataFrame:
+        one, two = (sets.select(F.col("th").alias(n), F.col("sketch").alias(f"s{n}")) for n in ("u", "v"))
+        return what.join(one, "u").join(two, "v")
+
+    common = F.size(F.array_intersect("su", "sv"))
+    every = F.size("su") + F.size("sv") - common
+    share = F.when(every == 0, F.lit(1.0)).otherwise(common / every)
+    whole = F.greatest(F.size("su"), F.size("sv")) < kept
+    estimate = F.when(whole, share).otherwise(resemblance(F.col("su"), F.col("sv"), kept))
+    least = F.when(whole, F.lit(similarity)).otherwise(F.lit(similarity - MARGIN))
+    found = joined(texts, pairs).where(estimate >= least).select("u", "v", whole.alias("sure"))
+    found = materialize(found)
+    doubtful = found.where("not sure").select("u", "v")
+
+    @F.arrow_udf("array<bigint>")
+    def shingles(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield pa.array([_shingle_hashes(t.as_py().encode().lower().split(), words).view(np.int64) for t in batch])
+
+    asked = materialize(doubtful.select(F.explode(F.array("u", "v")).alias("th")).distinct())
+    once = own.join(asked, "th").dropDuplicates(["th"])
+    sets = materialize(once.select("th", shingles("_text").alias("sketch")))
+    counted = joined(sets, doubtful).where(share >= similarity).select("u", "v")
+    return materialize(found.where("sure").select("u", "v").unionByName(counted))
+
+
+def _text_links(own: DataFrame, texts: DataFrame, words: int, similarity: float, kept: int) -> DataFrame:
+    """Links (u, v) between `th` that connect all texts whose shingles are alike by `similarity`.
+
+    A sketch of n hashes shares `need` or more of them with any that may be alike, so in any common order of the
+    hashes the first m that a pair shares stand among the first n - need + m of both. These m are a key. All texts
+    of a key are compared with its first. Keys whose texts are then in one component are done; in the others all
+    pairs across components are compared if the key has `PAIRED` texts or fewer, and larger ones are made finer by
+    one more hash. Keys of `DEEPEST` hashes are compared in all such pairs, whatever their size.
+    """
+    spark = texts.sparkSession
+    ordered = materialize(_in_order(spark, texts, similarity, kept))
+    first = F.posexplode(F.slice("hashes", 1, F.col("most") + 1)).alias("at", "key")
+    keyed = ordered.select("th", first)
+    links: list[DataFrame] = []
+    for depth in range(1, DEEPEST + 1):
+        groups = keyed.groupBy("key").agg(F.min("th").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
+        groups = materialize(groups)
+        members = materialize(keyed.join(groups, "key"))
+        to_hub = members.select(F.col("th").alias("u"), F.col("hub").alias("v"))
+        links.append(_alike(own, texts, to_hub, words, similarity, kept))
+        rooted = materialize(components(reduce(DataFrame.unionByName, links)).withColumnRenamed("node", "th"))
+        placed = members.join(rooted, "th", "left").withColumn("root", F.coalesce("root", "th"))
+        placed = materialize(placed.select("key", "th", "at", "n", "root"))
+        mixed = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
+        left = materialize(placed.join(materialize(mixed.select("key")), "key"))
+        last = depth == DEEPEST
+        whole = left if last else left.where(F.col("n") <= PAIRED)
+        a, b = (whole.select("key", F.col("th").alias(x), F.col("root").alias(f"r{x}")) for x in ("u", "v"))
+        across = a.join(b, "key").where("u < v and ru <> rv").select("u", "v")
+        links.append(_alike(own, texts, across, words, similarity, kept))
+        large = left.where(F.col("n") > PAIRED)
+        if last or large.isEmpty():
+            break
+        # A pair that shares no more than `depth` hashes meets under its key again.
+        end = F.when(F.col("need") <= depth, F.array(F.struct(F.col("at"), F.lit(-1).cast("long").alias("hash"))))
+        rest = F.slice("hashes", F.col("at") + 2, F.greatest(F.lit(0), F.col("most") + depth - F.col("at")))
+        further = F.transform(rest, lambda h, i: F.struct((F.col("at") + 1 + i).alias("at"), h.alias("hash")))
+        more = F.explode(F.concat(further, F.coalesce(end, F.slice(further, 1, 0)))).alias("x")
+        finer = large.select("key", "th", "at").join(ordered, "th").select("th", "key", more)
+        keyed = materialize(finer.select("th", F.col("x.at").alias("at"), F.xxhash64("key", "x.hash").alias("key")))
+    return reduce(DataFrame.unionByName, links)
 
 
 def near_groups(
     docs: DataFrame,
     words: int = 5,
     similarity: float = 0.8,
-    max_bits: int = 6,
-    spare: int = 3,
     kept: int = 128,
     key: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
-    """`key`, `text_hash` and `component_id` of every document: near duplicates by `similarity` of shingles.
+    """`key`, `text_hash`, `component_id` and `group` of every document: near duplicates by `similarity`.
 
-    Fingerprints of shingles scatter too much at a similarity of 0.8 (12 of 64 bits at the median), so those
-    of the texts' distinct words find the candidates, at `max_bits` or fewer; a change of one word moves them
-    little. Candidates link if their shingles of `words` words resemble each other by `similarity`, estimated
-    from their `kept` least hashes (exact below that number). Each text is compared with the text that its
-    fingerprint was linked through and with the `HUBS` of its group, never with all of it.
+    Texts link if of all their distinct shingles of `words` words a share of `similarity` is common. Candidates
+    come from their `kept` least hashes, so that a pair is lost only if the estimate errs by over `MARGIN`. Every
+    other pair that is alike is in one component: what no other links connect is compared, also under keys that
+    many texts share. `component_id` is the smallest key of a component; `group` tells components apart, also
+    those whose keys repeat or are null.
     """
     spark = docs.sparkSession
     own = docs.select(F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    rows = own.select("_key", F.xxhash64("_text").alias("th"), _features(spark, F.col("_text"), words, kept).alias("f"))
-    rows = materialize(rows.select("_key", "th", "f.fp", "f.sketch"))
-    texts = materialize(rows.select("th", "fp", "sketch").dropDuplicates(["th"]))
-    of_print = texts.groupBy("fp").agg(F.min("th").alias("first"))
-    links = materialize(near_links(of_print.select("fp"), max_bits, spare))
-    rooted = texts.select("th", "fp").join(components(links).withColumnRenamed("node", "fp"), "fp", "left")
-    rooted = rooted.withColumn("root", F.coalesce("root", "fp"))
-    bits = [F.sum(F.shiftrightunsigned("fp", i).bitwiseAND(F.lit(1))) for i in range(64)]
-    most = reduce(
-        Column.bitwiseOR,
-        [F.when(2 * b > F.count(F.lit(1)), F.lit(_signed(1 << i))).otherwise(F.lit(0)) for i, b in enumerate(bits)],
+    own = own.withColumn("th", F.xxhash64("_text"))
+    rows = own.select("_key", "th", _features(spark, F.col("_text"), words, kept).alias("f"))
+    rows = materialize(rows.select("_key", "th", "f.sketch", "f.low"))
+    texts = materialize(rows.select("th", "sketch", "low").dropDuplicates(["th"]))
+    links = _text_links(own.select("th", "_text"), texts, words, similarity, kept)
+    rooted = materialize(components(links).withColumnRenamed("node", "th"))
+    whole = rows.select("_key", "th").join(rooted, "th", "left").withColumn("root", F.coalesce("root", "th"))
+    names = materialize(whole.groupBy("root").agg(F.min("_key").alias("component_id")))
+    return whole.join(names, "root").select(
+        F.col("_key").alias(key), F.col("th").alias("text_hash"), "component_id", F.col("root").alias("group")
     )
-    rooted = materialize(rooted)
-    centres = rooted.groupBy("root").agg(most.alias("centre"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    centres = materialize(centres)
-    groups = materialize(rooted.join(centres, "root").select("root", "th", "fp", "centre"))
-    away = F.bit_count(F.col("fp").bitwiseXOR(F.col("centre")))
-    place = F.row_number().over(Window.partitionBy("root").orderBy(away, "th"))
-    hubs = groups.withColumn("at", place).where(F.col("at") <= HUBS)
-    hubs = materialize(hubs.select("root", F.col("th").alias("b"), F.col("fp").alias("hub")))
-    near = F.bit_count(F.col("fp").bitwiseXOR(F.col("hub"))) <= max_bits
-    to_hub = groups.join(hubs, "root").where(near).select(F.col("th").alias("a"), "b")
-    same = groups.select(F.col("th").alias("a"), "fp").join(of_print, "fp").select("a", F.col("first").alias("b"))
-    ends = [of_print.select(F.col("fp").alias(c), F.col("first").alias(n)) for c, n in (("u", "a"), ("v", "b"))]
-    across = links.join(ends[0], "u").join(ends[1], "v").select("a", "b")
-    pairs = to_hub.unionByName(same).unionByName(across).where("a <> b")
-    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    one, two = (texts.select(F.col("th").alias(n), F.col("sketch").alias(f"s{n}")) for n in ("a", "b"))
-    alike = resemblance(F.col("sa"), F.col("sb"), kept) >= similarity
-    verified = pairs.join(one, "a").join(two, "b").where(alike).select(F.col("a").alias("u"), F.col("b").alias("v"))
-    of_text = components(verified).withColumnRenamed("node", "th")
-    whole = rows.select("_key", "th").join(of_text, "th", "left").withColumn("root", F.coalesce("root", "th"))
-    names = whole.groupBy("root").agg(F.min("_key").alias("component_id"))
-    return whole.join(names, "root").select(F.col("_key").alias(key), F.col("th").alias("text_hash"), "component_id")
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:

@@ -116,3 +116,39 @@ def test_one_of_each_edges(edges, clashing, empty):
     assert simhash.one_of_each(empty).count() == 0
     many = edges.where("doc_id = 1").select(F.explode(F.sequence(F.lit(100), F.lit(700))).alias("doc_id"), "text", "lang", "source", "n_chars")
     assert [r.doc_id for r in simhash.one_of_each(many).collect()] == [100]
+
+
+def plain_groups(texts):
+    """Components over all pairs by all their shingles."""
+    sets = [{tuple(t[i : i + 5]) for i in range(max(1, len(t) - 4))} for t in texts]
+    root = list(range(len(texts)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            both = len(a & b)
+            if root[i] != root[j] and both >= 0.8 * (len(a) + len(b) - both):
+                x, y = root[i], root[j]
+                root = [min(x, y) if r in (x, y) else r for r in root]
+    return root
+
+
+def parted(spark, texts):
+    frame = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: (r.component_id, r.group) for r in simhash.near_groups(frame).collect()}
+    assert len({g for _, g in got.values()}) == len({c for c, _ in got.values()})
+    return [got[i][0] for i in range(len(texts))]
+
+
+def test_appended_cut_and_replaced_copies_are_found(spark):
+    """Copies at every similarity from 0.75 up, whatever the edit: the groups are those of all pairs."""
+    rng = np.random.default_rng(8)
+    fresh = lambda n: [f"w{k}" for k in rng.integers(0, 5000, n)]
+    texts = []
+    for n in rng.integers(20, 600, 20).tolist():
+        for share in (0.05, 0.12, 0.18):
+            t, m = fresh(n), max(1, int(share * n))
+            texts += [t, t + fresh(m)]
+            texts += [t := fresh(n), t[m:]]
+            texts += [t := fresh(n), t[: n // 3] + fresh(m // 2) + t[n // 3 + m // 2 :]]
+    want = plain_groups(texts)
+    assert sum(i != c for i, c in enumerate(want)) > 120
+    assert parted(spark, texts) == want
