@@ -152,3 +152,21 @@ def test_appended_cut_and_replaced_copies_are_found(spark):
     want = plain_groups(texts)
     assert sum(i != c for i, c in enumerate(want)) > 120
     assert parted(spark, texts) == want
+
+
+@pytest.mark.parametrize("paired, deepest", [(16, 3), (1, 2)])
+def test_copies_in_loose_groups_are_found(spark, monkeypatch, paired, deepest):
+    """Copies among many texts of the same words in other order, and among many that share most of a template."""
+    monkeypatch.setattr(simhash, "PAIRED", paired)
+    monkeypatch.setattr(simhash, "DEEPEST", deepest)
+    rng = np.random.default_rng(9)
+    words, template = ([f"{c}{k}" for k in range(150)] for c in "vt")
+    texts = []
+    for family in range(30):
+        t = rng.permutation(words).tolist()
+        texts += [t, [*t[:70], t[71], t[70], *t[72:]]]  # near copies
+        t = [*template, *(f"f{family}x{k}" for k in range(34))]
+        texts += [t, [*t, "end"]]
+    want = plain_groups(texts)
+    assert sorted(want.count(c) for c in set(want)) == [2] * 60
+    assert parted(spark, texts) == want
