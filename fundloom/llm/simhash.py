@@ -422,14 +422,17 @@ def near_groups(
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """`docs` without near duplicates: of each group the document with the smallest key stays.
+    """`docs` without near duplicates: of each group the row with the smallest key stays, null keys last.
 
-    Of rows that share that key, the first by their values stays. Texts that are null or without words are
+    Of rows that share that key, the one with the least text hash stays, then the first by its values. Rows of
+    different groups never stand for each other, whatever their keys. Texts that are null or without words are
     alike and form one group. Columns are those of `docs`.
     """
     found = near_groups(docs, key=key, text=text, **options)
-    stay = found.where(F.col(key).eqNullSafe(F.col("component_id"))).select(F.col(key).alias("_stay")).distinct()
-    rows = packed(docs, key=F.col(key), hash=F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
-    first = F.row_number().over(Window.partitionBy("key").orderBy("hash"))
-    kept = rows.join(stay, F.col("key").eqNullSafe(F.col("_stay"))).withColumn("place", first)
-    return unpacked(kept.where("place = 1"), docs)
+    order = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), F.col("text_hash").alias("th"))
+    first = found.groupBy("group").agg(F.min(order).alias("f"))
+    stay = materialize(first.select(F.col("f.key").alias("_key"), F.col("f.th").alias("_th")))
+    th = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+    rows = packed(docs, key=F.col(key), th=th, hash=F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
+    kept = rows.join(stay, F.col("key").eqNullSafe(F.col("_key")) & (F.col("th") == F.col("_th")))
+    return unpacked(kept.groupBy("key", "th").agg(F.min_by("row", "hash").alias("row")), docs)

@@ -170,3 +170,12 @@ def test_copies_in_loose_groups_are_found(spark, monkeypatch, paired, deepest):
     want = plain_groups(texts)
     assert sorted(want.count(c) for c in set(want)) == [2] * 60
     assert parted(spark, texts) == want
+
+
+def test_one_of_each_keeps_rows_of_other_groups_under_the_same_key(spark):
+    rng = np.random.default_rng(10)
+    a, b, c, d = ([f"{n}{k}" for k in rng.integers(0, 900, 60)] for n in "abcd")
+    rows = [(None, a), (None, b), (7, c), (7, d), (3, [*d, "end"]), (7, c), (8, [*c, "end"])]
+    frame = spark.createDataFrame([(k, " ".join(t)) for k, t in rows], "doc_id long, text string")
+    kept = sorted(((r.doc_id, r.text[0]) for r in simhash.one_of_each(frame).collect()), key=str)
+    assert kept == [(3, "d"), (7, "c"), (None, "a"), (None, "b")]
