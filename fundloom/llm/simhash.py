@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from fundloom.llm.common import packed, small_batches, unpacked
 from fundloom.llm.components import components
 from fundloom.llm.sketches import resemblance
-from fundloom.session import materialize
+from fundloom.session import materialize, passing
 
 #: A fingerprint is cut into so many blocks more than bits may differ; two or more of them agree in as many.
 SPARE = 4
@@ -428,10 +428,11 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", **opti
     different groups never stand for each other, whatever their keys. Texts that are null or without words are
     alike and form one group. Columns are those of `docs`.
     """
-    found = near_groups(docs, key=key, text=text, **options)
-    order = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), F.col("text_hash").alias("th"))
-    first = found.groupBy("group").agg(F.min(order).alias("f"))
-    stay = materialize(first.select(F.col("f.key").alias("_key"), F.col("f.th").alias("_th")))
+    with passing(docs.sparkSession):  # the sketches need no room once it is known what stays
+        found = near_groups(docs, key=key, text=text, **options)
+        order = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), F.col("text_hash").alias("th"))
+        first = found.groupBy("group").agg(F.min(order).alias("f"))
+        stay = materialize(first.select(F.col("f.key").alias("_key"), F.col("f.th").alias("_th")), lasting=True)
     th = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
     rows = packed(docs, key=F.col(key), th=th, hash=F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
     kept = rows.join(stay, F.col("key").eqNullSafe(F.col("_key")) & (F.col("th") == F.col("_th")))

@@ -5,12 +5,15 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 STAGING = "fundloom-staging"
 _staged: set[str] = set()
+_scopes: list[list[str]] = []
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -60,12 +63,27 @@ def remove_staged() -> None:
             where.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(where, True)
 
 
-def materialize(df: DataFrame) -> DataFrame:
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[None]:
+    """Tables that are materialized inside are deleted at the end, but for lasting ones."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        jvm = spark.sparkContext._jvm
+        for path in _scopes.pop():
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def materialize(df: DataFrame, lasting: bool = False) -> DataFrame:
     """Cut the lineage with a table in the shared folder.
 
     Operators that read their input several times start from it: the input is computed once, every pass
     sees the same rows also after an executor is lost, and each pass reads only the columns it needs.
     """
     path = staging_path(df.sparkSession, "table")
+    if _scopes and not lasting:
+        _scopes[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
