@@ -25,8 +25,16 @@ CHARS_PER_TOKEN = 2.0
 #: Lengths of hexadecimal digests (MD5, SHA-1 and SHA-2), which are known and not secret by themselves.
 DIGEST_CHARS = (32, 40, 56, 64, 96, 128)
 UUID = r"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}"
-#: Identifiers: parts of three letters or more in one case (or capitalised) and short numbers.
-IDENTIFIER = r"(?:[+/_-]*(?:[A-Z]?[a-z]{2,}|[A-Z]{3,}|[0-9]{1,4}(?![0-9])))+[+/_=-]*"
+#: Parts of an identifier: words by their capitals, and numbers, which have so many digits at most.
+PART = r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+"
+NUMBER_DIGITS = 4
+#: Letters that a token of the vocabulary has at least to count as a known word.
+WORD_CHARS = 3
+#: Pieces between separators that count as names of any kind, such as x86, have so many characters at most.
+PIECE_CHARS = 3
+#: Further forms of identifiers: timestamps; stretches of the alphabet are parts like words.
+TIMESTAMP = r"[0-9]{4}-?[0-9]{2}-?[0-9]{2}[T_-]?[0-9]{2}-?[0-9]{2}(?:-?[0-9]{2})?Z?(?:[+_-][0-9]{1,6})?"
+ALPHABET = "abcdefghijklmnopqrstuvwxyz"
 
 SPANS = "array<struct<kind:string,start:int,end:int>>"
 
@@ -43,19 +51,33 @@ class Scanner:
         self.access = re.compile(rf"AKIA[A-Z0-9]{{{ACCESS_CHARS - 4},}}")
         self.hex = re.compile(rf"[0-9a-f]{{{HEX_CHARS},}}")
         self.candidate = re.compile(CANDIDATE)
-        self.identifier = re.compile(IDENTIFIER)
+        self.part, self.timestamp = re.compile(PART), re.compile(TIMESTAMP)
+        words = (t.strip().lower() for t in table)
+        self.words = {w.decode() for w in words if len(w) >= WORD_CHARS and w.isalpha() and w.isascii()}
         self.uuid = re.compile(UUID)
-        self.digit, self.letter = re.compile("[0-9]"), re.compile("[A-Za-z]")
+        self.letter = re.compile("[A-Za-z]")
         self.digest = re.compile("[0-9a-f]+|[0-9A-F]+")
 
+    def is_known(self, part: str) -> bool:
+        """A known word, a stretch of the alphabet or a short number."""
+        if part.isdigit():
+            return len(part) <= NUMBER_DIGITS
+        return part.lower() in self.words or (len(part) > PIECE_CHARS and part.lower() in ALPHABET)
+
+    def is_identifier(self, found: str) -> bool:
+        """A timestamp, or pieces that are short or made of known parts only."""
+        pieces = re.split("[+/_=-]+", found)
+        known = (len(p) <= PIECE_CHARS or all(map(self.is_known, self.part.findall(p))) for p in pieces)
+        return bool(self.timestamp.fullmatch(found)) or all(known)
+
     def is_random(self, found: str) -> bool:
-        if not (self.digit.search(found) and self.letter.search(found)):
+        if not self.letter.search(found):
             return False
-        if len(found) in DIGEST_CHARS and self.digest.fullmatch(found):
+        if len(found) >= CHARS_PER_TOKEN * len(self.encoding.encode_ordinary(found)):
             return False
-        if self.uuid.fullmatch(found) or self.identifier.fullmatch(found):
+        if len(found) in DIGEST_CHARS and self.digest.fullmatch(found):
             return False
-        return len(found) < CHARS_PER_TOKEN * len(self.encoding.encode_ordinary(found))
+        return not (self.uuid.fullmatch(found) or self.is_identifier(found))
 
     def spans(self, text: str) -> list[tuple[int, int, int]]:
         """(start, kind, end) in order."""

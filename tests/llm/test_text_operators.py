@@ -183,6 +183,23 @@ def test_secrets_of_odd_texts(spark):
         assert ",".join(f"{s.kind}:{s.start}:{s.end}" for s in r.secrets) == ODD[r.doc_id][1], ODD[r.doc_id]
 
 
+def test_random_strings_of_every_alphabet_are_found():
+    with open(BYTE_RANKS, "rb") as f:
+        scanner = secret_scan.Scanner(f.read())
+    rng = np.random.default_rng(4)
+    lower, upper, digits = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    for letters, least in ((lower + digits, 0.98), (upper + "234567", 0.98), (lower + upper, 0.98), (lower, 0.88)):
+        for n in (20, 32, 40):
+            keys = ["".join(rng.choice(list(letters), n)) for _ in range(500)]
+            assert np.mean([scanner.is_random(k) for k in keys]) >= least, (letters, n)
+    for name in (
+        "/usr/lib/x86_64-linux-gnu", "2024-01-01T12-00-00Z-001", upper, lower, "a-b-c-d-e-f-g-h-i-j-k-l",
+        "get_x1_y2_z3_from_a_b_c_d", "Geschwindigkeitsbegrenzungen", "src/main/java/com/example/StringHelper",
+        "12345678901234567890", "--------------------", sha("a"), "123E4567-E89B-12D3-A456-426614174000",
+    ):
+        assert not scanner.is_random(name), name
+
+
 def test_secrets_edges(spark, edges, clashing, empty):
     rows = secret_scan.find_secrets(clashing, BYTE_RANKS).collect()
     assert len(rows) == edges.count() and not any(r.secrets for r in rows) and rows[0].row == "own row"
