@@ -12,6 +12,7 @@ from fundloom.llm import (
     forest,
     langid,
     licenses,
+    merkle,
     mixing,
     passages,
     secret_scan,
@@ -175,3 +176,80 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "source")
     return mixing.mix(docs).select("doc_id", "source", "block", "slot", "position")
+
+
+LEAF_COLUMNS = ["doc_id", "source", "lang", "n_chars", "text"]
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Levels that the SQL spells out: enough for 8^9 rows of a language.
+_SQL_LEVELS = 9
+
+
+def _merkle_sql() -> str:
+    def value(c: str) -> str:
+        return f"CASE WHEN {c} IS NULL THEN '-' ELSE octet_length(encode({c}::VARCHAR))::VARCHAR || ':' || {c}::VARCHAR END"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(value(text if c == "text" else c) for c in LEAF_COLUMNS) + ")"
+
+    run = "PARTITION BY g, idx // 8 ORDER BY idx ROWS BETWEEN"
+
+    def tree(name: str) -> str:
+        """Levels {name}0, {name}1, ... with siblings, of nodes {name}n0 (g, idx, n, node)."""
+        ctes = []
+        for k in range(_SQL_LEVELS):
+            ctes.append(f"""{name}{k} AS (SELECT g, idx, n, node,
+              coalesce(string_agg(node, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS lft,
+              coalesce(string_agg(node, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS rgt
+              FROM {name}n{k} WHERE n > 1)""")
+            ctes.append(f"""{name}n{k + 1} AS (SELECT g, idx // 8 AS idx, (n + 7) // 8 AS n,
+              sha256(node || rgt) AS node FROM {name}{k} WHERE idx % 8 = 0)""")
+        tops = " UNION ALL ".join(f"SELECT g, node FROM {name}n{k} WHERE n = 1" for k in range(_SQL_LEVELS + 1))
+        return ", ".join(ctes) + f", {name}top AS ({tops})"
+
+    def walk(name: str, source: str) -> str:
+        """Folded digest and proof of every row of `source` (r, g, idx, fold, proof) at the top of its tree."""
+        ctes, before = [], source
+        for k in range(_SQL_LEVELS):
+            ctes.append(f"""{name}w{k} AS (SELECT w.* REPLACE (w.idx // 8 AS idx,
+              CASE WHEN s.g IS NULL THEN fold ELSE sha256(s.lft || fold || s.rgt) END AS fold,
+              CASE WHEN s.g IS NULL THEN proof ELSE proof || s.lft || s.rgt END AS proof)
+              FROM {before} w LEFT JOIN {name}{k} s ON s.g = w.g AND s.idx = w.idx)""")
+            before = f"{name}w{k}"
+        return ", ".join(ctes)
+
+    last = _SQL_LEVELS - 1
+    return f"""WITH RECURSIVE crc AS MATERIALIZED ({_CRC_TABLE}),
+    rows_ AS (SELECT row_number() OVER () AS r, *, coalesce('+' || lang, '') AS g FROM documents),
+    leaves AS MATERIALIZED (SELECT r, doc_id, g, {leaf('text')} AS node, CASE WHEN xor(4294967295::UBIGINT, list_reduce(
+        list_prepend(4294967295::UBIGINT, list_transform(regexp_extract_all(hex(encode(coalesce(doc_id::VARCHAR, ''))),
+        '..'), lambda x: ('0x' || x)::UBIGINT)), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255)::BIGINT + 1]))) % 3 = 0
+      THEN {leaf(f"translate(text, '{_UPPER}', '{_LOWER}')")} ELSE {leaf('text')} END AS claim FROM rows_, crc),
+    an AS MATERIALIZED (SELECT r, doc_id, g, node, claim, count(*) OVER (PARTITION BY g) AS n,
+      row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, node) - 1 AS idx FROM leaves),
+    an0 AS (SELECT g, idx, n, node FROM an), {tree('a')},
+    bs AS MATERIALIZED (SELECT g AS lang_, node, count(*) OVER () AS n, row_number() OVER (ORDER BY g) - 1 AS idx FROM atop),
+    bn0 AS (SELECT '' AS g, idx, n, node FROM bs), {tree('b')},
+    a_in AS (SELECT r, doc_id, g, node AS leaf, idx, claim AS fold, '' AS proof FROM an), {walk('a', 'a_in')},
+    b_in AS (SELECT r, doc_id, leaf, fold, proof, s.node AS subroot, '' AS g, s.idx
+      FROM aw{last} w JOIN bs s ON s.lang_ = w.g), {walk('b', 'b_in')}
+    SELECT doc_id, leaf, subroot, t.node AS root, sha256(proof) AS proof_sha256, fold AS folded_root, fold = t.node AS verified
+    FROM bw{last}, btop t"""
+
+
+@query("op11_merkle_manifest", _merkle_sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select(*LEAF_COLUMNS)
+    tampered = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 3 == 0
+    text = F.when(tampered, F.translate("text", _UPPER, _LOWER)).otherwise(F.col("text"))
+    claim = merkle.leaf_digest([text if c == "text" else F.col(c) for c in LEAF_COLUMNS])
+    found = merkle.manifest(docs, LEAF_COLUMNS, claim=claim)
+    found = found.withColumn("folded_root", merkle.folded(F.col("claim"), F.col("path")))
+    return found.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        hex_sha256(merkle.proof_text(F.col("path"))).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
