@@ -11,6 +11,7 @@ from fundloom.llm import (
     bpe,
     forest,
     langid,
+    lexical,
     licenses,
     merkle,
     mixing,
@@ -253,3 +254,26 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
         "folded_root",
         (F.col("folded_root") == F.col("root")).alias("verified"),
     )
+
+
+_TERMS = r"regexp_extract_all(translate({}, '" + _UPPER + "', '" + _LOWER + r"'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+
+@query(
+    "op13_reversed_search",
+    f"""WITH docs AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, {_TERMS.format("coalesce(text, '')")} AS terms
+      FROM documents),
+    totals AS (SELECT count(*)::BIGINT AS big_n, sum(len(terms))::BIGINT AS big_l FROM docs WHERE len(terms) > 0),
+    wanted AS (SELECT DISTINCT item_id, unnest({_TERMS.format("coalesce(text, '')")}) AS term FROM benchmark),
+    tfs AS (SELECT r, term, count(*)::BIGINT AS tf FROM (SELECT r, unnest(terms) AS term FROM docs) GROUP BY ALL),
+    weights AS (SELECT term, floor(1000 * ln((2 * any_value(big_n) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+      FROM tfs, totals GROUP BY term),
+    lengths AS (SELECT r, doc_id, 10 + (90 * len(terms)::BIGINT * big_n) // big_l AS m FROM docs, totals WHERE len(terms) > 0),
+    scores AS (SELECT item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+      FROM wanted JOIN tfs USING (term) JOIN weights USING (term) JOIN lengths USING (r) GROUP BY ALL),
+    ranked AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS FIRST)::INTEGER
+      AS rank, doc_id, score FROM scores WHERE score > 0)
+    SELECT * FROM ranked WHERE rank <= 10""",
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked_search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), most=10)
