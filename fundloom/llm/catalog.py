@@ -16,6 +16,7 @@ from fundloom.llm import (
     merkle,
     mixing,
     passages,
+    quality,
     secret_scan,
     sharding,
     simhash,
@@ -277,3 +278,10 @@ _TERMS = r"regexp_extract_all(translate({}, '" + _UPPER + "', '" + _LOWER + r"')
 )
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.ranked_search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), most=10)
+
+
+@query("op12_passage_attention")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = quality.rate_documents(docs, read(spark, sf_dir, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted")
