@@ -24,6 +24,8 @@ from fundloom.session import materialize
 FANOUT = 8
 #: Nodes that one window holds.
 BLOCK = FANOUT**3
+#: Groups whose sizes are broadcast; more are joined.
+FEW_GROUPS = 10_000
 _STEP = "array<struct<left:string,right:string>>"
 
 
@@ -58,22 +60,26 @@ def _above(count: Column) -> Column:
 
 def _with_siblings(nodes: DataFrame) -> DataFrame:
     """`left` and `right`: digests of the node's siblings before and after it."""
-    near = Window.partitionBy("group", F.floor(F.col("at") / BLOCK)).orderBy("at")
+    nodes = nodes.withColumn("block", F.floor(F.col("at") / BLOCK)).repartition("group", "block")
+    near = Window.partitionBy("group", "block").orderBy("at")
     slot = F.col("at") % FANOUT
     length = F.least(F.lit(FANOUT), F.col("n") - F.col("at") + slot)
     steps = range(1, FANOUT)
     before = [F.when(slot >= k, F.lag("node", k).over(near)) for k in reversed(steps)]
     after = [F.when(slot + k < length, F.lead("node", k).over(near)) for k in steps]
     # concat_ws leaves nulls out
-    return nodes.withColumns({"left": F.concat_ws("", *before), "right": F.concat_ws("", *after)})
+    near_ones = {"left": F.concat_ws("", *before), "right": F.concat_ws("", *after)}
+    return nodes.withColumns(near_ones).drop("block")
 
 
 def _numbered(rows: DataFrame, order: Sequence[Column]) -> tuple[DataFrame, int]:
     """`at` and `n`: the place in the group and the group's number of rows; and the largest such number."""
     placed = global_positions(rows, order, "place")
     groups = placed.groupBy("group").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n"))
-    most = groups.agg(F.max("n")).first()[0] or 0
-    # no hint: there are as many groups as the table has, so the join goes by their measured size
+    most, count = groups.agg(F.max("n"), F.count("n")).first()
+    most = most or 0
+    if count <= FEW_GROUPS:
+        groups = F.broadcast(groups)  # else the join goes by measured size, and a hot group is split as skew
     numbered = placed.join(groups, "group").withColumn("at", F.col("place") - F.col("first"))
     return numbered.drop("place", "first"), most
 
