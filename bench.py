@@ -33,12 +33,13 @@ HEADLINE = [
     "top_quantile_weights",
     "portfolio_returns_drift",
     "rank_and_decile",
-    "predict_service_batch",
 ]
 
 
 def main() -> None:
     from fundloom.catalog import all_queries
+    from fundloom.catalog.jobs import served
+    from fundloom.catalog.models import stored_models
     from fundloom.catalog.scalars import stored_returns
     from fundloom.operators.joins import lookup_fund_returns
     from fundloom.session import local_session
@@ -54,6 +55,13 @@ def main() -> None:
         begin = time.perf_counter()
         queries[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - begin, 3)
+    # models are fitted and stored once and applied many times: both are timed, scoring with the read of the store
+    begin = time.perf_counter()
+    models = stored_models(spark, sf_dir)
+    seconds["store_models"] = round(time.perf_counter() - begin, 3)
+    begin = time.perf_counter()
+    served(spark, sf_dir, models).write.format("noop").mode("overwrite").save()
+    seconds["predict_service_batch"] = round(time.perf_counter() - begin, 3)
     # the returns database is stored once and looked up many times: both are timed, the lookup with its read
     begin = time.perf_counter()
     path = stored_returns(spark, sf_dir).inputFiles()[0].rsplit("/year=", 1)[0]
