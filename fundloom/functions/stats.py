@@ -5,9 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from fundloom.functions.scalars import col
+from fundloom.session import materialize
+
+#: Values of one bracket that an aggregate may hold.
+MOST_VALUES = 10_000
 
 
 def correlation(x: str | Column, y: str | Column) -> Column:
@@ -47,77 +51,105 @@ def exact_quantiles(
     probs: Sequence[float],
     by: Sequence[str] = (),
     accuracy: int = 10000,
-    few_groups: bool = False,
+    most: int = MOST_VALUES,
 ) -> DataFrame:
     """Linear-interpolated quantiles as rows (by, variable, prob, quantile), for groups of any size.
 
-    The built-in `percentile` keeps every distinct value of a group in one task. Here a mergeable sketch
-    first brackets each wanted rank; a second pass counts what lies below the bracket and keeps the distinct
-    values inside it, and the values next to it on both sides. The sketch errs by at most n/accuracy ranks and
-    the bracket spans three times that on both sides, whatever n is; a rank that is neither inside a bracket
-    nor next to it, which the sketch's bound rules out, fails the job instead of giving a wrong number.
-    `few_groups` states that the groups are bounded (calendar dates, models), so their brackets may be
-    broadcast; otherwise the measured size decides.
+    The built-in `percentile` keeps every distinct value of a group in one task. Here a mergeable sketch brackets
+    the wanted ranks; every pass is one aggregate over the frame for all measures and probabilities, combined
+    before the shuffle. While a bracket may hold more than `most` values between its ends, a pass counts what lies
+    below, on and between the ends and sketches the inside, which narrows the bracket; the last pass takes the
+    values between the ends, `most` at most, and the ends' own counts. A bracket that its counts show not to hold a
+    rank is moved to the side where the rank is. Brackets are one row for each group, written between the passes.
+    Up to `most` x `accuracy` / 8 values there are two passes. Unknown values count for nothing; a group without
+    known values has no row.
     """
-    keys = [*by, "variable"]
-    margin = 3.0 / accuracy
-    below = [p - margin if p > margin else 0.0 for p in probs]
-    above = [p + margin if p < 1.0 - margin else 1.0 for p in probs]
-    long = unpivot_measures(df, measures, by)
-    long = long.where(F.col("value").isNotNull() & ~F.isnan("value"))
-
-    sketched = long.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.percentile_approx("value", below + above, accuracy).alias("cuts"),
+    keys = [f"`{k}`" for k in by]
+    wide = df.select(
+        *[col(k) for k in by],
+        *[F.nanvl(col(m).cast("double"), F.lit(None)).alias(f"_x{i}") for i, m in enumerate(measures)],
     )
-    open_end = F.lit(None).cast("double")
-    targets = [
-        F.struct(
-            F.lit(float(p)).alias("prob"),
-            (F.col("cuts")[i] if below[i] > 0 else open_end).alias("lo"),
-            (F.col("cuts")[len(probs) + i] if above[i] < 1 else open_end).alias("hi"),
-        )
-        for i, p in enumerate(probs)
-    ]
-    brackets = sketched.select(*[col(k) for k in keys], "n", F.explode(F.array(*targets)).alias("t")).select(
-        *[col(k) for k in keys], "n", "t.prob", "t.lo", "t.hi"
-    )
-    # Without groups the brackets are one row per measure and probability, a size fixed by the call.
-    side = F.broadcast(brackets) if few_groups or not by else brackets
-    value = F.col("value")
-    part = F.when(value < F.col("lo"), -1).when(value > F.col("hi"), 1).otherwise(0)
-    cells = (
-        long.join(side, keys)
-        .groupBy(*keys, "prob", "n", part.alias("part"), F.when(part == 0, value).alias("at"))
-        .agg(F.count(F.lit(1)).alias("hits"), F.min(value).alias("least"), F.max(value).alias("most"))
+    margin = 3.0 / accuracy
+    ends = [max(p - margin, 0.0) for p in probs] + [min(p + margin, 1.0) for p in probs]
+    targets = [(i, j) for i in range(len(measures)) for j in range(len(probs))]
+    asked = f"array({', '.join(f'{e!r}D' for e in ends)})"
+    sketched = wide.groupBy(*by).agg(
+        *[F.expr(f"double(count(_x{i})) AS _n{i}") for i in range(len(measures))],
+        *[F.expr(f"percentile_approx(_x{i}, {asked}, {accuracy}) AS _cuts{i}") for i in range(len(measures))],
     )
-    upto = (
-        Window.partitionBy(*keys, "prob")
-        .orderBy("part", "at")
-        .rowsBetween(Window.unboundedPreceding, 0)
+    listed = ", ".join(
+        f"named_struct('i', {i}, 'p', {float(probs[j])!r}D, 'n', _n{i}, 'lo', _cuts{i}[{j}], "
+        f"'hi', _cuts{i}[{len(probs) + j}], 'size', _n{i} * {8.0 / accuracy!r}D)"
+        for i, j in targets
     )
-    position = F.col("prob") * (F.col("n") - 1)
-    low_rank = F.floor(position)
-    ranked = cells.withColumn("upto", F.sum("hits").over(upto)).withColumns(
-        {"low_rank": low_rank, "high_rank": F.ceil(position), "share": position - low_rank}
+    brackets = materialize(sketched.selectExpr(*keys, f"array({listed}) AS _s"))
+    measured = [i for i, _ in targets]
+    while True:
+        largest = brackets.selectExpr("max(array_max(transform(_s, b -> b.size)))").first()[0] or 0.0
+        if largest > most:
+            brackets = materialize(_bracket_pass(wide, brackets, by, measured, accuracy, take=False))
+            continue
+        found = materialize(_bracket_pass(wide, brackets, by, measured, accuracy, take=True))
+        if found.where("exists(_s, b -> b.size > 0)").isEmpty():
+            break
+        brackets = found
+    names = ", ".join(f"'{m}'" for m in (str(m).replace("\\", "\\\\").replace("'", "\\'") for m in measures))
+    rows = found.selectExpr(*keys, "inline(_s)")
+    value = F.expr("v + (w - v) * (p * (n - 1) - floor(p * (n - 1)))")
+    variable = F.expr(f"array({names})[i]")
+    return rows.select(*[col(k) for k in by], variable.alias("variable"), F.col("p").alias("prob"), value.alias("quantile")).where(
+        F.col("quantile").isNotNull()
     )
 
-    def at_rank(rank: str) -> Column:
-        first, last = F.col("upto") - F.col("hits"), F.col("upto") - 1
-        known = (
-            F.when(F.col("part") == 0, F.col("at"))
-            .when((F.col("part") == -1) & (F.col(rank) == last), F.col("most"))
-            .when((F.col("part") == 1) & (F.col(rank) == first), F.col("least"))
-        )
-        return F.max(F.when(F.col(rank).between(first, last), known))
 
-    found = ranked.groupBy(*keys, "prob").agg(
-        at_rank("low_rank").alias("v0"), at_rank("high_rank").alias("v1"), F.first("share").alias("share")
-    )
-    missed = F.col("v0").isNull() | F.col("v1").isNull()
-    between = F.col("v0") + (F.col("v1") - F.col("v0")) * F.col("share")
-    guarded = F.when(missed, F.raise_error(F.lit("quantile bracket missed")).cast("double")).otherwise(between)
-    return found.select(*[col(k) for k in keys], "prob", guarded.alias("quantile"))
+#: Steps in which the inside of a bracket is sketched to narrow it.
+_STEPS = 64
+
+
+def _bracket_pass(
+    wide: DataFrame, brackets: DataFrame, by: Sequence[str], measured: Sequence[int], accuracy: int, take: bool
+) -> DataFrame:
+    """One pass over the frame: the values `v` and `w` at the ranks (`take`), or narrower brackets.
+
+    `size` bounds the values between the new ends; with `take` it is 0 unless the bracket does not hold the ranks.
+    `measured` names the measure of each bracket. Written as SQL, as there are many brackets.
+    """
+    joined = wide.join(brackets, list(by)) if by else wide.crossJoin(F.broadcast(brackets))  # one row
+    grid = f"array({', '.join(f'{k / _STEPS!r}D' for k in range(_STEPS + 1))})"
+    cells = []
+    for t, i in enumerate(measured):
+        x, lo, hi = f"_x{i}", f"_s[{t}].lo", f"_s[{t}].hi"
+        between = f"CASE WHEN ({lo} IS NULL OR {x} > {lo}) AND ({hi} IS NULL OR {x} < {hi}) THEN {x} END"
+        inner = f"sort_array(collect_list({between}))" if take else f"percentile_approx({between}, {grid}, {accuracy})"
+        cells.append(
+            f"named_struct('under', count_if({x} < {lo}), 'low', count_if({x} = {lo}), 'mid', count({between}), "
+            f"'high', count_if({x} = {hi} AND NOT {lo} <=> {hi}), 'inner', {inner})"
+        )
+    found = joined.groupBy(*by).agg(F.first("_s").alias("_s"), F.expr(f"array({', '.join(cells)})").alias("_c"))
+    # ranks next to the wanted place, then where they lie
+    placed = """transform(arrays_zip(_s, _c), z -> named_struct('b', z._s, 'c', z._c, 'r0', floor(z._s.p * (z._s.n - 1)),
+      'r1', ceil(z._s.p * (z._s.n - 1)), 'm', z._c.under + z._c.low, 'h', z._c.under + z._c.low + z._c.mid))"""
+    early, late = "r.r0 < r.c.under", "r.r1 >= r.h + r.c.high"
+    if take:
+        def at(rank: str) -> str:
+            return f"CASE WHEN {rank} < r.m THEN r.b.lo WHEN {rank} >= r.h THEN r.b.hi ELSE get(r.c.inner, int({rank} - r.m)) END"
+
+        lo, hi, size = "r.b.lo", "r.b.hi", "0D"
+        values = f", 'v', {at('r.r0')}, 'w', {at('r.r1')}"
+    else:
+        first, last = f"((r.r0 - r.m) / r.c.mid * {_STEPS})", f"((r.r1 + 1 - r.m) / r.c.mid * {_STEPS})"
+        alone = "r.r1 < r.m OR r.r0 >= r.h"
+        lo = f"""CASE WHEN r.r1 < r.m THEN r.b.lo WHEN r.r0 >= r.h THEN r.b.hi WHEN {first} < 1 THEN r.b.lo
+          ELSE get(r.c.inner, int(floor({first})) - 1) END"""
+        hi = f"""CASE WHEN r.r1 < r.m THEN r.b.lo WHEN r.r0 >= r.h OR {last} > {_STEPS - 1} THEN r.b.hi
+          ELSE get(r.c.inner, int(ceil({last})) + 1) END"""
+        size = f"CASE WHEN {alone} OR r.c.mid = 0 THEN 0D ELSE r.c.mid * {5.0 / _STEPS + 2.0 / accuracy!r}D END"
+        values = ""
+    moved = f"""transform({placed}, r -> named_struct('i', r.b.i, 'p', r.b.p, 'n', r.b.n,
+      'lo', CASE WHEN {late} THEN r.b.hi WHEN {early} THEN NULL ELSE {lo} END,
+      'hi', CASE WHEN {early} THEN r.b.lo WHEN {late} THEN NULL ELSE {hi} END,
+      'size', CASE WHEN r.b.n = 0 THEN 0D WHEN {early} OR {late} THEN r.b.n ELSE {size} END{values}))"""
+    return found.select(*[col(k) for k in by], F.expr(moved).alias("_s"))
 
 
 def quantiles_wide(

@@ -11,12 +11,17 @@ from fundloom.session import materialize
 _TASK_BITS = 33  # monotonically_increasing_id keeps the task number above these bits
 
 
-def global_positions(df: DataFrame, order: Sequence[Column], name: str = "position") -> DataFrame:
+def global_positions(
+    df: DataFrame, order: Sequence[Column], name: str = "position", runs: Sequence[str] = ()
+) -> DataFrame:
     """0-based place of every row in `order`, which should be total.
 
     The range partitioning splits even a heavily repeated leading key as long as the later columns tell
     its rows apart. The sorted rows are materialized, so the counts that give each task its offset and the
     rows that receive it come from the same files, also after an executor is lost.
+
+    With `runs`, leading columns of the order, `<name>_run` is the first place of the run of rows that are equal in
+    them: found within the sorted task, and for the run at a task's start taken from the tasks before, one row each.
     """
     ordered = (
         df.repartitionByRange(*order)
@@ -24,27 +29,45 @@ def global_positions(df: DataFrame, order: Sequence[Column], name: str = "positi
         .withColumn("_at", F.monotonically_increasing_id())
     )
     kept = materialize(ordered).withColumn("_task", F.shiftrightunsigned("_at", _TASK_BITS))
-    sizes = kept.groupBy("_task").agg(F.count(F.lit(1)).alias("_size"))
-    before = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)  # one row per task
-    offsets = sizes.select("_task", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
     local = F.col("_at").bitwiseAND(F.lit((1 << _TASK_BITS) - 1))
-    return (
-        kept.join(F.broadcast(offsets), "_task")
-        .withColumn(name, F.col("_offset") + local)
-        .drop("_at", "_task", "_offset")
-    )
+    facts = [F.count(F.lit(1)).alias("_size")]
+    if runs:
+        inside = Window.partitionBy("_task").orderBy("_at")
+        value = F.struct(*[F.col(c) for c in runs])
+        starts = ~F.lag(value).over(inside).eqNullSafe(value)
+        kept = kept.withColumn("_starts", F.when(starts, local))
+        kept = kept.withColumn("_run", F.last("_starts", ignorenulls=True).over(inside)).drop("_starts")
+        facts += [F.min_by(value, "_at").alias("_head"), F.max_by(value, "_at").alias("_tail"), F.max("_run").alias("_last")]
+    tasks = kept.groupBy("_task").agg(*facts)
+    before = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)  # one row per task
+    tasks = tasks.withColumn("_offset", F.coalesce(F.sum("_size").over(before), F.lit(0)))
+    if runs:
+        one = Window.orderBy("_task")
+        fresh = ~F.lag("_tail").over(one).eqNullSafe(F.col("_head")) | (F.row_number().over(one) == 1)
+        tasks = tasks.withColumn("_fresh", fresh)
+        known = F.when((F.col("_last") > 0) | F.col("_fresh"), F.col("_offset") + F.col("_last"))
+        tasks = tasks.withColumn("_known", known)
+        carried = F.when(F.col("_fresh"), F.col("_offset")).otherwise(F.last("_known", ignorenulls=True).over(before))
+        tasks = tasks.withColumn("_carried", carried)
+    found = kept.join(F.broadcast(tasks.select("_task", "_offset", *(["_carried"] if runs else []))), "_task")
+    found = found.withColumn(name, F.col("_offset") + local)
+    if runs:
+        run = F.when(F.col("_run") == 0, F.col("_carried")).otherwise(F.col("_offset") + F.col("_run"))
+        found = found.withColumn(f"{name}_run", run).drop("_run", "_carried")
+    return found.drop("_at", "_task", "_offset")
 
 
 def rank_and_decile(scores: DataFrame, group: str, key: str, score: str, tiles: int = 10) -> DataFrame:
     """Competition rank by descending score and its tile within each group; ties fall by key.
 
-    A group may hold any share of the rows: places come from one range sort, and the ranks of tied scores
-    from a map-side combined minimum.
+    A group, or one score of it, may hold any share of the rows: places and the first place of each run of
+    equal scores come from one range sort.
     """
     known = scores.where(F.col(score).isNotNull()).select(group, key, score)
-    placed = global_positions(known, [F.col(group), F.col(score).desc(), F.col(key)], "_place")
+    placed = global_positions(
+        known, [F.col(group), F.col(score).desc(), F.col(key)], "_place", runs=[group, score]
+    )
     groups = placed.groupBy(group).agg(F.min("_place").alias("_start"), F.count(F.lit(1)).alias("_n"))
-    ties = placed.groupBy(group, score).agg(F.min("_place").alias("_first"))
     at = F.col("_place") - F.col("_start")
     small = F.floor(F.col("_n") / tiles)
     larger = F.col("_n") % tiles
@@ -52,16 +75,12 @@ def rank_and_decile(scores: DataFrame, group: str, key: str, score: str, tiles:
     tile = F.when(at < edge, F.floor(at / (small + 1)) + 1).otherwise(
         F.floor(F.try_divide(at - edge, small)) + larger + 1
     )
-    return (
-        placed.join(groups, group)
-        .join(ties, [group, score])
-        .select(
-            group,
-            F.col(key).alias("fund_id"),
-            F.col(score).alias("expected_alpha"),
-            (F.col("_first") - F.col("_start") + 1).alias("rank"),
-            tile.alias("decile"),
-        )
+    return placed.join(groups, group).select(
+        group,
+        F.col(key).alias("fund_id"),
+        F.col(score).alias("expected_alpha"),
+        (F.col("_place_run") - F.col("_start") + 1).alias("rank"),
+        tile.alias("decile"),
     )
 
 

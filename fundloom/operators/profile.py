@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from fundloom.functions.scalars import col, null_double
+from fundloom.session import materialize
 
 # For each model feature the input spellings accepted, in order of preference.
 FEATURE_ALIASES: dict[str, list[str]] = {
@@ -80,30 +82,36 @@ def require_columns(df: DataFrame, needed: Sequence[str]) -> DataFrame:
 def column_profile(df: DataFrame) -> DataFrame:
     """Type, known and distinct values, and date range of every column.
 
-    The distinct counts come from the distinct (column, value) pairs, so a repeated value is shuffled once
-    per task.
+    Each column is counted on its own type from a stored copy of the frame, of which it reads that column alone: a
+    repeated value is shuffled once per task, as what it is. Ranges and known values come from one plain aggregate.
     """
-    as_text = df.select(*[col(c).cast("string").alias(c) for c in df.columns])
-    long = as_text.unpivot([], [col(c) for c in df.columns], "column", "value")
-    pairs = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    per_column = pairs.groupBy("column").agg(
-        F.sum(F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0)).alias("non_null"),
-        F.sum("n").alias("_rows"),
-        F.count("value").alias("distinct_values"),
-        F.min("value").alias("_min"),
-        F.max("value").alias("_max"),
-    )
-    dated = [f.name for f in df.schema if isinstance(f.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType))]
-    is_date = F.col("column").isin(dated) if dated else F.lit(False)
-    types = F.create_map(*[F.lit(x) for f in df.schema for x in (f.name, f.dataType.simpleString())])
-    return per_column.select(
+    stored = materialize(df)
+    dated = {f.name for f in df.schema if isinstance(f.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType))}
+    nothing = F.lit(None).cast("string")
+    facts = [F.count(F.lit(1)).alias("_rows")]
+    for k, c in enumerate(df.columns):
+        facts += [F.count(col(c)).alias(f"_n{k}")]
+        facts += [(f(col(c)).cast("string") if c in dated else nothing).alias(f"_{f.__name__}{k}") for f in (F.min, F.max)]
+    totals = stored.agg(*facts)
+    listed = F.array(*[
+        F.struct(F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("type"), F.col(f"_n{k}").alias("non_null"),
+                 F.col(f"_min{k}").alias("min_date"), F.col(f"_max{k}").alias("max_date"))
+        for k, f in enumerate(df.schema)
+    ])
+    rows = totals.select("_rows", F.explode(listed).alias("c")).select("_rows", "c.*")
+    distinct = reduce(DataFrame.unionByName, [
+        stored.groupBy(col(c)).agg(F.lit(1).alias("_one")).agg(F.count(col(c)).alias("distinct_values"))
+        .select(F.lit(c).alias("column"), "distinct_values")
+        for c in df.columns
+    ])
+    return rows.join(F.broadcast(distinct), "column").select(  # a row for each column
         "column",
-        types[F.col("column")].alias("type"),
+        "type",
         "non_null",
         F.try_divide((F.col("_rows") - F.col("non_null")) * 100.0, F.col("_rows")).alias("null_pct"),
         "distinct_values",
-        F.when(is_date, F.col("_min")).alias("min_date"),
-        F.when(is_date, F.col("_max")).alias("max_date"),
+        "min_date",
+        "max_date",
     )
 
 

@@ -100,38 +100,32 @@ def fill_linear(df: DataFrame, value: str = "return", limit: int | None = None)
 
 
 def tna_roll_forward(df: DataFrame) -> DataFrame:
-    """Assets carried between the months where they are known.
+    """Assets carried between the months where they are known, as rows (class_id, month_end, tna).
 
     Per class in month order: investments plus cash, when both known, set the state; otherwise a known
-    state grows by the return and the flow when both are known, and stays as it is when not. The history
-    of one class (at most its calendar months) is folded as one array inside the JVM.
+    state grows by the return and the flow when both are known, and stays as it is when not. So a month maps the
+    state x to a x + b or sets it, and from the last month that set it to s the state is A (s + sum of b / A),
+    A the running product of the a: running windows, linear in the months. A month with a = 0 sets the state to b.
+    Rows of one class and month each count, in the order of their assets, return and flow, unknown first. Growth over
+    a part is within the range of a double.
     """
-    month = F.struct(
-        F.col("month_end"),
-        (F.col("total_investments") + F.col("cash")).alias("anchor"),
-        F.col("return").alias("growth"),
-        F.col("net_flow").alias("flow"),
+    anchor = F.col("total_investments") + F.col("cash")
+    known = F.col("return").isNotNull() & F.col("net_flow").isNotNull()
+    rows = df.select("class_id", "month_end", anchor.alias("_set"), "return", "net_flow").withColumns(
+        {"_a": F.when(known, 1 + F.col("return")).otherwise(1.0), "_b": F.when(known, F.col("net_flow")).otherwise(0.0)}
     )
-    states = F.aggregate(
-        "months",
-        F.array().cast("array<struct<month_end:date,tna:double>>"),
-        lambda done, m: F.concat(
-            done,
-            F.array(
-                F.struct(
-                    m["month_end"].alias("month_end"),
-                    F.coalesce(
-                        m["anchor"],
-                        F.try_element_at(done, F.lit(-1))["tna"] * (1 + m["growth"]) + m["flow"],
-                        F.try_element_at(done, F.lit(-1))["tna"],
-                    ).alias("tna"),
-                )
-            ),
-        ),
-    )
-    per_class = df.groupBy("class_id").agg(F.sort_array(F.collect_list(month)).alias("months"))
-    return per_class.select("class_id", F.explode_outer(states).alias("s")).select("class_id", "s.*")
-
+    order = ["month_end", "_set", "return", "net_flow"]
+    history = Window.partitionBy("class_id").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    first = F.count("_set").over(history) > 0  # a month without a known state before it cannot set one by a = 0
+    level = F.coalesce(F.col("_set"), F.when(first & (F.col("_a") == 0), F.col("_b")))
+    rows = rows.withColumn("_level", level).withColumn("_part", F.count("_level").over(history))
+    part = Window.partitionBy("class_id", "_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    sets = F.col("_level").isNotNull()
+    factor = F.when(sets | (F.col("_part") == 0), 1.0).otherwise(F.col("_a"))
+    rows = rows.withColumn("_product", F.product(factor).over(part))
+    added = F.sum(F.when(sets, F.col("_level")).otherwise(F.try_divide("_b", "_product"))).over(part)
+    tna = F.when(F.col("_part") > 0, F.col("_product") * added)
+    return rows.select("class_id", "month_end", tna.alias("tna"))
 
 def expanding_train_window(dates: DataFrame, panel_len: int = 10) -> DataFrame:
     """For each formation date the distinct earlier dates it trains on; `dates` has one row per date."""

@@ -31,6 +31,46 @@ def test_stream_merges_late_corrections_and_is_idempotent(spark, tmp_path):
     assert [r[0] for r in incremental.processed_quarters(incremental.read_returns_database(spark, root)).collect()]
 
 
+def test_readers_see_the_version_before_or_after_a_merge(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "db")
+    months = lambda df: sorted((r["month_end"].month, r["return"]) for r in df.collect())
+    incremental.merge_batch(spark, root, filed(spark, [(1, 0.1, 3, 1)]))
+    before = incremental.read_returns_database(spark, root)
+    seen = []
+
+    def publish(session, where, version, folders, real=incremental._publish):
+        seen.append(months(incremental.read_returns_database(session, where)))  # all data is written, nothing published
+        real(session, where, version, folders)
+
+    monkeypatch.setattr(incremental, "_publish", publish)
+    incremental.merge_batch(spark, root, filed(spark, [(1, 0.5, 4, 2), (2, 0.2, 4, 3)]))
+    assert seen == [[(1, 0.1)]] and months(before) == [(1, 0.1)]
+    assert months(incremental.read_returns_database(spark, root)) == [(1, 0.5), (2, 0.2)]
+    assert months(incremental.read_returns_database(spark, root, 1)) == [(1, 0.1)]
+
+
+def test_a_failed_merge_leaves_the_old_version(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "db")
+    incremental.merge_batch(spark, root, filed(spark, [(1, 0.1, 3, 1)]))
+
+    def fail(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(incremental, "_publish", fail)
+        with pytest.raises(RuntimeError, match="lost"):
+            incremental.merge_batch(spark, root, filed(spark, [(1, 0.9, 5, 2)]))
+    assert incremental.read_returns_database(spark, root).first()["return"] == 0.1
+    with pytest.raises(RuntimeError, match="another writer"):
+        incremental._publish(spark, root, 1, {})
+    assert incremental.versions(spark, root) == [1]
+    for k in range(3):
+        incremental.merge_batch(spark, root, filed(spark, [(1, float(k), 6 + k, 2 + k)]))
+    incremental.remove_old_versions(spark, root, keep=1)
+    assert incremental.versions(spark, root) == [4]
+    assert incremental.read_returns_database(spark, root).first()["return"] == 2.0
+
+
 def test_panel_job_keeps_one_row_per_class_and_month(spark):
     pdf = make_panel(n=50, classes=2)
     facts = pdf[["class_id", "month_end", "return"]].assign(

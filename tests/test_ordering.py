@@ -22,6 +22,19 @@ def test_rank_and_decile_with_a_hot_tie(spark):
         assert (got.loc[ordered, "decile"].to_numpy() == tiles).all()
 
 
+def test_one_score_for_all_rows_spans_tasks(spark):
+    """The run of a tie that fills several tasks starts where its first task has it."""
+    ids = spark.range(20000).repartition(8)
+    hot = ids.select(F.lit("a").alias("g"), "id", F.when(F.col("id") < 50, F.col("id") + 1.0).otherwise(0.5).alias("score"))
+    got = ordering.rank_and_decile(hot, "g", "id", "score")
+    assert got.where("expected_alpha = 0.5").select("rank").distinct().collect() == [(51,)]
+    assert got.where("expected_alpha > 0.5").agg(F.min("rank"), F.max("rank"), F.countDistinct("rank")).first()[:] == (1, 50, 50)
+    placed = ordering.global_positions(hot.drop("g"), [F.col("score"), F.col("id")], "at", runs=["score"])
+    assert {r[0] for r in placed.where("score = 0.5").select("at_run").distinct().collect()} == {0}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "MergeJoin [g" not in plan.replace("g#", "g") or "score" not in plan.split("MergeJoin")[1].split("\n")[0]
+
+
 def test_tiles_of_a_group_smaller_than_the_tiles(spark):
     df = spark.createDataFrame([("a", k, float(k)) for k in range(4)], "g string, id int, score double")
     got = ordering.rank_and_decile(df, "g", "id", "score").orderBy("rank").toPandas()

@@ -33,6 +33,37 @@ def test_exact_quantiles_through_brackets(spark, values):
         assert got[p] == pytest.approx(np.quantile(values, p), rel=1e-12, abs=1e-12)
 
 
+@pytest.mark.parametrize("most", [3, 40, 400])
+def test_brackets_are_narrowed_until_few_values_are_left(spark, most):
+    """Several narrowing passes, heavy values inside brackets and on their ends, two measures at once."""
+    rng = np.random.default_rng(most)
+    heavy = np.concatenate([np.full(6000, 0.5), np.full(5000, 0.25), rng.random(9000)])
+    pdf = pd.DataFrame({"x": heavy, "y": rng.normal(size=20000)})
+    rows = stats.exact_quantiles(spark.createDataFrame(pdf), ["x", "y"], PROBS, accuracy=40, most=most).collect()
+    assert len(rows) == 2 * len(PROBS)
+    for r in rows:
+        assert r["quantile"] == pytest.approx(np.quantile(pdf[r["variable"]], r["prob"]), rel=1e-12, abs=1e-12)
+
+
+def test_a_missed_rank_moves_the_bracket(spark):
+    """A bracket that does not hold its rank is moved to the rank's side, in both directions."""
+    wide = spark.createDataFrame(pd.DataFrame({"_x0": np.arange(100.0)}))
+    bracket = "named_struct('i', 0, 'p', 0.5D, 'n', 100D, 'lo', {}D, 'hi', {}D, 'size', 1D)"
+    brackets = spark.range(1).selectExpr(f"array({bracket.format(60, 70)}, {bracket.format(10, 20)}) AS _s")
+    for take in (True, False):
+        low, high = stats._bracket_pass(wide, brackets, [], [0, 0], 1000, take).first()["_s"]
+        assert (low["lo"], low["hi"], low["size"]) == (None, 60.0, 100.0)
+        assert (high["lo"], high["hi"], high["size"]) == (20.0, None, 100.0)
+
+
+def test_exact_quantiles_of_nothing(spark):
+    empty = spark.createDataFrame([], "g string, x double")
+    assert stats.exact_quantiles(empty, ["x"], [0.5]).count() == 0
+    assert stats.exact_quantiles(empty, ["x"], [0.5], ["g"]).count() == 0
+    nulls = spark.createDataFrame([("a", None), ("b", 1.0)], "g string, x double")
+    assert [tuple(r) for r in stats.exact_quantiles(nulls, ["x"], [0.5], ["g"]).collect()] == [("b", "x", 0.5, 1.0)]
+
+
 def test_exact_quantiles_skip_missing_and_group(spark):
     rng = np.random.default_rng(3)
     pdf = pd.DataFrame({"g": rng.integers(0, 3, 9000), "x": rng.normal(size=9000)})
