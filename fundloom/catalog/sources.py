@@ -124,8 +124,10 @@ def _element_documents(spark, sf) -> DataFrame:
         )
     )
     cash = F.when(F.col("cash").isNotNull(), tag("CashNotReported", F.col("cash").cast("string")))
+    # what was filed before stands in a comment, and a note quotes it: both are text
+    old = "<Class><ClassId>OLD</ClassId><MonthlyTotalReturn1>9</MonthlyTotalReturn1></Class>"
     body = F.concat(
-        F.lit("<NPORT-P>"),
+        F.lit(f"<NPORT-P><!-- {old} --><Note><![CDATA[{old}]]></Note>"),
         tag("ReportPeriod", F.concat(F.col("year").cast("string"), F.lit("-12-31"))),
         F.lit("<Series>"),
         tag("SeriesId", F.col("series_id")),

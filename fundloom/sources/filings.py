@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from collections.abc import Iterator
+from xml.etree import ElementTree
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from fundloom.functions.scalars import (
     extreme_return, month_end_shift, pad_registrant_id, pct_to_decimal, quarter_key,
@@ -18,13 +23,13 @@ _CLASS = "struct<ClassId:string,{months},CashNotReported:double,TotalInvestments
         for name in ("MonthlyTotalReturn", "SalesFlowMon", "ReinvestmentFlowMon", "RedemptionFlowMon")
     )
 )
-ELEMENT_SCHEMA = f"ReportPeriod array<string>, Class array<{_CLASS}>, _corrupt_record string"
+ELEMENT_SCHEMA = f"ReportPeriod array<string>, Class array<{_CLASS}>"
 
 _FLOW = "struct<_sales:string,_redemption:string,_reinvestment:string>"
 ATTRIBUTE_SCHEMA = (
     "repPdEnd array<string>, ReportPeriod array<string>, totAssets array<string>, "
     "monthlyTotReturn array<struct<_classId:string,_rtn1:string,_rtn2:string,_rtn3:string>>, "
-    f"mon1Flow array<{_FLOW}>, mon2Flow array<{_FLOW}>, mon3Flow array<{_FLOW}>, _corrupt_record string"
+    f"mon1Flow array<{_FLOW}>, mon2Flow array<{_FLOW}>, mon3Flow array<{_FLOW}>"
 )
 
 INDEX_SCHEMA = (
@@ -39,47 +44,72 @@ PROSPECTUS_FORMS = [
 YEAR_TIERS = [2020, 2015, 2010, 2005, 1990]
 
 
-def _raised(body: Column, elements: list[str]) -> Column:
-    """The document with copies of the named elements, found at any depth, right below a new root.
-
-    The whole document stands behind them, so that one that is broken anywhere stays broken.
-    """
-    whole = F.regexp_replace(body, r"(?s)^\s*(?:<\?.*?\?>\s*|<!--.*?-->\s*|<!DOCTYPE[^>]*>\s*)*", "")
-    names = "|".join(elements)
-    pattern = rf"(?s)<({names})(?:\s[^>]*)?(?:/>|(?<!/)>.*?</\1\s*>)"
-    found = F.regexp_extract_all(body, F.lit(pattern), 0)
-    return F.concat(F.lit("<raised>"), F.array_join(found, ""), F.lit("<whole>"), whole, F.lit("</whole></raised>"))
+def _nodes(root: ElementTree.Element, field: T.StructField) -> list:
+    """What the elements of a field's name hold, at any depth and in document order: their text, or for a struct the
+    texts of their own children and, with a leading `_`, their attributes. Names count without a namespace."""
+    found = [e for e in root.iter() if isinstance(e.tag, str) and e.tag.rpartition("}")[2] == field.name]
+    item = field.dataType.elementType
+    if not isinstance(item, T.StructType):
+        return [e.text for e in found]
+    rows = []
+    for element in found:
+        children: dict[str, str] = {}
+        for child in element:
+            if isinstance(child.tag, str):
+                children.setdefault(child.tag.rpartition("}")[2], child.text or "")
+        children |= {f"_{k.rpartition('}')[2]}": v for k, v in element.attrib.items()}
+        row = {}
+        for f in item:
+            text = children.get(f.name)
+            number = isinstance(f.dataType, T.DoubleType)
+            row[f.name] = (float(text) if text and text.strip() else None) if number else text
+        rows.append(row)
+    return rows
 
 
-def _parsed(documents: DataFrame, schema: str, elements: list[str]) -> DataFrame:
-    """Documents with their parsed content `x`; a broken one has none of it.
+def _parsed(documents: DataFrame, schema: str) -> DataFrame:
+    """Documents with their parsed content `x`: for each field of the schema an array of what the elements of its
+    name hold. It is null for a document that is no XML or has text where a number stands.
 
-    Rows without content are dropped only after their arrays are exploded (in the outer form), as a filter
-    here would make the parser run a second time.
+    The built-in reader binds elements to one place in the document; here they may stand anywhere, also inside one
+    another, and what is in comments or quoted as CDATA is text. Documents are parsed in Arrow batches. Rows without
+    content are dropped only after their arrays are exploded (in the outer form), as a filter here would make the
+    parser run a second time.
     """
-    options = {"columnNameOfCorruptRecord": "_corrupt_record"}
-    parsed = F.from_xml(_raised(F.col("body"), elements), schema, options)
+    fields = T.StructType.fromDDL(schema)
+    arrow = to_arrow_type(fields)
+
+    @F.arrow_udf(fields)
+    def parse(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            found = []
+            for body in batch:
+                try:
+                    root = ElementTree.fromstring(body.as_py() or b"")
+                    found.append({f.name: _nodes(root, f) for f in fields})
+                except (ElementTree.ParseError, ValueError, LookupError):
+                    found.append(None)
+            yield pa.array(found, arrow)
+
     keys = [c for c in documents.columns if c != "body"]
-    read = documents.select(*keys, parsed.alias("x"))
-    return read.withColumn("x", F.when(F.col("x._corrupt_record").isNull(), F.col("x")))
+    return documents.select(*keys, parse(F.col("body").cast("binary")).alias("x"))
 
 
 def unreadable(documents: DataFrame) -> DataFrame:
     """The keys of the documents that no parser can read, for the log."""
     keys = [c for c in documents.columns if c != "body"]
-    return _parsed(documents, "ReportPeriod array<string>, _corrupt_record string", ["ReportPeriod"]).where(
-        F.col("x").isNull()
-    ).select(*keys)
+    return _parsed(documents, ELEMENT_SCHEMA).where(F.col("x").isNull()).select(*keys)
 
 
 def scan_filings_xml_elements(documents: DataFrame) -> DataFrame:
     """Element-style filings to up to twelve months per class.
 
-    Classes and the period may stand at any depth. Months stop at the first missing return; absent flows are 0, absent assets and cash null. The j-th of n
-    returns belongs to the month end n - j months before the report period.
+    Classes and the period may stand at any depth, also a class inside a class, which has values of its own. Months
+    stop at the first missing return; absent flows are 0, absent assets and cash null. The j-th of n returns belongs
+    to the month end n - j months before the report period.
     """
     keys = [c for c in documents.columns if c != "body"]
-    per_class = _parsed(documents, ELEMENT_SCHEMA, ["ReportPeriod", "Class"]).select(
+    per_class = _parsed(documents, ELEMENT_SCHEMA).select(
         *keys, F.to_date(F.get("x.ReportPeriod", 0)).alias("report_period"), F.explode_outer("x.Class").alias("c")
     ).where(F.col("c").isNotNull())
 
@@ -125,12 +155,11 @@ def scan_filings_xml_attributes(documents: DataFrame) -> DataFrame:
     plain report period stands in for one that is missing. Unknown assets and cash count as 0.
     """
     keys = [c for c in documents.columns if c != "body"]
-    names = ["repPdEnd", "ReportPeriod", "totAssets", "monthlyTotReturn", "mon1Flow", "mon2Flow", "mon3Flow"]
 
     def first(name: str) -> Column:
         return F.get(F.col(f"x.{name}"), 0)
 
-    parsed = _parsed(documents, ATTRIBUTE_SCHEMA, names).select(
+    parsed = _parsed(documents, ATTRIBUTE_SCHEMA).select(
         *keys,
         F.to_date(F.coalesce(first("repPdEnd"), first("ReportPeriod"))).alias("report_period"),
         safe_float_default(first("totAssets")).alias("total_investments"),
