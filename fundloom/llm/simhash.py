@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from functools import reduce
 from itertools import combinations
@@ -14,7 +13,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from fundloom.llm.common import packed, small_batches, unpacked
 from fundloom.llm.components import components
-from fundloom.llm.sketches import resemblance
 from fundloom.session import materialize, passing
 
 #: A fingerprint is cut into so many blocks more than bits may differ; two or more of them agree in as many.
@@ -225,195 +223,200 @@ def near_duplicates(
     )
 
 
-def _shingle_hashes(found: list[bytes], words: int, kept: int | None = None) -> np.ndarray:
-    """The distinct hashes of a text's shingles, ascending; the `kept` least of them if that is given."""
+def _shingle_hashes(found: list[bytes], words: int) -> np.ndarray:
+    """The distinct hashes of a text's shingles, ascending."""
     least = np.empty(0, np.uint64)
     for at in range(0, max(1, len(found) - words + 1), _SHINGLES):
         part = found[at : at + _SHINGLES + words - 1]
         ends = range(max(1, len(part) - words + 1)) if part else ()
         hashes = [xxhash.xxh64_intdigest(b" ".join(part[i : i + words]), 42) for i in ends]
-        least = np.unique(np.concatenate([least, np.array(hashes, np.uint64)]))[:kept]
+        least = np.unique(np.concatenate([least, np.array(hashes, np.uint64)]))
     return least
 
 
-def _features(spark: SparkSession, text: Column, words: int, kept: int) -> Column:
-    """Struct of `sketch`, the `kept` least hashes of a text's shingles of `words` words, ascending, their first
-    32 bits each (as a signed number of the same order), and `low`, the next eight bits of each. ASCII lower case."""
+#: A signature has so many bands of so many minima. Texts alike by 0.8 agree in a whole band with 0.9996.
+BANDS, MINIMA = 20, 5
+#: Bands of the first round; the others only serve texts that these left apart.
+FIRST_BANDS = 4
+#: A share of agreeing minima that errs by less than this is looked at (three standard deviations at 0.8).
+MARGIN = 0.12
+#: Bytes of the texts of one key that a task compares; larger keys are cut finer.
+KEY_BYTES = 64_000_000
+_rng = np.random.default_rng(20)
+_FACTORS = _rng.integers(0, 2**63, BANDS * MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_OFFSETS = _rng.integers(0, 2**63, BANDS * MINIMA, dtype=np.uint64)
+
+
+def _signature(hashes: np.ndarray) -> np.ndarray:
+    """The least value of the hashes under each of the mixings, 32 bits; zeros without hashes."""
+    least = np.full(len(_FACTORS), 2**32 - 1, np.uint64)
+    for at in range(0, len(hashes), 1024):
+        mixed = hashes[at : at + 1024, None] * _FACTORS + _OFFSETS
+        mixed >>= np.uint64(32)
+        least = np.minimum(least, mixed.min(axis=0))
+    return (least if len(hashes) else least * 0).astype(np.uint32)
+
+
+def _features(spark: SparkSession, text: Column, words: int) -> Column:
+    """Struct of `sig`, a text's signature, and `shingles`, the distinct hashes of its shingles of `words` words,
+    ascending, 32 bits each. ASCII lower case."""
     small_batches(spark)
 
-    @F.arrow_udf("struct<sketch:array<int>,low:binary>")
+    @F.arrow_udf("struct<sig:array<int>,shingles:binary>")
     def features(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            lows, sketches = [], []
+            signatures, sets = [], []
             for t in batch:
-                least = _shingle_hashes((t.as_py() or "").encode().lower().split(), words, kept)
-                first = (least >> np.uint64(32)).astype(np.uint32)
-                sketches.append((first ^ np.uint32(1 << 31)).view(np.int32))
-                lows.append((least >> np.uint64(24)).astype(np.uint8).tobytes())
-            columns = [pa.array(sketches, pa.list_(pa.int32())), pa.array(lows, pa.binary())]
-            yield pa.StructArray.from_arrays(columns, ["sketch", "low"])
+                hashes = _shingle_hashes((t.as_py() or "").encode().lower().split(), words)
+                signatures.append(_signature(hashes).view(np.int32))
+                sets.append(np.unique((hashes >> np.uint64(32)).astype(np.uint32)).tobytes())
+            columns = [pa.array(signatures, pa.list_(pa.int32())), pa.array(sets, pa.binary())]
+            yield pa.StructArray.from_arrays(columns, ["sig", "shingles"])
 
     return features(text)
 
 
-#: Hashes that come last in the order of keys: so many of the most frequent ones among one text of `SAMPLED`. The
-#: order decides how many texts share a key, not which pairs meet.
-FREQUENT, SAMPLED = 65_536, 16
-#: Estimates from sketches may err by this (3.4 standard deviations of 128 hashes at 0.8); nearer ones are counted.
-MARGIN = 0.12
-#: Texts under one key that are compared in all pairs; larger keys are made finer until they are of `DEEPEST` hashes.
-PAIRED, DEEPEST = 16, 3
-
-
-def _wide(sketch: pa.Array, low: pa.Array) -> list[np.ndarray]:
-    """The hashes of each sketch, 40 bits."""
-    out = []
-    for s, b in zip(sketch, low):
-        first = np.array(s.values, np.int64) + (1 << 31)
-        out.append(first << 8 | np.frombuffer(b.as_py(), np.uint8).astype(np.int64))
-    return out
-
-
-def _shared(size: int, similarity: float, kept: int) -> int:
-    """Hashes that a sketch of `size` shares at least with any other that is estimated near enough to be looked at.
-
-    Where all sketches that can be alike are whole, the limit is exact."""
-    least = similarity if size < similarity * kept else similarity - MARGIN
-    return max(1, math.ceil(least * size - 1e-9))
-
-
-def _in_order(spark: SparkSession, texts: DataFrame, similarity: float, kept: int) -> DataFrame:
-    """`th`, `most` (hashes a text need not share), `need` (hashes it must) and `hashes`, the first of its sketch,
-    rare ones before frequent ones, as many as keys of `DEEPEST` hashes are made from."""
+def _alike(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
+    """Whether two ascending sets share `similarity` of all they hold; empty ones are alike."""
+    if len(a) > len(b):
+        a, b = b, a
+    if len(a) < similarity * len(b):
+        return False
+    both = int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum()) if len(a) else 0
+    return both >= similarity * (len(a) + len(b) - both) - 1e-9
 
-    @F.arrow_udf("array<bigint>")
-    def wide(s: pa.Array, b: pa.Array) -> pa.Array:
-        return pa.array(_wide(s, b), pa.list_(pa.int64()))
 
-    sample = texts.where(F.pmod("th", F.lit(SAMPLED)) == 0).select(F.explode(wide("sketch", "low")).alias("hash"))
-    counted = sample.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    top = sorted((r.hash, r.n) for r in counted.orderBy(F.desc("n"), "hash").limit(FREQUENT).collect())
-    table = spark.sparkContext.broadcast(np.array(top, np.int64).reshape(-1, 2))  # of a fixed size
+def _joined(th, root, sig, sets, similarity: float) -> tuple[list[int], list[int]]:
+    """Links that connect what is alike among the texts of one key, each counted on whole sets.
 
-    @F.arrow_udf("struct<most:int,need:int,hashes:array<bigint>>")
-    def first(s: pa.Array, b: pa.Array) -> pa.Array:
-        known, counts = table.value[:, 0], table.value[:, 1]
-        most, need, hashes = [], [], []
-        for h in _wide(s, b):
-            n = np.zeros(len(h), np.int64)
-            if len(known):
-                at = np.minimum(np.searchsorted(known, h), len(known) - 1)
-                n = np.where(known[at] == h, counts[at], 0)
-            need.append(_shared(len(h), similarity, kept))
-            most.append(max(0, len(h) - need[-1]))
-            hashes.append(h[np.lexsort((h, n))][: most[-1] + DEEPEST] if len(h) else [-1])
-        columns = [pa.array(most, pa.int32()), pa.array(need, pa.int32()), pa.array(hashes, pa.list_(pa.int64()))]
-        return pa.StructArray.from_arrays(columns, ["most", "need", "hashes"])
-
-    rows = texts.select("th", first("sketch", "low").alias("o"))
-    return rows.select("th", "o.most", "o.need", "o.hashes")
+    Texts of one root are connected already. Whoever is reached is never compared again, and a text is counted only
+    with those of fitting size and signature.
+    """
+    sizes = np.array([len(s) for s in sets])
+    left = np.ones(len(th), bool)
+    u, v = [], []
+    while left.any():
+        start = np.flatnonzero(left)[0]
+        frontier = np.flatnonzero(left & (root == root[start])).tolist()
+        left[frontier] = False
+        while frontier and left.any():
+            x = frontier.pop()
+            rest = np.flatnonzero(left)
+            fits = np.minimum(sizes[rest], sizes[x]) >= similarity * np.maximum(sizes[rest], sizes[x])
+            rest = rest[fits]
+            rest = rest[(sig[rest] == sig[x]).mean(axis=1) >= similarity - MARGIN]
+            for y in rest.tolist():
+                if left[y] and _alike(sets[x], sets[y], similarity):
+                    u.append(int(th[x]))
+                    v.append(int(th[y]))
+                    reached = np.flatnonzero(left & (root == root[y]))
+                    left[reached] = False
+                    frontier.extend(reached.tolist())
+    return u, v
+
+
+def _text_linker(similarity: float, most: int):
+    """For rows sorted by key: links (u, v) within each key. A key of over `most` bytes is passed on as rows
+    (key, text) without partner, so that a task holds so much of a key."""
+
+    def emit(u: list, v: list | None, key: int) -> pa.RecordBatch:
+        other = pa.nulls(len(u), pa.int64()) if v is None else pa.array(v, pa.int64())
+        return pa.record_batch([pa.array([key] * len(u), pa.int64()), pa.array(u, pa.int64()), other], ["key", "u", "v"])
+
+    def links(key: int, rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+        th, root = (np.array([r[c] for r in rows], np.int64) for c in (0, 1))
+        if (root == root[0]).all():
+            return
+        sig = np.array([r[2] for r in rows], np.int32)
+        u, v = _joined(th, root, sig, [np.frombuffer(r[3], np.uint32) for r in rows], similarity)
+        if u:
+            yield emit(u, v, key)
 
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, rows, held = None, [], 0
+        for batch in batches:
+            columns = [batch.column(c) for c in range(5)]
+            for k, th, root, sig, sets in zip(*columns):
+                key = k.as_py()
+                if key != now:
+                    if len(rows) > 1 and held <= most:
+                        yield from links(now, rows)
+                    now, rows, held = key, [], 0
+                row = (th.as_py(), root.as_py(), sig.values.to_numpy(), sets.as_py())
+                size = 600 + len(row[3])
+                if held <= most < held + size:  # from here on the key is too large for one task
+                    yield emit([r[0] for r in rows], None, key)
+                    rows = []
+                held += size
+                if held > most:
+                    yield emit([row[0]], None, key)
+                else:
+                    rows.append(row)
+        if len(rows) > 1 and held <= most:
+            yield from links(now, rows)
 
-def _alike(own: DataFrame, texts: DataFrame, pairs: DataFrame, words: int, similarity: float, kept: int) -> DataFrame:
-    """The pairs (u, v) among `pairs` of which the shingles are alike by `similarity`.
+    return link
 
-    Sketches that hold all shingles tell that themselves; of the others, those that may be alike are counted whole.
-    """
-    pairs = pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).where("u <> v").distinct()
-
-    def joined(sets: DataFrame, what: DataFrame) -> DataFrame:
-        one, two = (sets.select(F.col("th").alias(n), F.col("sketch").alias(f"s{n}")) for n in ("u", "v"))
-        return what.join(one, "u").join(two, "v")
-
-    common = F.size(F.array_intersect("su", "sv"))
-    every = F.size("su") + F.size("sv") - common
-    share = F.when(every == 0, F.lit(1.0)).otherwise(common / every)
-    whole = F.greatest(F.size("su"), F.size("sv")) < kept
-    estimate = F.when(whole, share).otherwise(resemblance(F.col("su"), F.col("sv"), kept))
-    least = F.when(whole, F.lit(similarity)).otherwise(F.lit(similarity - MARGIN))
-    found = joined(texts, pairs).where(estimate >= least).select("u", "v", whole.alias("sure"))
-    found = materialize(found)
-    doubtful = found.where("not sure").select("u", "v")
-
-    @F.arrow_udf("array<bigint>")
-    def shingles(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            yield pa.array([_shingle_hashes(t.as_py().encode().lower().split(), words).view(np.int64) for t in batch])
 
-    asked = materialize(doubtful.select(F.explode(F.array("u", "v")).alias("th")).distinct())
-    once = own.join(asked, "th").dropDuplicates(["th"])
-    sets = materialize(once.select("th", shingles("_text").alias("sketch")))
-    counted = joined(sets, doubtful).where(share >= similarity).select("u", "v")
-    return materialize(found.where("sure").select("u", "v").unionByName(counted))
+def _linked(keyed: DataFrame, roots: DataFrame | None, texts: DataFrame, similarity: float, most: int) -> DataFrame:
+    """Links among the texts of each key (key, th): of keys whose texts are of one root there is nothing to do."""
+    if roots is not None:
+        keyed = keyed.join(roots, "th", "left").withColumn("root", F.coalesce("root", "th"))
+        keyed = materialize(keyed)
+        mixed = keyed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
+        keyed = keyed.join(mixed.select("key"), "key", "left_semi")
+    else:
+        keyed = keyed.withColumn("root", F.col("th"))
+    rows = keyed.join(texts, "th").select("key", "th", "root", "sig", "shingles")
+    ordered = rows.repartition("key").sortWithinPartitions("key", "th")
+    return materialize(ordered.mapInArrow(_text_linker(similarity, most), "key long, u long, v long"))
 
 
-def _text_links(own: DataFrame, texts: DataFrame, words: int, similarity: float, kept: int) -> DataFrame:
-    """Links (u, v) between `th` that connect all texts whose shingles are alike by `similarity`.
+def _text_links(rows: DataFrame, similarity: float) -> DataFrame:
+    """Links (u, v) between `th` that connect the texts whose shingles are alike by `similarity`.
 
-    A sketch of n hashes shares `need` or more of them with any that may be alike, so in any common order of the
-    hashes the first m that a pair shares stand among the first n - need + m of both. These m are a key. All texts
-    of a key are compared with its first. Keys whose texts are then in one component are done; in the others all
-    pairs across components are compared if the key has `PAIRED` texts or fewer, and larger ones are made finer by
-    one more hash. Keys of `DEEPEST` hashes are compared in all such pairs, whatever their size.
+    Texts that agree in a band share its key. Of a key's texts links are drawn until all that are alike are connected.
+    The first bands connect most groups; the others only matter where texts of different components share a key. A
+    key of over `KEY_BYTES` is cut by every other band, and those finer keys are compared whole.
     """
-    spark = texts.sparkSession
-    ordered = materialize(_in_order(spark, texts, similarity, kept))
-    first = F.posexplode(F.slice("hashes", 1, F.col("most") + 1)).alias("at", "key")
-    keyed = ordered.select("th", first)
+    bands = [F.xxhash64(F.lit(b), F.slice("sig", 1 + b * MINIMA, MINIMA)) for b in range(BANDS)]
+    every = rows.select("th", F.posexplode(F.array(*bands)).alias("band", "key"))
+    shared = every.groupBy("key").agg(F.min("th").alias("lo"), F.max("th").alias("hi")).where("lo < hi")
+    members = materialize(every.join(shared.select("key"), "key", "left_semi").distinct())
+    busy = rows.join(members.select("th").distinct(), "th", "left_semi").dropDuplicates(["th"])
+    texts = materialize(busy.select("th", "sig", "shingles"))
     links: list[DataFrame] = []
-    for depth in range(1, DEEPEST + 1):
-        groups = keyed.groupBy("key").agg(F.min("th").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
-        groups = materialize(groups)
-        members = materialize(keyed.join(groups, "key"))
-        to_hub = members.select(F.col("th").alias("u"), F.col("hub").alias("v"))
-        links.append(_alike(own, texts, to_hub, words, similarity, kept))
-        rooted = materialize(components(reduce(DataFrame.unionByName, links)).withColumnRenamed("node", "th"))
-        placed = members.join(rooted, "th", "left").withColumn("root", F.coalesce("root", "th"))
-        placed = materialize(placed.select("key", "th", "at", "n", "root"))
-        mixed = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
-        left = materialize(placed.join(materialize(mixed.select("key")), "key"))
-        last = depth == DEEPEST
-        whole = left if last else left.where(F.col("n") <= PAIRED)
-        a, b = (whole.select("key", F.col("th").alias(x), F.col("root").alias(f"r{x}")) for x in ("u", "v"))
-        across = a.join(b, "key").where("u < v and ru <> rv").select("u", "v")
-        links.append(_alike(own, texts, across, words, similarity, kept))
-        large = left.where(F.col("n") > PAIRED)
-        if last or large.isEmpty():
-            break
-        # A pair that shares no more than `depth` hashes meets under its key again.
-        end = F.when(F.col("need") <= depth, F.array(F.struct(F.col("at"), F.lit(-1).cast("long").alias("hash"))))
-        rest = F.slice("hashes", F.col("at") + 2, F.greatest(F.lit(0), F.col("most") + depth - F.col("at")))
-        further = F.transform(rest, lambda h, i: F.struct((F.col("at") + 1 + i).alias("at"), h.alias("hash")))
-        more = F.explode(F.concat(further, F.coalesce(end, F.slice(further, 1, 0)))).alias("x")
-        finer = large.select("key", "th", "at").join(ordered, "th").select("th", "key", more)
-        keyed = materialize(finer.select("th", F.col("x.at").alias("at"), F.xxhash64("key", "x.hash").alias("key")))
+    for near in (F.col("band") < FIRST_BANDS, F.col("band") >= FIRST_BANDS):
+        roots = materialize(components(reduce(DataFrame.unionByName, links)).withColumnRenamed("node", "th")) if links else None
+        keyed = members.where(near).select("key", "th")
+        found = _linked(keyed, roots, texts, similarity, KEY_BYTES)
+        links.append(found.where("v IS NOT NULL").select("u", "v"))
+        large = found.where("v IS NULL").select("key", F.col("u").alias("th"))
+        if not large.isEmpty():
+            again = large.join(texts.select("th", F.array(*bands).alias("others")), "th")
+            finer = again.select("th", "key", F.explode("others").alias("other")).where("other <> key")
+            finer = finer.select("th", F.xxhash64("key", "other").alias("key"))
+            roots = materialize(components(reduce(DataFrame.unionByName, links)).withColumnRenamed("node", "th"))
+            more = _linked(finer, roots, texts, similarity, 1 << 62)
+            links.append(more.select("u", "v"))
     return reduce(DataFrame.unionByName, links)
 
 
 def near_groups(
-    docs: DataFrame,
-    words: int = 5,
-    similarity: float = 0.8,
-    kept: int = 128,
-    key: str = "doc_id",
-    text: str = "text",
+    docs: DataFrame, words: int = 5, similarity: float = 0.8, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """`key`, `text_hash`, `component_id` and `group` of every document: near duplicates by `similarity`.
 
-    Texts link if of all their distinct shingles of `words` words a share of `similarity` is common. Candidates
-    come from their `kept` least hashes, so that a pair is lost only if the estimate errs by over `MARGIN`. Every
-    other pair that is alike is in one component: what no other links connect is compared, also under keys that
-    many texts share. `component_id` is the smallest key of a component; `group` tells components apart, also
-    those whose keys repeat or are null.
+    Texts link if of all their distinct shingles of `words` words a share of `similarity` is common. Candidates agree
+    in one of `BANDS` bands of their signatures, and what decides is counted on all their shingles, so that a pair is
+    lost only with all its bands. `component_id` is the smallest key of a component; `group` tells components apart,
+    also those whose keys repeat or are null.
     """
     spark = docs.sparkSession
     own = docs.select(F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    own = own.withColumn("th", F.xxhash64("_text"))
-    rows = own.select("_key", "th", _features(spark, F.col("_text"), words, kept).alias("f"))
-    rows = materialize(rows.select("_key", "th", "f.sketch", "f.low"))
-    texts = materialize(rows.select("th", "sketch", "low").dropDuplicates(["th"]))
-    links = _text_links(own.select("th", "_text"), texts, words, similarity, kept)
-    rooted = materialize(components(links).withColumnRenamed("node", "th"))
+    rows = own.select("_key", F.xxhash64("_text").alias("th"), _features(spark, F.col("_text"), words).alias("f"))
+    rows = materialize(rows.select("_key", "th", "f.sig", "f.shingles"))
+    rooted = materialize(components(_text_links(rows, similarity)).withColumnRenamed("node", "th"))
     whole = rows.select("_key", "th").join(rooted, "th", "left").withColumn("root", F.coalesce("root", "th"))
     names = materialize(whole.groupBy("root").agg(F.min("_key").alias("component_id")))
     return whole.join(names, "root").select(
