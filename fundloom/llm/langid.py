@@ -260,11 +260,13 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
 def language(spark: SparkSession, network: Network | None, text: Column) -> Column:
     """Struct of `lang` and `score` (0 to 1); `und` with 0 for a text that is null or has no letter."""
     small_batches(spark)
-    weights = spark.sparkContext.broadcast(network)
+    # plain arrays: an instance would be unpickled by its module's name, which executors do not have
+    parts = network and (network.languages, network.inputs, network.states, network.output, network.offset)
+    weights = spark.sparkContext.broadcast(parts)
 
     @F.arrow_udf("struct<lang:string,score:double>")
     def label(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        net = weights.value
+        net = weights.value and Network(*weights.value)
         for batch in batches:
             texts = [t.as_py() or "" for t in batch]
             lang, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
