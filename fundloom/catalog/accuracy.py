@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from fundloom.catalog.profile import CALENDAR, months_sql
 from fundloom.catalog.registry import d, over, query, r
-from fundloom.operators import accuracy, ordering, portfolio
+from fundloom.operators import accuracy, ordering
 from fundloom.plans import views
 from fundloom.session import materialize, staging_path
 from fundloom.sources import sinks
@@ -145,16 +146,19 @@ def _model_corr(m: str) -> str:
     return f"covar_pop({m}, {E_}) / (stddev_pop({m}) {both} * stddev_pop({E_}) {both})"
 
 
-@query(
-    "prediction_report",
-    over(["predictions"], f"SELECT {_SUMMARY}, " + ", ".join(
-        f"{r(f'avg({m})', f'{m[:-11]}_mean', 8)}, {r(f'stddev_samp({m})', f'{m[:-11]}_std', 8)}, "
-        f"{r(_model_corr(m), f'{m[:-11]}_correlation', 8)}" for m in MODELS)
-        + " FROM predictions"),
-    digits=8,
+_REPORT = f"{_SUMMARY}, " + ", ".join(
+    f"{r(f'avg({m})', f'{m[:-11]}_mean', 8)}, {r(f'stddev_samp({m})', f'{m[:-11]}_std', 8)}, "
+    f"{r(_model_corr(m), f'{m[:-11]}_correlation', 8)}" for m in MODELS
 )
+
+
+@query("prediction_report", over(["predictions"], f"SELECT {_REPORT} FROM predictions"), digits=8)
 def prediction_report(spark, sf):
-    report = accuracy.prediction_report(materialize(views.predictions(spark, sf)), MODELS)
+    return _flat(accuracy.prediction_report(materialize(views.predictions(spark, sf)), MODELS))
+
+
+def _flat(report):
+    """The report with a column for each statistic of each model."""
     models = [m.removesuffix("_prediction") for m in MODELS]
     parts = {"mean": "mean", "std": "std", "correlation": "correlation_with_ensemble"}
     flat = [
@@ -163,13 +167,21 @@ def prediction_report(spark, sf):
     return report.select(*[c for c in report.columns if c != "individual_models"], *flat)
 
 
-@query("sink_report_json")
+@query(
+    "sink_report_json",
+    over(["predictions"], f"SELECT 'mean' AS ensemble_method, {_REPORT} FROM predictions"),
+    digits=8,
+)
 def sink_report_json(spark, sf):
+    """The report as it is read back from the written document."""
     report = accuracy.prediction_report(materialize(views.predictions(spark, sf)), MODELS)
     path = sinks.sink_report_json(
         report, staging_path(spark, "report"), config=F.struct(F.lit("mean").alias("ensemble_method"))
     )
-    return spark.read.text(path)
+    fields = ", ".join(f"`{f.name}`: {f.dataType.simpleString()}" for f in report.schema)
+    schema = f"struct<summary: struct<{fields}>, config: struct<ensemble_method: string>>"
+    read = spark.read.text(path).select(F.from_json("value", schema).alias("d")).select("d.summary.*", "d.config.ensemble_method")
+    return _flat(read)
 
 
 @query(
@@ -185,14 +197,13 @@ def single_fund_summary(spark, sf):
 
 @query(
     "pivot_error_matrix",
-    over(["scored"], "SELECT * FROM (PIVOT cells ON m USING max(v) GROUP BY class_id)", {"cells":
+    over(["scored"], months_sql("cells", "class_id"), {"cells":
         f"""SELECT class_id, strftime(month_end, '%Y%m') AS m, {r(f'avg({P} - {T})', 'v', 10)} FROM scored GROUP BY ALL"""}),
     digits=10,
 )
 def pivot_error_matrix(spark, sf):
     """A column for every month of the calendar."""
-    scored = materialize(_scored(spark, sf))
-    return accuracy.pivot_error_matrix(scored, portfolio.months_of(scored, "month_end"))
+    return accuracy.pivot_error_matrix(_scored(spark, sf), CALENDAR)
 
 
 @query(

@@ -175,3 +175,34 @@ def prepare_features(spark, sf):
         {"avg_tax": "net_expense_ratio", "cash": "fund_age"}
     )
     return features.prepare_features(joins.join_regression_stats(etl, alpha))
+
+
+@query(
+    "prepare_pipeline",
+    over(
+        ["panel", "predictions"],
+        """SELECT f.name AS "column", n_rows, CASE WHEN f.pos < 5 THEN missing[f.pos + 1] ELSE n_rows END / n_rows AS missing_ratio,
+          false AS has_infinite, CASE WHEN n_rows < 30 THEN 'few rows'
+            WHEN CASE WHEN f.pos < 5 THEN missing[f.pos + 1] ELSE n_rows END / n_rows > 0.5 THEN 'missing' END AS finding
+        FROM counted, (VALUES """
+        + ", ".join(f"('{f}', {_COLS.index(f) if f in _KNOWN else 99})" for f in FEATURE_ALIASES)
+        + ") AS f(name, pos)",
+        {
+            "raw": "SELECT p.class_id, p.month_end, "
+            + ", ".join(f"{e} AS x{k}" for k, e in enumerate(_KNOWN.values()))
+            + " FROM panel p JOIN (SELECT class_id, month_end, actual_alpha FROM predictions) q USING (class_id, month_end)",
+            "filled": "SELECT " + ", ".join(
+                f"last_value(x{k} IGNORE NULLS) OVER (PARTITION BY class_id ORDER BY month_end) AS x{k}" for k in range(5))
+            + " FROM raw",
+            "counted": "SELECT count(*) AS n_rows, [" + ", ".join(f"count(*) - count(x{k})" for k in range(5)) + "] AS missing FROM filled",
+        },
+    ),
+)
+def prepare_pipeline(spark, sf):
+    """The whole preparation with its validate step: features filled forward and scaled, and what they still lack."""
+    alpha = views.predictions(spark, sf).select("class_id", "month_end", F.col("actual_alpha").alias("alpha_hat"))
+    etl = timeseries.net_flow(views.panel(spark, sf)).withColumnsRenamed(
+        {"avg_tax": "net_expense_ratio", "cash": "fund_age"}
+    )
+    prepared = features.prepare_features(joins.join_regression_stats(etl, alpha), "forward_fill", "none")
+    return features.validation(prepared)

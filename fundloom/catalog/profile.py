@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from fundloom.catalog.registry import i, over, query, r
+from fundloom.catalog.registry import d, i, over, query, r
 from fundloom.functions import stats
 from fundloom.operators import coverage, ordering, portfolio, profile, timeseries
 from fundloom.plans import views
@@ -85,15 +85,24 @@ def feature_compatibility(spark, sf):
     return verdict.join(counted, "feature").select("feature", "source", "available", "verdict", "known")
 
 
+#: The months that the wide forms have a column for: the calendar of the given tables.
+CALENDAR = [f"{y}{m:02d}" for y in range(1995, 2002) for m in range(1, 13)]
+
+
+def months_sql(cells: str, key: str) -> str:
+    """One column for each month of the calendar, from cells (key, m, v)."""
+    columns = ", ".join(f"max(CASE WHEN m = '{m}' THEN v END) AS \"{m}\"" for m in CALENDAR)
+    return f"SELECT {key}, {columns} FROM {cells} GROUP BY {key}"
+
+
 @query(
     "pivot_returns_wide",
-    over(["returns"], "SELECT * FROM (PIVOT cells ON m USING max(v) GROUP BY fundno)", {"cells":
+    over(["returns"], months_sql("cells", "fundno"), {"cells":
         f"""SELECT fundno, strftime("Date", '%Y%m') AS m, {r('avg(mret)', 'v')} FROM returns GROUP BY ALL"""}),
 )
 def pivot_returns_wide(spark, sf):
     """A column for every month of the calendar."""
-    rows = materialize(views.returns(spark, sf))
-    return portfolio.pivot_returns_wide(rows, portfolio.months_of(rows, "Date"))
+    return portfolio.pivot_returns_wide(views.returns(spark, sf), CALENDAR)
 
 
 @query(
@@ -122,11 +131,19 @@ def rank_and_decile(spark, sf):
     return ordering.rank_and_decile(views.predictions(spark, sf), "month_end", "class_id", "ensemble_prediction")
 
 
-@query("spot_check_sample")
+_CHECKED = ["class_id", "month_end", "return", "avg_tax", "MKT_RF", "sales", "redemptions", "realized alpha", "filing_date"]
+
+
+@query(
+    "spot_check_sample",
+    over(["audited_panel"], f"""SELECT class_id, {d('audited_panel.month_end', 'month_end')}, {r('"return"', 'return')},
+      {r('avg_tax')}, {r('"MKT_RF"', 'MKT_RF')}, {r('sales', digits=4)}, {r('redemptions', digits=4)},
+      {r('"realized alpha"', 'realized alpha')}, {d('filing_date')} FROM audited_panel
+      ORDER BY md5(class_id || '|' || CAST(audited_panel.month_end AS VARCHAR) || '|1011') LIMIT 50"""),
+    digits={"*": 6, "sales": 4, "redemptions": 4},
+)
 def spot_check_sample(spark, sf):
-    rows = views.audited_panel(spark, sf).select(
-        "class_id", "month_end", "return", "avg_tax", "MKT_RF", "sales", "redemptions", "realized alpha", "filing_date"
-    )
+    rows = views.audited_panel(spark, sf).select(*_CHECKED)
     return ordering.spot_check_sample(rows, ["class_id", "month_end"], 50)
 
 

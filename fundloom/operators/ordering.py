@@ -102,6 +102,7 @@ def top_and_bottom(df: DataFrame, measure: str, key: str, n: int) -> DataFrame:
 
 
 def spot_check_sample(df: DataFrame, keys: Sequence[str], n: int, seed: int = 1011) -> DataFrame:
-    """A repeatable random sample for manual checks: the n rows with the smallest seeded key hash."""
-    shuffled = F.xxhash64(*[F.col(k) for k in keys], F.lit(seed))
-    return df.orderBy(shuffled, *keys).limit(n)
+    """A repeatable random sample for manual checks: the n rows with the smallest MD5 of their keys and the seed,
+    joined by bars, as any database has it."""
+    text = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys], F.lit(str(seed)))
+    return df.orderBy(F.md5(text.cast("binary")), *keys).limit(n)
