@@ -181,7 +181,7 @@ def prepare_features(spark, sf):
     "prepare_pipeline",
     over(
         ["panel", "predictions"],
-        """SELECT f.name AS "column", n_rows, CASE WHEN f.pos < 5 THEN missing[f.pos + 1] ELSE n_rows END / n_rows AS missing_ratio,
+        """SELECT f.name AS "column", n_rows, round(CASE WHEN f.pos < 5 THEN missing[f.pos + 1] ELSE n_rows END / n_rows, 6) AS missing_ratio,
           false AS has_infinite, CASE WHEN n_rows < 30 THEN 'few rows'
             WHEN CASE WHEN f.pos < 5 THEN missing[f.pos + 1] ELSE n_rows END / n_rows > 0.5 THEN 'missing' END AS finding
         FROM counted, (VALUES """
