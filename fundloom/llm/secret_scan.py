@@ -90,13 +90,28 @@ class Scanner:
         if "AKIA" in text:
             found += [(m.start(), 1, m.end()) for m in self.access.finditer(text)]
         found += [(m.start(), 2, m.end()) for m in self.hex.finditer(text)]
-        fixed = list(found)
-        for m in self.candidate.finditer(text):
-            s, e = m.span()
-            if not any(a < e and s < b for a, _, b in fixed) and self.is_random(m.group()):
-                found.append((s, 3, e))
         found.sort()
-        return found
+        covered, random = _runs(found), []
+        at = 0
+        for m in self.candidate.finditer(text):  # in order, as the covered runs are
+            s, e = m.span()
+            while at < len(covered) and covered[at][1] < e:
+                at += 1
+            whole = at < len(covered) and covered[at][0] <= s
+            if not whole and self.is_random(m.group()):
+                random.append((s, 3, e))
+        return sorted(found + random)
+
+
+def _runs(spans: list[tuple[int, int, int]]) -> list[list[int]]:
+    """Spans in order as runs [start, end) that do not meet."""
+    runs: list[list[int]] = []
+    for s, _, e in spans:
+        if runs and s <= runs[-1][1]:
+            runs[-1][1] = max(runs[-1][1], e)
+        else:
+            runs.append([s, e])
+    return runs
 
 
 def _scanner(spark: SparkSession, ranks_path: str):
@@ -127,7 +142,7 @@ def find_secrets(docs: DataFrame, ranks_path: str, text: str = "text", name: str
     """`docs` with the spans of each whole text; a column of that name is replaced.
 
     assign, access and hex are the fixed patterns; random adds strings with few characters per token that are
-    no digest, UUID or identifier and touch no other span. A null or empty text has none; every row stays.
+    no digest, UUID or identifier; one that the other spans cover as a whole is not listed again. A null or empty text has none; every row stays.
     """
     return docs.withColumn(name, secret_spans(docs.sparkSession, F.col(text), ranks_path))
 

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 import zlib
 
 import duckdb
@@ -200,6 +201,30 @@ def test_random_strings_of_every_alphabet_are_found():
         assert not scanner.is_random(name), name
 
 
+def test_random_strings_with_a_stretch_of_hex_are_covered_whole():
+    """A candidate is judged whole also where a fixed pattern finds a part of it, and listed unless all is covered."""
+    with open(BYTE_RANKS, "rb") as f:
+        scanner = secret_scan.Scanner(f.read())
+    rng = np.random.default_rng(6)
+    letters = list("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
+    for _ in range(300):
+        a, b = ("".join(rng.choice(letters, 20)) for _ in range(2))
+        text = f"x {a}{''.join(rng.choice(list('0123456789abcdef'), 16))}{b} y"
+        spans = scanner.spans(text)
+        assert (2, 3, len(text) - 2) in spans and spans == sorted(spans)
+        assert any(k == 2 for _, k, _ in spans)
+    assert [k for _, k, _ in scanner.spans(f"token={a}{b}")] == [0]
+
+
+def test_many_spans_take_one_walk():
+    with open(BYTE_RANKS, "rb") as f:
+        scanner = secret_scan.Scanner(f.read())
+    text = " ".join(f"0123456789abcdef{k:08x} {RANDOM}{k}" for k in range(40_000))
+    began = time.perf_counter()
+    assert len(scanner.spans(text)) == 80_000
+    assert time.perf_counter() - began < 20
+
+
 def test_secrets_edges(spark, edges, clashing, empty):
     rows = secret_scan.find_secrets(clashing, BYTE_RANKS).collect()
     assert len(rows) == edges.count() and not any(r.secrets for r in rows) and rows[0].row == "own row"
