@@ -21,7 +21,7 @@ from fundloom.session import materialize
 WINDOW = 20
 _FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # odd multipliers of the two window hashes
 _ROWS = 200_000
-#: Words whose hashes a task keeps at hand; beyond, it forgets them.
+#: Words whose hashes a task keeps at hand, and texts it knows again; beyond, it forgets them.
 _KEPT_WORDS = 500_000
 
 
@@ -130,16 +130,21 @@ def _first_level(window: int):
     lengths = levels(window)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, hashes = _Rows(["h", "d", "p"]), _Hashes()
+        rows, hashes, seen = _Rows(["h", "d", "p"]), _Hashes(), set()
         for batch in batches:
             for text in batch.column(0):
                 found = (text.as_py() or "").encode().split()
                 if len(found) < window:
                     continue
+                d = xxhash.xxh64_intdigest(b" ".join(found), 42)
+                if d in seen:
+                    continue
+                if len(seen) >= _KEPT_WORDS:
+                    seen.clear()
+                seen.add(d)
                 (h,) = window_hashes(hashes.of(found), lengths[:1])
                 at = np.unique(chosen_parts(h, window, lengths[0]))
-                d = np.full(len(at), xxhash.xxh64_intdigest(b" ".join(found), 42), np.uint64)
-                rows.add(h[at], d, at.astype(np.int32))
+                rows.add(h[at], np.full(len(at), d, np.uint64), at.astype(np.int32))
                 yield from rows.full()
         yield from rows.rest()
 
@@ -221,6 +226,7 @@ def _whole_windows(window: int):
 
 def _repeated(rows: DataFrame) -> DataFrame:
     """(d, marks): of each text the parts that also occur in another text or elsewhere in it."""
+    rows = materialize(rows)  # read twice, hashed once
     place = F.xxhash64("d", "p")
     twice = rows.groupBy("h").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a <> b").select("h")
     # as a table of its own, so that a part which a third of all texts have is split by size in the join
