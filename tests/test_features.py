@@ -125,3 +125,35 @@ def test_ensembles(spark):
     ).collect()
     assert tuple(row) == pytest.approx((3.0, 3.0, 2.0, 2.5))
     assert tuple(gap) == (2.5, None, None, None)
+
+
+def z_by_hand(pdf, names, limit):
+    left = pdf
+    for f in names:
+        m, s = left[f].mean(), left[f].std(ddof=0)
+        if s and not np.isnan(s):
+            left = left[~((left[f] - m).abs() / s >= limit)]
+    return set(left.id)
+
+
+@pytest.mark.parametrize("seed, limit", [(0, 3.0), (1, 2.0), (2, 1.5)])
+def test_outliers_are_removed_step_by_step(spark, seed, limit):
+    """Heavy tails, features that are outliers together, unknown and constant ones, and a value so far off that what
+    is left has a spread much smaller than that of all rows."""
+    rng = np.random.default_rng(seed)
+    pdf = pd.DataFrame({"id": np.arange(3000), "a": rng.standard_t(2, 3000), "b": rng.normal(size=3000), "c": 4.0})
+    pdf["d"] = pdf.a * 2 + rng.normal(size=3000)
+    pdf["e"] = np.where(rng.random(3000) < 0.2, np.nan, rng.standard_t(3, 3000))
+    pdf["f"] = np.where(pdf.id < 3, 1e6, rng.normal(size=3000))
+    pdf.loc[pdf.id < 3, "a"] = 500.0  # the rows that are far off go with the first feature
+    names = ["a", "b", "c", "d", "e", "f"]
+    got = X.remove_outliers_z(spark.createDataFrame(pdf), names, limit).toPandas()
+    assert set(got.id) == z_by_hand(pdf, names, limit)
+    assert got.e.isna().any()
+
+
+def test_outliers_of_nothing(spark):
+    empty = spark.createDataFrame([], "a double")
+    assert X.remove_outliers_z(empty, ["a"]).count() == 0
+    same = spark.createDataFrame([(1.0,), (1.0,), (None,)], "a double")
+    assert X.remove_outliers_z(same, ["a"]).count() == 3
