@@ -13,7 +13,7 @@ from fundloom.catalog.sources import index_documents
 from fundloom.functions import scalars, text as T
 from fundloom.operators import joins
 from fundloom.plans import views
-from fundloom.sources import filings, ixbrl
+from fundloom.sources import filings, ixbrl, managers
 
 TENURE_SENTENCES = [
     "The adviser has run the fund since {y}.",
@@ -64,6 +64,12 @@ def _texts_sql(sentences: list[str]) -> str:
 view("tenure_texts", _texts_sql(TENURE_SENTENCES))
 view("inception_texts", _texts_sql(INCEPTION_SENTENCES))
 view("amount_texts", _texts_sql(AMOUNTS))
+view(
+    "prospectus_texts",
+    """SELECT lpad(CAST(doc_id % 37 AS VARCHAR), 10, '0') AS cik, t.doc_id, t.filing_date, t.body || chr(10) || i.body AS body
+      FROM tenure_texts t JOIN inception_texts i USING (doc_id)""",
+    ["tenure_texts", "inception_texts"],
+)
 
 
 def _number(pattern: str, flags: str = "") -> str:
@@ -101,6 +107,8 @@ def manager_tenure(spark, sf):
     )
 
 
+_TENURE = f"""CAST(year(filing_date) - list_max(list_filter(list_transform({_all(T.TENURE_PATTERNS, ", 'i'")},
+  lambda x: TRY_CAST(x AS INTEGER)), lambda x: x BETWEEN 1970 AND year(filing_date))) AS DOUBLE)"""
 _INCEPTION = f"""list_filter(list_transform({_all(T.INCEPTION_PATTERNS, ", 'i'")}, lambda x: CAST(coalesce(
   try_strptime(regexp_replace(replace(x, ',', ''), '\\s+', ' ', 'g'), '%B %d %Y'),
   try_strptime(regexp_replace(replace(x, ',', ''), '\\s+', ' ', 'g'), '%b %d %Y')) AS DATE)),
@@ -117,6 +125,30 @@ def inception_date(spark, sf):
     )
 
 
+@query(
+    "manager_records",
+    over(["prospectus_texts"], f"""SELECT cik, series_id, class_id, {r('manager_tenure')}, {r('(filing_date - inception) / 365.25', 'fund_age')},
+      {d('inception', 'inception_date')}, {d('filing_date', 'asof')} FROM (
+        SELECT cik, filing_date, {_TENURE} AS manager_tenure, {_INCEPTION} AS inception FROM prospectus_texts
+        QUALIFY row_number() OVER (PARTITION BY cik ORDER BY filing_date DESC, doc_id DESC) = 1)
+      JOIN (SELECT lpad(CAST(s_nationkey AS VARCHAR), 10, '0') AS cik, 'S' || lpad(CAST(s_nationkey AS VARCHAR), 4, '0') AS series_id,
+        'C' || lpad(CAST(s_suppkey AS VARCHAR), 9, '0') AS class_id FROM supplier) USING (cik)"""),
+)
+def manager_records(spark, sf):
+    """What the latest prospectus of each registrant tells of its managers, for every class."""
+    filed = F.date_add(F.lit("1992-01-15").cast("date"), (F.col("n_chars") % 5000).cast("int"))
+    docs = views.table(spark, sf, "documents").select(
+        (F.col("doc_id") % 37).cast("string").alias("cik"), filed.alias("filing_date"), F.col("doc_id").alias("accession"),
+        F.concat(_filled(TENURE_SENTENCES), F.lit(" \n"), F.col("text"), F.lit("\n"),
+                 _filled(INCEPTION_SENTENCES), F.lit(" \n"), F.col("text")).alias("body"),
+    )
+    classes = views.table(spark, sf, "supplier").groupBy(F.col("s_nationkey").cast("string").alias("cik")).agg(
+        F.array(F.concat(F.lit("S"), F.lpad(F.first(F.col("s_nationkey").cast("string")), 4, "0"))).alias("series_ids"),
+        F.collect_list(F.concat(F.lit("C"), F.lpad(F.col("s_suppkey").cast("string"), 9, "0"))).alias("class_ids"),
+    )
+    return managers.manager_records(classes, docs).drop("record")
+
+
 @query(
     "fund_age_years",
     over(["inception_texts"], f"SELECT doc_id, {r('(filing_date - inception) / 365.25', 'fund_age')} FROM (SELECT doc_id, filing_date, {_INCEPTION} AS inception FROM inception_texts)"),

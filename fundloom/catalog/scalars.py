@@ -212,8 +212,8 @@ def lookup_fund_returns(spark, sf):
       WHERE class_id = 'C000000004'"""),
 )
 def filter_single_fund(spark, sf):
-    panel = views.panel(spark, sf).select("class_id", "month_end", "return")
-    return joins.filter_single_fund(panel, "C000000004")
+    stored = materialize(views.panel(spark, sf).select("class_id", "month_end", "return"))
+    return joins.filter_single_fund(stored, "C000000004")
 
 
 @query(

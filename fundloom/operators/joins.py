@@ -276,6 +276,7 @@ def lookup_fund_returns(
 
 
 def filter_single_fund(df: DataFrame, class_id: str) -> DataFrame:
+    """The rows of one fund, of which there are some; over a stored panel the filter reaches the scan."""
     chosen = df.where(F.col("class_id") == class_id)
     if chosen.isEmpty():
         raise ValueError(f"no rows for fund {class_id}")

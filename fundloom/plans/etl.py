@@ -34,7 +34,8 @@ def build_panel(
     After deduplication one shuffle and sort by class serve the flow volatility, the lagged assets and the
     regression sums; the factors are broadcast and keep that layout. The lag of the fitted alpha needs a
     second one, as a Python step hides the layout of its input. Side tables are joined last; the columns of
-    those that are not given are null, so the schema is always the same. `classes` (class_id) are the ones
+    those that are not given are null, so the schema is always the same; `managers` are given or what
+    `sources.managers.manager_records` reads from prospectuses. `classes` (class_id) are the ones
     configured, and only those are kept; `fees` (class_id and more) is a file of fees joined by class.
     """
     if classes is not None:

@@ -13,6 +13,7 @@ from fundloom.functions.scalars import (
     extreme_return, month_end_shift, pad_registrant_id, pct_to_decimal, quarter_key,
     safe_float_default, tag_month_offset, to_numeric_or_null,
 )
+from fundloom.session import materialize
 
 MAX_MONTHS = 12  # fixed value: monthly elements per class
 
@@ -101,15 +102,38 @@ def unreadable(documents: DataFrame) -> DataFrame:
     return _parsed(documents, ELEMENT_SCHEMA).where(F.col("x").isNull()).select(*keys)
 
 
+def read_filings(documents: DataFrame, style: str = "elements") -> tuple[DataFrame, DataFrame]:
+    """The rows of a landing of filings and the keys of those that cannot be read, for the log.
+
+    Documents are parsed once; both results come from the stored parse. `style` is `elements` or `attributes`.
+    """
+    schema, rows = {
+        "elements": (ELEMENT_SCHEMA, element_rows),
+        "attributes": (ATTRIBUTE_SCHEMA, attribute_rows),
+    }[style]
+    parsed = materialize(_parsed(documents, schema))
+    return rows(parsed), parsed.where(F.col("x").isNull()).drop("x")
+
+
 def scan_filings_xml_elements(documents: DataFrame) -> DataFrame:
+    """Element-style filings to up to twelve months per class; see `element_rows`."""
+    return element_rows(_parsed(documents, ELEMENT_SCHEMA))
+
+
+def scan_filings_xml_attributes(documents: DataFrame) -> DataFrame:
+    """Attribute-style filings to up to three months per class; see `attribute_rows`."""
+    return attribute_rows(_parsed(documents, ATTRIBUTE_SCHEMA))
+
+
+def element_rows(parsed: DataFrame) -> DataFrame:
     """Element-style filings to up to twelve months per class.
 
     Classes and the period may stand at any depth, also a class inside a class, which has values of its own. Months
     stop at the first missing return; absent flows are 0, absent assets and cash null. The j-th of n returns belongs
     to the month end n - j months before the report period.
     """
-    keys = [c for c in documents.columns if c != "body"]
-    per_class = _parsed(documents, ELEMENT_SCHEMA).select(
+    keys = [c for c in parsed.columns if c != "x"]
+    per_class = parsed.select(
         *keys, F.to_date(F.get("x.ReportPeriod", 0)).alias("report_period"), F.explode_outer("x.Class").alias("c")
     ).where(F.col("c").isNotNull())
 
@@ -147,19 +171,19 @@ def scan_filings_xml_elements(documents: DataFrame) -> DataFrame:
     )
 
 
-def scan_filings_xml_attributes(documents: DataFrame) -> DataFrame:
+def attribute_rows(parsed: DataFrame) -> DataFrame:
     """Attribute-style filings to up to three months per class.
 
     N/A returns are dropped before the remaining ones are dated, oldest first, up to the report period;
     the flows, which are those of the fund, are matched by position. Elements may stand at any depth, and a
     plain report period stands in for one that is missing. Unknown assets and cash count as 0.
     """
-    keys = [c for c in documents.columns if c != "body"]
+    keys = [c for c in parsed.columns if c != "x"]
 
     def first(name: str) -> Column:
         return F.get(F.col(f"x.{name}"), 0)
 
-    parsed = _parsed(documents, ATTRIBUTE_SCHEMA).select(
+    parsed = parsed.select(
         *keys,
         F.to_date(F.coalesce(first("repPdEnd"), first("ReportPeriod"))).alias("report_period"),
         safe_float_default(first("totAssets")).alias("total_investments"),

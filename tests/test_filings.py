@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from fundloom.functions import text as T
 from fundloom.operators import timeseries
-from fundloom.sources import factors as S, filings, ixbrl
+from fundloom.sources import factors as S, filings, ixbrl, managers
 
 ELEMENT = """<?xml version="1.0" encoding="UTF-8"?>
 <NPORT-P><ReportPeriod>{period}</ReportPeriod><Series><SeriesId>S7</SeriesId><Class><ClassId>K1</ClassId>
@@ -68,6 +68,8 @@ def test_only_elements_count_as_classes(spark):
     ]
     # a number that cannot be read makes its filing unreadable as a whole
     assert sorted(r["doc_id"] for r in filings.unreadable(docs).collect()) == [3, 5]
+    rows, log = filings.read_filings(docs)
+    assert sorted(map(str, rows.collect())) == sorted(map(str, got)) and sorted(r[:] for r in log.collect()) == [(3,), (5,)]
 
 
 def test_only_elements_count_in_attribute_filings(spark):
@@ -179,3 +181,21 @@ def test_quarters(spark):
     # the third quarter is taken to end on the first of September
     kept = filings.quarter_overlap_filter(df, start="2019-09-02").collect()
     assert [r[0] for r in kept] == ["2019q4"]
+
+
+def test_manager_records_of_the_latest_document(spark):
+    registrants = spark.createDataFrame(
+        [("7", ["S1", "S2"], ["A", "B"]), ("8", [], None), ("9", ["S9"], ["Z"])], "cik string, series_ids array<string>, class_ids array<string>"
+    )
+    docs = spark.createDataFrame(
+        [("0000000007", dt.date(2019, 5, 1), 1, "managed the fund since 2001. commenced operations on May 1, 2010"),
+         ("7", dt.date(2021, 5, 1), 2, "Jane has managed the fund since March 2012. commenced operations on May 1, 2011"),
+         ("8", dt.date(2020, 1, 1), 3, None), ("8", None, 4, "managed the fund since 1999")],
+        "cik string, filing_date date, accession long, body string",
+    )
+    got = managers.manager_records(registrants, docs).collect()
+    seven = [r for r in got if r["cik"] == "0000000007"]
+    assert sorted((r["series_id"], r["class_id"]) for r in seven) == [("S1", "A"), ("S1", "B"), ("S2", "A"), ("S2", "B")]
+    assert {(r["manager_tenure"], str(r["inception_date"]), str(r["asof"])) for r in seven} == {(9.0, "2011-05-01", "2021-05-01")}
+    assert {round(r["fund_age"], 2) for r in seven} == {10.0}
+    assert [r[:7] for r in got if r["cik"] != "0000000007"] == [("0000000008", None, None, None, None, None, dt.date(2020, 1, 1))]

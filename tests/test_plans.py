@@ -76,3 +76,8 @@ def test_stored_returns_are_looked_up_by_pushed_filters(spark, sf_dir):
 def test_line_items_are_scanned_once(spark, sf_dir, name):
     text = plan(all_queries()[name](spark, sf_dir))
     assert text.count("lineitem.parquet") <= 1
+
+
+def test_one_fund_is_filtered_in_the_scan(spark, sf_dir):
+    text = plan(all_queries()["filter_single_fund"](spark, sf_dir))
+    assert re.search(r"PushedFilters: \[[^\]]*EqualTo\(class_id,C000000004\)", text)
