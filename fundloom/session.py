@@ -87,3 +87,12 @@ def materialize(df: DataFrame, lasting: bool = False) -> DataFrame:
         _scopes[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the staged table that a frame reads, once nothing needs it any more; other files are left alone."""
+    spark = df.sparkSession
+    for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        if f"/{STAGING}/" in folder:
+            where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)

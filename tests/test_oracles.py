@@ -24,4 +24,5 @@ def test_runs_without_sql(spark, sf_dir, name):
 
 def test_registry_is_consistent():
     assert set(all_oracles()) <= set(all_queries())
-    assert not [n for n in all_queries() if "pipeline" in n]
+    # the corpus pipeline and the numbered operators are added by the entry point alone
+    assert not [n for n in all_queries() if n == "pipeline" or (n.startswith("op") and n[2:3].isdigit())]
