@@ -107,6 +107,7 @@ def fund_age_years(filing_date: Column, inception: Column) -> Column:
     return F.datediff(filing_date, inception) / F.lit(365.25)
 
 
+# The substrings by which a document's kind is told.
 def is_html(c: str | Column) -> Column:
     c = col(c)
     return F.lower(c).contains("<html>") | c.contains("<TYPE>")
