@@ -130,20 +130,52 @@ def test_forest_recall(spark, sf_dir):
     assert (got.groupby("query_id")["rank"].max() == 10).all()
 
 
-def test_forest_recall_with_short_ascents(spark, monkeypatch):
-    """Clusters: the longest prefixes alone find what is near, without reading everything."""
-    monkeypatch.setattr(forest, "BLOCK", 32)
-    monkeypatch.setattr(forest, "ENOUGH", 400)
+def recall(spark, points, every):
+    frame = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "vec_id long, embedding array<double>")
+    got = forest.nearest_neighbours(frame, every=every).toPandas()
+    shares = {}
+    for q in range(0, len(points), every):
+        near = np.sqrt(((points - points[q]) ** 2).sum(axis=1))
+        near[q] = np.inf
+        shares[q] = len(set(np.argsort(near)[:10]) & set(got[got.query_id == q].vec_id)) / 10
+    return shares
+
+
+def test_forest_recall_in_many_clusters(spark, monkeypatch):
+    """The longest prefixes find what is near, without reading everything."""
+    monkeypatch.setattr(forest, "BLOCK", 128)
+    monkeypatch.setattr(forest, "WINDOW", 32)
     rng = np.random.default_rng(3)
     centres = rng.normal(size=(60, 16))
     points = np.repeat(centres, 40, axis=0) + rng.normal(scale=0.05, size=(2400, 16))
-    frame = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "vec_id long, embedding array<double>")
-    got = forest.nearest_neighbours(frame, every=100).toPandas()
-    found = 0
-    for q in range(0, 2400, 100):
-        want = {i for i, _ in plain_neighbours(list(enumerate(points.tolist())), q, points[q], 10)}
-        found += len(want & set(got[got.query_id == q].vec_id))
-    assert found >= 0.9 * 240
+    assert np.mean(list(recall(spark, points, 100).values())) >= 0.9
+
+
+@pytest.mark.parametrize("noise", [0.0005, 0.005, 0.05])
+def test_forest_recall_in_one_hot_cluster(spark, monkeypatch, noise):
+    """A third of all vectors around one direction: their prefixes fill many blocks, all of which are read."""
+    monkeypatch.setattr(forest, "BLOCK", 64)
+    monkeypatch.setattr(forest, "WINDOW", 32)
+    rng = np.random.default_rng(4)
+    points = rng.normal(size=(3000, 32)) * rng.uniform(0.5, 2, size=(3000, 1))
+    points[::3] = points[0] + rng.normal(scale=noise, size=(1000, 32))
+    shares = recall(spark, points, 50)
+    assert np.mean([v for q, v in shares.items() if q % 3 == 0]) >= 0.9
+    assert np.mean([v for q, v in shares.items() if q % 3]) >= 0.9
+
+
+def test_prefixes_are_long_enough_for_the_angle():
+    """Two vectors at the widest angle for a prefix share one in some tree as often as it is said."""
+    rng = np.random.default_rng(5)
+    axes = forest.axes_of(24)
+    one, other = rng.normal(size=(2, 1500, 24))
+    one /= np.linalg.norm(one, axis=1, keepdims=True)
+    other -= (other * one).sum(axis=1, keepdims=True) * one
+    other /= np.linalg.norm(other, axis=1, keepdims=True)
+    for n in (1, 3, 10):
+        angle = forest.widest_angles()[n - 1]
+        same = forest.hash_symbols(one, axes) == forest.hash_symbols(np.cos(angle) * one + np.sin(angle) * other, axes)
+        assert same[:, :, :n].all(axis=2).any(axis=1).mean() == pytest.approx(forest.FOUND, abs=0.03)
 
 
 def test_forest_edges(spark):
