@@ -309,10 +309,21 @@ def test_licenses_in_any_spelling(spark, edges, clashing, empty):
         (4, known["Zlib"].replace("acknowledgment", "acknowledgement"), "Zlib"), (5, known["MIT"][:-9], None),
         (6, "(C) 2020 X\n" + known["0BSD"], "0BSD"), (7, PROSE["en"] + "\nReleased  under the MIT Licence!\nx", None),
     ]
+    marked = known["BSD-3-Clause"]
+    for number, mark in ((1, "*"), (2, "  (b)"), (3, "iii.")):
+        marked = marked.replace(f"\n{number}. ", f"\n{mark} ")
+    texts += [
+        (20, "MIT License\n\nCopyright (c) 2020 X\n\n" + known["MIT"], "MIT"), (21, "The ISC Licence (ISC)\n" + known["ISC"], "ISC"),
+        (22, "# BSD 3-Clause License\n" + marked, "BSD-3-Clause"), (23, "The MIT License", None),
+        (24, "Boost Software License - Version 1.0\n" + known["BSL-1.0"], "BSL-1.0"), (25, known["BSL-1.0"].lower(), "BSL-1.0"),
+        (26, "a. one\n1) two", None), (27, known["Apache-2.0 header"].replace("http:", "https:"), "Apache-2.0 header"),
+        (28, "Title\n  2. Licensed under CC BY-NC 4.0.\nThe MIT License", None), (29, known["Unlicense"], "Unlicense"),
+    ]
     frame = spark.createDataFrame([t[:2] for t in texts], "doc_id int, text string")
     got = {r.doc_id: r for r in licenses.scan_licenses(frame).collect()}
     assert {i: got[i].license for i, _, _ in texts} == {i: want for i, _, want in texts}
-    assert got[7].line_licenses == "MIT notice"
+    assert got[7].line_licenses == "MIT notice" and got[28].line_licenses == "CC-BY-NC-4.0 notice"
+    assert got[23].digest == sha("") and got[26].digest == sha("a one 1 two")
     con = duckdb.connect()
     frame_local = frame.toPandas()  # noqa: F841 - read by name in the SQL below
     sql = dict(con.execute(f"SELECT doc_id, sha256({licenses.canonical_sql('text')}) FROM frame_local").fetchall())
