@@ -106,11 +106,42 @@ def test_mixture_edges(edges, clashing, empty, monkeypatch):
     assert mixing.mix(empty).count() == 0 and mixing.in_mixed_order(empty).count() == 0
     ordered = mixing.in_mixed_order(clashing)
     assert ordered.columns == clashing.columns and ordered.count() == clashing.count()
-    monkeypatch.setattr(mixing, "SOURCES", 1)  # all but the largest source are mixed as one
+    monkeypatch.setattr(mixing, "SOURCES", 1)  # all but the largest source stand in classes
     few = mixing.mix(edges, block_rows=2).collect()
     assert sorted(r.position for r in few) == list(range(edges.count()))
 
 
+def test_any_number_of_sources_stay_within_one_block_of_their_shares(spark):
+    """One source with a third of the rows, and more small ones than are scheduled one by one."""
+    sizes = {"hot": 9000, None: 151, **{f"s{k}": 40 + 3 * (k % 90) for k in range(260)}}
+    names = [s for s, n in sizes.items() for _ in range(n)]
+    frame = spark.createDataFrame(list(enumerate(names)), "doc_id long, source string").repartition(6)
+    rows, most = 4, 0.0
+    got = mixing.mix(frame, block_rows=rows).toPandas().sort_values("position")
+    assert got.position.tolist() == list(range(len(names))) and sorted(got.doc_id) == list(range(len(names)))
+    source = got.source.fillna("none").to_numpy()
+    counts = {("none" if s is None else s): n for s, n in sizes.items()}
+    largest = sorted(counts, key=lambda s: (-counts[s], s != "none", s))[: mixing.SOURCES]
+    named = {s: "null" if s == "none" else f"={s}" for s in counts}
+    kind = {s: named[s] if s in largest else f"rest {math.floor(mixing.CLASSES * math.log2(n))}" for s, n in counts.items()}
+    weight = {}
+    for s, n in counts.items():
+        weight[kind[s]] = weight.get(kind[s], 0) + math.sqrt(n)
+    shares = mixing.whole_shares(weight)
+    target = {s: shares[kind[s]] / sum(shares.values()) * math.sqrt(n) / weight[kind[s]] for s, n in counts.items()}
+    ends = {}
+    for at, s in enumerate(source):
+        ends[s] = at
+    stop = min(ends.values()) // rows  # until the first source ends
+    assert stop > 100
+    done = dict.fromkeys(counts, 0)
+    for slot in range(stop):
+        for s in source[slot * rows : (slot + 1) * rows]:
+            done[s] += 1
+        most = max(most, *(abs(done[s] / rows - target[s] * (slot + 1)) for s in counts))
+    assert most < 1
+
+
 # Neighbours
 
 
