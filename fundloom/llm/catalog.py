@@ -110,8 +110,8 @@ _CRC_TABLE = """SELECT list_transform(range(256), lambda i: list_reduce(list_pre
         lambda c, b: xor(c >> 8, t[(xor(c, b) & 255)::BIGINT + 1]))) AS text_crc32
       FROM rows_, crc)
     SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'key' AS law, a.shard::INTEGER AS shard,
-      row_number() OVER (PARTITION BY a.shard ORDER BY substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 2),
-        doc_id NULLS FIRST, size, text_crc32) - 1 AS slot, b.shard::INTEGER AS grown_shard
+      row_number() OVER (PARTITION BY a.shard ORDER BY substr(md5(coalesce(doc_id::VARCHAR, '') || '|' || size || '|'
+        || text_crc32), 1, {sharding.BLOCK_DIGITS}), doc_id NULLS FIRST, size, text_crc32) - 1 AS slot, b.shard::INTEGER AS grown_shard
     FROM sized JOIN ends a ON a.r = sized.r AND a.n = {SHARDS} JOIN ends b ON b.r = sized.r AND b.n = {SHARDS + 1}""",
 )
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,6 +10,8 @@ from fundloom.llm.common import numbered, packed, unpacked
 
 _MULTIPLIER = Decimal(2862933555777941757)  # of the published generator
 _WORD = Decimal(2**64)
+#: Hexadecimal digits that deal a shard's rows to windows: 4096 of them.
+BLOCK_DIGITS = 3
 
 
 def jump_hash(key: Column, shards: int) -> Column:
@@ -47,7 +49,8 @@ def shard_documents(docs: DataFrame, shards: int, key: str = "doc_id", text: str
 
     The shard follows from the key and the number of shards alone, so equal keys share a shard, repeated rows
     stay, and one more shard takes rows only into itself. A null key counts as 0; a null text has no bytes.
-    Slots are gapless from 0 in each shard, by the digest of the key; equal rows are interchangeable.
+    Slots are gapless from 0 in each shard, by a digest of key, size and checksum, so that rows of one key spread
+    over as many windows as others; rows equal in all three are interchangeable.
     """
     own = F.coalesce(F.col(text), F.lit("")).cast("binary")
     placed = packed(
@@ -58,7 +61,8 @@ def shard_documents(docs: DataFrame, shards: int, key: str = "doc_id", text: str
         shard=jump_hash(F.col(key), shards),
         grown=jump_hash(F.col(key), shards + 1),
     )
-    block = F.substring(F.md5(F.coalesce(F.col("key").cast("string"), F.lit("")).cast("binary")), 1, 2)
+    own_facts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("key", "size", "crc")]
+    block = F.substring(F.md5(F.concat_ws("|", *own_facts).cast("binary")), 1, BLOCK_DIGITS)
     order = [F.col("key"), F.col("size"), F.col("crc")]
     found = numbered(placed, [F.col("shard")], block, order, "slot")
     return unpacked(

@@ -47,6 +47,24 @@ def test_shard_edges(edges, clashing, empty):
     assert sharding.shard_documents(empty, 4).count() == 0
 
 
+def test_rows_of_one_key_lie_in_many_windows(spark, monkeypatch):
+    """A third of all rows without a key: slots are gapless, and no window holds more than a few."""
+    seen = []
+    plain = sharding.numbered
+
+    def watched(df, group, block, order, name):
+        seen.append(df.groupBy(*group, block.alias("b")).count().agg(F.max("count")).first()[0])
+        return plain(df, group, block, order, name)
+
+    monkeypatch.setattr(sharding, "numbered", watched)
+    rows = [(None if k % 3 == 0 else k, f"text {k}") for k in range(3000)]
+    got = sharding.shard_documents(spark.createDataFrame(rows, "doc_id long, text string"), 4).collect()
+    assert len(got) == 3000 and seen[0] < 20
+    for s in range(4):
+        slots = sorted(r.slot for r in got if r.shard == s)
+        assert slots == list(range(len(slots)))
+
+
 # Mixtures
 
 

@@ -142,6 +142,23 @@ def test_next_document_in_any_layout(spark, edges, empty, partitions):
     assert {r.text for r in rows if r.doc_id is None} >= {known[-1].next_text}
 
 
+@pytest.mark.parametrize("hot", [None, 7])
+def test_next_document_when_a_key_holds_a_third_of_the_rows(spark, monkeypatch, hot):
+    """Rows of one key, null or not, lie in several ranges, each row's successor is that of the whole order."""
+    monkeypatch.setattr(sketches, "RANGE_BYTES", 600)
+    rows = [(k, f"text {k} of a key of its own") for k in range(400)]
+    rows += [(hot, f"text {k} of the hot key") for k in range(200)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = sketches.with_next(frame, "doc_id", "text", {"n": F.length("text")}).withColumn("at", F.spark_partition_id())
+    got = got.withColumn("h", F.xxhash64("text")).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.text) for r in got) == sorted((k is None, k or 0, t) for k, t in rows)
+    line = sorted(got, key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.h))
+    for a, b in zip(line, line[1:] + line[:1]):
+        assert a.next_text == b.text and a.next_n == len(b.text)
+    tasks = [sum(r.at == t for r in got) for t in {r.at for r in got}]
+    assert max(tasks) < 60 and len({r.at for r in got if r.doc_id == hot}) >= 5
+
+
 # Secrets
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
