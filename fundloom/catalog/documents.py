@@ -77,13 +77,13 @@ def _number(pattern: str, flags: str = "") -> str:
 
 
 _N = r"(\d+(?:\.\d+)?)"
+_PERCENT = f"""coalesce({_number(_N + r"\s*bps", ", 'i'")} / 10000, {_number(_N + r"\s*%")} / 100,
+  CASE WHEN {_number(_N)} < 1 THEN {_number(_N)} ELSE {_number(_N)} / 100 END)"""
 
 
 @query(
     "percent_from_text",
-    over(["amount_texts"], f"""SELECT doc_id, {r(f'''coalesce({_number(_N + r"\s*bps", ", 'i'")} / 10000,
-      {_number(_N + r"\s*%")} / 100, CASE WHEN {_number(_N)} < 1 THEN {_number(_N)} ELSE {_number(_N)} / 100 END)''',
-      'fraction', 8)} FROM amount_texts"""),
+    over(["amount_texts"], f"SELECT doc_id, {r(_PERCENT, 'fraction', 8)} FROM amount_texts"),
     digits=8,
 )
 def percent_from_text(spark, sf):
@@ -185,24 +185,35 @@ view(
     f"""SELECT page_id AS doc_id, '<HTML>' || [{", ".join("'" + s.replace(chr(10), "' || chr(10) || '") + "'" for s in PROSPECTUS)}]
       [page_id % {len(PROSPECTUS)} + 1] || ' ' || chr(10) || html AS body FROM pages""",
 )
-_VALUES = {
-    "found": f"""SELECT doc_id, lower(body) LIKE '%xbrl%' OR contains(body, 'contextRef') AS tagged,
-      list_filter({_all(T.CLASS_PATTERNS, "")}, lambda x: length(x) BETWEEN 2 AND 6) AS named,
-      list_transform({_all(T.EXPENSE_PATTERNS, "")}, lambda x: CAST(x AS DOUBLE) / 100) AS ratios,
-      list_transform({_all(T.TURNOVER_PATTERNS, "")}, lambda x: CAST(x AS DOUBLE) / 100) AS turns FROM prospectuses""",
-    "classed": """SELECT *, list_filter(named, lambda x, k: list_position(named, x) = k) AS classes FROM found
-      WHERE NOT tagged""",
-    "numbered": """SELECT *, unnest(range(1, len(classes) + 1)) AS k FROM classed
-      WHERE len(ratios) > 0 OR len(turns) > 0""",
-}
+
+
+def _prospectus_ctes(source: str) -> dict[str, str]:
+    """Classes, ratios and turnovers of the plain prospectuses among the documents of `source`, a row for each class
+    in `numbered`."""
+    return {
+        "found": f"""SELECT doc_id, {_HTML} AND NOT ({_XBRL}) AS is_plain,
+          list_filter({_all(T.CLASS_PATTERNS, "")}, lambda x: length(x) BETWEEN 2 AND 6) AS named,
+          list_transform({_all(T.EXPENSE_PATTERNS, "")}, lambda x: CAST(x AS DOUBLE) / 100) AS ratios,
+          list_transform({_all(T.TURNOVER_PATTERNS, "")}, lambda x: CAST(x AS DOUBLE) / 100) AS turns FROM {source}""",
+        "classed": """SELECT *, list_filter(named, lambda x, k: list_position(named, x) = k) AS classes FROM found
+          WHERE is_plain""",
+        "numbered": """SELECT *, unnest(range(1, len(classes) + 1)) AS k FROM classed
+          WHERE len(ratios) > 0 OR len(turns) > 0""",
+    }
+
+
+_HTML = "(lower(body) LIKE '%<html>%' OR contains(body, '<TYPE>'))"
+_XBRL = "lower(body) LIKE '%xbrl%' OR contains(body, 'contextRef')"
+_CLASS_RECORD = """doc_id, classes[k] AS class_id,
+  CASE WHEN len(classes) = len(ratios) THEN 'html_class_' || (k - 1) ELSE 'html_fund_level' END AS context_ref,
+  ratios[CASE WHEN len(classes) = len(ratios) THEN k ELSE 1 END] AS er,
+  turns[CASE WHEN len(classes) = len(ratios) THEN k ELSE 1 END] AS tu"""
 
 
 @query(
     "prospectus_html_extract",
-    over(["prospectuses"], f"""SELECT doc_id, classes[k] AS class_id,
-      CASE WHEN len(classes) = len(ratios) THEN 'html_class_' || (k - 1) ELSE 'html_fund_level' END AS context_ref,
-      {r('ratios[CASE WHEN len(classes) = len(ratios) THEN k ELSE 1 END]', 'net_expense_ratio', 8)},
-      {r('turns[CASE WHEN len(classes) = len(ratios) THEN k ELSE 1 END]', 'turnover_pct', 8)} FROM numbered""", _VALUES),
+    over(["prospectuses"], f"""SELECT doc_id, class_id, context_ref, {r('er', 'net_expense_ratio', 8)}, {r('tu', 'turnover_pct', 8)}
+      FROM (SELECT {_CLASS_RECORD} FROM numbered)""", _prospectus_ctes("prospectuses")),
     digits=8,
 )
 def prospectus_html_extract(spark, sf):
@@ -240,38 +251,98 @@ def _tagged(spark, sf) -> DataFrame:
     return docs.select("doc_id", F.concat(chosen, F.lit("\n"), F.col("text")).alias("body"))
 
 
-_P = "round((doc_id % 150) / 100.0::DOUBLE, 2) / 100"
-_TU = "(doc_id % 90 + 1) / 100.0::DOUBLE"
-_CONTEXT_ROWS = f"""SELECT doc_id, 'S' || doc_id AS series_id, 'C' || doc_id || 'a' AS class_id, 'c1' AS context_ref,
-    {_P} AS er, NULL::DOUBLE AS tu FROM documents WHERE doc_id % 5 = 0 UNION ALL
-  SELECT doc_id, NULL, 'C' || doc_id || 'b', 'c2', NULL, {_TU} FROM documents WHERE doc_id % 5 = 0"""
+view(
+    "tagged_documents",
+    """SELECT doc_id, CASE doc_id % 5
+      WHEN 0 THEN '<xbrl xmlns:dei="d"><dei:SeriesId contextRef="c1">S' || k || '</dei:SeriesId><dei:ClassContractId contextRef="c1"> C' || k
+        || 'a </dei:ClassContractId><dei:ClassContractId contextRef=''c2''>C' || k
+        || 'b</dei:ClassContractId><rr:NetExpenseRatio contextRef="c1" decimals="4">' || percent
+        || '%</rr:NetExpenseRatio><ix:nonFraction name="rr:PortfolioTurnoverRate" contextRef="c2">' || turn
+        || ' %</ix:nonFraction><rr:ExpenseRatio contextRef="c3">none</rr:ExpenseRatio></xbrl>'
+      WHEN 1 THEN '<xbrl><ix:nonFraction name="NetExpRatio">' || percent
+        || '%</ix:nonFraction><ix:nonFraction name="rr:turnover">n/a</ix:nonFraction><p>Portfolio turnover was ' || turn
+        || '% of the average</p></xbrl>'
+      WHEN 2 THEN '<xbrl/>The NET expense  ratio is ' || percent || ' %.'
+      WHEN 3 THEN '<xbrl>no data</xbrl>'
+      ELSE '<html>Class INV: expense ratio ' || percent || '%</html>' END || chr(10) || text AS body
+    FROM (SELECT doc_id, text, CAST(doc_id AS VARCHAR) AS k, printf('%.2f', (doc_id % 150) / 100.0::DOUBLE) AS percent,
+      CAST(doc_id % 90 + 1 AS VARCHAR) AS turn FROM documents)""",
+)
+
+
+def _quoted(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+def _attribute_sql(name: str) -> str:
+    pattern = rf"\b(?i:{name})\s*=\s*[\"']([^\"']*)[\"']"
+    return f"nullif(regexp_extract(regexp_extract(e, {_quoted(ixbrl.ELEMENT)}, 2), {_quoted(pattern)}, 1), '')"
+
+
+def _sentence_sql(pattern: str) -> str:
+    return f"TRY_CAST(nullif(regexp_extract(body, {_quoted(pattern)}, 1, 'i'), '') AS DOUBLE) / 100"
+
+
+def _hits(column: str, pattern: str) -> str:
+    return f"coalesce(regexp_matches({column}, {_quoted(pattern)}), false)"
+
+
+_LOCAL = "string_split(tag, ':')[-1]"
+_KNOWN_ROWS = "er IS NOT NULL OR tu IS NOT NULL"
+_CONTEXT_CTES = {
+    "tagged": f"""SELECT doc_id, {_sentence_sql(T.FALLBACK_EXPENSE)} AS s_expense, {_sentence_sql(T.FALLBACK_TURNOVER)} AS s_turnover,
+      list_filter(list_transform(regexp_extract_all(body, {_quoted(ixbrl.ELEMENT)}, 0), lambda e: struct_pack(
+        tag := regexp_extract(e, {_quoted(ixbrl.ELEMENT)}, 1), context_ref := {_attribute_sql("contextref")},
+        name := {_attribute_sql("name")}, body := trim(regexp_extract(e, {_quoted(ixbrl.ELEMENT)}, 3)))),
+        lambda e: e.body <> '' AND ({_hits("e.tag", ixbrl.WANTED)} OR {_hits("e.name", ixbrl.WANTED)}
+          OR {_hits("e.context_ref", ixbrl.WANTED)})) AS elements
+      FROM tagged_documents WHERE NOT {_HTML} OR {_XBRL}""",
+    "listed": "SELECT doc_id, k, e.* FROM (SELECT doc_id, k, elements[k] AS e FROM (SELECT doc_id, elements, unnest(range(1, len(elements) + 1)) AS k FROM tagged))",
+    "elements": f"""SELECT *, {_PERCENT} AS value, {_hits(_LOCAL, ixbrl.SERIES_TAG)} AS is_series, {_hits(_LOCAL, ixbrl.CLASS_TAG)} AS is_class,
+      {_hits(_LOCAL, ixbrl.EXPENSE_TAG)} OR {_hits("name", ixbrl.EXPENSE_TAG)} AS is_expense,
+      {_hits(_LOCAL, ixbrl.TURNOVER_TAG)} OR {_hits("name", ixbrl.TURNOVER_TAG)} AS is_turnover FROM listed""",
+    "contexts": f"""SELECT * FROM (SELECT doc_id, arg_max(body, k) FILTER (WHERE is_series) AS series_id,
+      arg_max(body, k) FILTER (WHERE is_class) AS class_id, context_ref,
+      arg_max(value, k) FILTER (WHERE is_expense AND value IS NOT NULL) AS er,
+      arg_max(value, k) FILTER (WHERE is_turnover AND value IS NOT NULL) AS tu
+      FROM elements WHERE context_ref IS NOT NULL GROUP BY doc_id, context_ref) WHERE {_KNOWN_ROWS}""",
+}
+_RECORD_CTES = {
+    **_CONTEXT_CTES,
+    **_prospectus_ctes("tagged_documents"),
+    "labelled": f"""SELECT doc_id, arg_min(value, k) FILTER (WHERE {_hits("label", ixbrl.LABEL_EXPENSE)} AND value IS NOT NULL) AS t_expense,
+      arg_min(value, k) FILTER (WHERE {_hits("label", ixbrl.LABEL_TURNOVER)} AND value IS NOT NULL) AS t_turnover
+      FROM (SELECT *, lower(coalesce(name, context_ref)) AS label FROM elements) WHERE contains(tag, 'non') GROUP BY doc_id""",
+    "records": f"""SELECT doc_id, series_id, class_id, context_ref, er, tu FROM contexts
+      UNION ALL SELECT doc_id, NULL, class_id, context_ref, er, tu FROM (SELECT {_CLASS_RECORD} FROM numbered)
+      UNION ALL SELECT * FROM (SELECT doc_id, NULL, NULL, 'fund_level', coalesce(t_expense, s_expense) AS er,
+        coalesce(t_turnover, s_turnover) AS tu FROM tagged LEFT JOIN labelled USING (doc_id)
+        WHERE doc_id NOT IN (SELECT doc_id FROM contexts)) WHERE {_KNOWN_ROWS}""",
+}
 _RECORD = f"doc_id, series_id, class_id, context_ref, {r('er', 'net_expense_ratio', 8)}, {r('tu', 'turnover_pct', 8)}"
 
 
-@query("context_join_facts", f"SELECT {_RECORD} FROM ({_CONTEXT_ROWS})", digits=8)
+@query("context_join_facts", over(["tagged_documents"], f"SELECT {_RECORD} FROM contexts", _CONTEXT_CTES), digits=8)
 def context_join_facts(spark, sf):
     return joins.context_join_facts(ixbrl.ixbrl_facts(ixbrl.scan_documents(_tagged(spark, sf))))
 
 
-@query(
-    "ixbrl_fact_extract",
-    f"""SELECT {_RECORD} FROM ({_CONTEXT_ROWS} UNION ALL
-      SELECT doc_id, NULL, NULL, 'fund_level', {_P}, {_TU} FROM documents WHERE doc_id % 5 = 1 UNION ALL
-      SELECT doc_id, NULL, NULL, 'fund_level', {_P}, NULL FROM documents WHERE doc_id % 5 = 2 UNION ALL
-      SELECT doc_id, NULL, 'INV', 'html_class_0', {_P}, NULL FROM documents WHERE doc_id % 5 = 4)""",
-    digits=8,
-)
+@query("ixbrl_fact_extract", over(["tagged_documents"], f"SELECT {_RECORD} FROM records", _RECORD_CTES), digits=8)
 def ixbrl_fact_extract(spark, sf):
     return ixbrl.extract_records(_tagged(spark, sf))
 
 
 @query(
     "fund_level_fallback",
-    f"""SELECT doc_id, class_id, {r('er', 'net_expense_ratio', 8)}, {r('tu', 'turnover_pct', 8)} FROM (
-      SELECT doc_id, 'C' || doc_id || 'b' AS class_id, NULL::DOUBLE AS er, {_TU} AS tu FROM documents WHERE doc_id % 5 = 0
-      UNION ALL SELECT doc_id, unnest(['C' || doc_id || 'b', 'C' || doc_id || 'z']), {_P},
-        CASE WHEN doc_id % 5 = 1 THEN {_TU} END FROM documents WHERE doc_id % 5 IN (1, 2)
-      UNION ALL SELECT doc_id, 'INV', {_P}, NULL FROM documents WHERE doc_id % 5 = 4)""",
+    over(["tagged_documents"], f"""SELECT doc_id, class_id, {r('er', 'net_expense_ratio', 8)}, {r('tu', 'turnover_pct', 8)}
+      FROM (SELECT * FROM own UNION ALL SELECT doc_id, class_id, er, tu FROM requested
+        JOIN (SELECT doc_id, min(er) AS er, min(tu) AS tu FROM records WHERE context_ref = 'fund_level' GROUP BY doc_id) USING (doc_id)
+        WHERE doc_id NOT IN (SELECT doc_id FROM own))""", {
+        **_RECORD_CTES,
+        "requested": """SELECT doc_id, unnest(CASE WHEN doc_id % 5 = 4 THEN ['C' || doc_id || 'b', 'C' || doc_id || 'z', 'INV']
+          ELSE ['C' || doc_id || 'b', 'C' || doc_id || 'z'] END) AS class_id FROM documents""",
+        "own": "SELECT doc_id, class_id, er, tu FROM requested JOIN records USING (doc_id, class_id)",
+    }),
     digits=8,
 )
 def fund_level_fallback(spark, sf):

@@ -18,9 +18,10 @@ EXPENSE_TAG = r"ExpenseRatio"
 TURNOVER_TAG = r"Turnover"
 LABEL_EXPENSE = r"netexpenseratio|netexp|expenseratio"
 LABEL_TURNOVER = r"portfolioturnover|turnover"
+WANTED = r"(?i)series|class|netexp|expenseratio|turnover"
 
 # An element with attributes and direct text: name, attributes, text up to the next tag.
-_ELEMENT = r"(?s)<([A-Za-z][\w:.-]*)((?:\s+[\w:.-]+\s*=\s*(?:\"[^\"]*\"|'[^']*'))+)\s*>([^<]*)"
+ELEMENT = r"(?s)<([A-Za-z][\w:.-]*)((?:\s+[\w:.-]+\s*=\s*(?:\"[^\"]*\"|'[^']*'))+)\s*>([^<]*)"
 
 
 def _attribute(attributes: Column, name: str) -> Column:
@@ -30,22 +31,21 @@ def _attribute(attributes: Column, name: str) -> Column:
 def _elements(body: Column) -> Column:
     """Attributed elements of one document that name a series, class, expense ratio or turnover."""
     found = F.transform(
-        F.regexp_extract_all(body, F.lit(_ELEMENT), 0),
+        F.regexp_extract_all(body, F.lit(ELEMENT), 0),
         lambda e: F.struct(
-            F.regexp_extract(e, _ELEMENT, 1).alias("tag"),
-            _attribute(F.regexp_extract(e, _ELEMENT, 2), "contextref").alias("context_ref"),
-            _attribute(F.regexp_extract(e, _ELEMENT, 2), "name").alias("name"),
-            F.trim(F.regexp_extract(e, _ELEMENT, 3)).alias("text_value"),
+            F.regexp_extract(e, ELEMENT, 1).alias("tag"),
+            _attribute(F.regexp_extract(e, ELEMENT, 2), "contextref").alias("context_ref"),
+            _attribute(F.regexp_extract(e, ELEMENT, 2), "name").alias("name"),
+            F.trim(F.regexp_extract(e, ELEMENT, 3)).alias("text_value"),
         ),
     )
-    wanted = "(?i)series|class|netexp|expenseratio|turnover"
     return F.filter(
         found,
         lambda e: (e["text_value"] != "")
         & (
-            e["tag"].rlike(wanted)
-            | F.coalesce(e["name"].rlike(wanted), F.lit(False))
-            | F.coalesce(e["context_ref"].rlike(wanted), F.lit(False))
+            e["tag"].rlike(WANTED)
+            | F.coalesce(e["name"].rlike(WANTED), F.lit(False))
+            | F.coalesce(e["context_ref"].rlike(WANTED), F.lit(False))
         ),
     )
 
