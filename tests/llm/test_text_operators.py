@@ -159,6 +159,19 @@ def test_next_document_when_a_key_holds_a_third_of_the_rows(spark, monkeypatch,
     assert max(tasks) < 60 and len({r.at for r in got if r.doc_id == hot}) >= 5
 
 
+@pytest.mark.parametrize("hot", [None, 150, 299])
+def test_next_document_when_a_third_of_the_rows_are_equal(spark, monkeypatch, hot):
+    """Repeated rows stay and follow each other, wherever in the order they stand."""
+    monkeypatch.setattr(sketches, "RANGE_BYTES", 400)
+    rows = [(k, f"text {k}") for k in range(300) if k != hot] + [(hot, "the same text")] * 150
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = sketches.with_next(frame, "doc_id", "text", {}).select("doc_id", "text", "next_text").collect()
+    line = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))
+    want = [(k, t, following[1]) for (k, t), following in zip(line, line[1:] + line[:1])]
+    plain = lambda r: (r[0] is not None, r[0] or 0, r[1], r[2])
+    assert sorted(map(plain, map(tuple, got))) == sorted(map(plain, want))
+
+
 # Secrets
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
