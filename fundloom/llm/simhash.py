@@ -375,20 +375,27 @@ def _linked(keyed: DataFrame, roots: DataFrame | None, texts: DataFrame, similar
 def _text_links(rows: DataFrame, similarity: float) -> DataFrame:
     """Links (u, v) between `th` that connect the texts whose shingles are alike by `similarity`.
 
-    Texts that agree in a band share its key. Of a key's texts links are drawn until all that are alike are connected.
-    The first bands connect most groups; the others only matter where texts of different components share a key. A
-    key of over `KEY_BYTES` is cut by every other band, and those finer keys are compared whole.
+    Texts whose fingerprints `near_links` connects share a key, and so do texts that agree in a band. Of a key's texts
+    links are drawn until all that are alike are connected. Fingerprints connect copies with few changes, the first
+    bands most of the other groups; a later key only matters where it has texts of different components. A key of over
+    `KEY_BYTES` is cut by every other band, and those finer keys are compared whole.
     """
+    prints = rows.select("fp").distinct()
+    near = materialize(components(near_links(prints)).withColumnRenamed("node", "fp"))
+    alike = rows.join(near, "fp", "left").select(F.xxhash64(F.lit(-1), F.coalesce("root", "fp")).alias("key"), "th")
+    mixed = alike.groupBy("key").agg(F.min("th").alias("lo"), F.max("th").alias("hi")).where("lo < hi")
+    alike = materialize(alike.join(mixed.select("key"), "key", "left_semi").distinct())
     bands = [F.xxhash64(F.lit(b), F.slice("sig", 1 + b * MINIMA, MINIMA)) for b in range(BANDS)]
     every = rows.select("th", F.posexplode(F.array(*bands)).alias("band", "key"))
     shared = every.groupBy("key").agg(F.min("th").alias("lo"), F.max("th").alias("hi")).where("lo < hi")
     members = materialize(every.join(shared.select("key"), "key", "left_semi").distinct())
-    busy = rows.join(members.select("th").distinct(), "th", "left_semi").dropDuplicates(["th"])
+    met = members.select("th").union(alike.select("th")).distinct()
+    busy = rows.join(met, "th", "left_semi").dropDuplicates(["th"])
     texts = materialize(busy.select("th", "sig", "shingles"))
     links: list[DataFrame] = []
-    for near in (F.col("band") < FIRST_BANDS, F.col("band") >= FIRST_BANDS):
+    banded = [members.where(c).select("key", "th") for c in (F.col("band") < FIRST_BANDS, F.col("band") >= FIRST_BANDS)]
+    for keyed in (alike.select("key", "th"), *banded):
         roots = materialize(components(reduce(DataFrame.unionByName, links)).withColumnRenamed("node", "th")) if links else None
-        keyed = members.where(near).select("key", "th")
         found = _linked(keyed, roots, texts, similarity, KEY_BYTES)
         links.append(found.where("v IS NOT NULL").select("u", "v"))
         large = found.where("v IS NULL").select("key", F.col("u").alias("th"))
@@ -407,15 +414,16 @@ def near_groups(
 ) -> DataFrame:
     """`key`, `text_hash`, `component_id` and `group` of every document: near duplicates by `similarity`.
 
-    Texts link if of all their distinct shingles of `words` words a share of `similarity` is common. Candidates agree
-    in one of `BANDS` bands of their signatures, and what decides is counted on all their shingles, so that a pair is
-    lost only with all its bands. `component_id` is the smallest key of a component; `group` tells components apart,
+    Texts link if of all their distinct shingles of `words` words a share of `similarity` is common. Candidates are
+    connected by their fingerprints, as in `near_duplicates`, or agree in one of `BANDS` bands of their signatures, and
+    what decides is counted on all their shingles, so that a pair is lost only with its fingerprints and all its bands. `component_id` is the smallest key of a component; `group` tells components apart,
     also those whose keys repeat or are null.
     """
     spark = docs.sparkSession
     own = docs.select(F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    rows = own.select("_key", F.xxhash64("_text").alias("th"), _features(spark, F.col("_text"), words).alias("f"))
-    rows = materialize(rows.select("_key", "th", "f.sig", "f.shingles"))
+    print_ = fingerprint(spark, F.col("_text"), words).alias("fp")
+    rows = own.select("_key", F.xxhash64("_text").alias("th"), print_, _features(spark, F.col("_text"), words).alias("f"))
+    rows = materialize(rows.select("_key", "th", "fp", "f.sig", "f.shingles"))
     rooted = materialize(components(_text_links(rows, similarity)).withColumnRenamed("node", "th"))
     whole = rows.select("_key", "th").join(rooted, "th", "left").withColumn("root", F.coalesce("root", "th"))
     names = materialize(whole.groupBy("root").agg(F.min("_key").alias("component_id")))

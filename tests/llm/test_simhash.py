@@ -178,3 +178,20 @@ def test_one_of_each_keeps_rows_of_other_groups_under_the_same_key(spark):
     frame = spark.createDataFrame([(k, " ".join(t)) for k, t in rows], "doc_id long, text string")
     kept = sorted(((r.doc_id, r.text[0]) for r in simhash.one_of_each(frame).collect()), key=str)
     assert kept == [(3, "d"), (7, "c"), (None, "a"), (None, "b")]
+
+
+def test_fingerprints_alone_find_close_copies(spark, monkeypatch):
+    """Copies whose fingerprints link are grouped also if no band serves them, and only if their shingles are alike."""
+    monkeypatch.setattr(simhash, "_signature", lambda hashes: np.arange(100, dtype=np.uint32) + np.uint32(hashes[0] >> np.uint64(33)))
+    monkeypatch.setattr(simhash, "MARGIN", 1.0)
+    rng = np.random.default_rng(11)
+    texts = []
+    for k in range(20):
+        t = [f"{k}w{i}" for i in rng.integers(0, 900, 300)]
+        texts += [t, [f"{k}new", *t]]
+    prints = [simhash.text_fingerprint(" ".join(t), 5) for t in texts]
+    linked = [i for i in range(20) if (prints[2 * i] ^ prints[2 * i + 1]).bit_count() <= 4]
+    assert len(linked) > 15
+    got = parted(spark, texts)
+    assert all(got[2 * i + 1] == 2 * i for i in linked)
+    assert all(g in (i, i - 1) for i, g in enumerate(got))
