@@ -15,15 +15,16 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from fundloom.llm.common import packed, small_batches, unpacked
+from fundloom.llm.common import give_back, packed, small_batches, unpacked
 
-#: Pieces of text whose ids a task keeps; beyond, it forgets them and goes on. Bounds memory, not results.
-KEPT_PIECES = 500_000
-#: Characters of text whose words are looked up together.
-CHUNK_CHARS = 8_000_000
+#: Pieces of text whose ids a task keeps; beyond, it keeps those of the last texts alone. Bounds memory, not results.
+KEPT_PIECES = 200_000
+#: Bytes of text, or of ids, that a worker turns into Python objects and passes on at once; a longer one stands alone.
+PART_BYTES = 2_000_000
 
 
 def byte_symbols() -> list[str]:
@@ -198,12 +199,19 @@ class Encoder:
         special = self.v.special
         self.words.add(list(special), np.array(list(special.values()), np.int32), np.ones(len(special), np.int64))
 
+    def keep(self, pieces: list[str]) -> None:
+        """Forget all but these pieces."""
+        known = self.pieces.gather([[p] for p in pieces])
+        self.forget()
+        self.pieces.add(pieces, *known)
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and how many each text has."""
         per_text = [t.replace("\n", " ").split(" ") for t in texts]
+        distinct = set().union(*per_text)
         if len(self.pieces.place) > KEPT_PIECES:
-            self.forget()
-        pieces = list(set().union(*per_text).difference(self.pieces.place))
+            self.keep(list(distinct.intersection(self.pieces.place)))
+        pieces = list(distinct.difference(self.pieces.place))
         if pieces:
             per_piece = [self.v.words(p) for p in pieces]
             words = list(set().union(*per_piece).difference(self.words.place))
@@ -213,16 +221,20 @@ class Encoder:
         return self.pieces.gather(per_text)
 
 
-def chunks(texts: list[str]) -> Iterator[list[str]]:
-    part, size = [], 0
-    for t in texts:
-        part.append(t)
-        size += len(t)
-        if size >= CHUNK_CHARS:
-            yield part
-            part, size = [], 0
-    if part:
-        yield part
+def parts(values: pa.Array) -> Iterator[pa.Array]:
+    """Texts or lists of ids in slices, in order, each of `PART_BYTES` at most or one value."""
+    if pa.types.is_null(values.type):
+        sizes = pa.nulls(len(values), pa.int32())
+    elif pa.types.is_list(values.type):
+        sizes = pc.multiply(pc.list_value_length(values), 4)
+    else:
+        sizes = pc.binary_length(values)
+    ends = np.cumsum(sizes.fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at, before = 0, 0
+    while at < len(values):
+        end = max(at + 1, int(np.searchsorted(ends, before + PART_BYTES, side="right")))
+        yield values[at:end]
+        at, before = end, int(ends[end - 1])
 
 
 def _definition(spark: SparkSession, tokenizer_path: str):
@@ -233,13 +245,9 @@ def _definition(spark: SparkSession, tokenizer_path: str):
 
 
 def _encoded(encoder: Encoder, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """All ids of a batch in a row, and where each text's begin."""
-    ids, counts = [np.empty(0, np.int32)], [np.empty(0, np.int64)]
-    for part in chunks([t or "" for t in texts.to_pylist()]):
-        some, sizes = encoder.encode(part)
-        ids.append(some)
-        counts.append(sizes)
-    return np.concatenate(ids), np.concatenate([[0], np.cumsum(np.concatenate(counts))])
+    """All ids of some texts in a row, and where each text's begin."""
+    ids, counts = encoder.encode([t or "" for t in texts.to_pylist()])
+    return ids, np.concatenate([[0], np.cumsum(counts)])
 
 
 def _listed(ids: np.ndarray, starts: np.ndarray) -> pa.Array:
@@ -260,15 +268,38 @@ class Decoder:
         return " ".join(t for t in map(self.tokens.__getitem__, ids.tolist()) if t is not None)
 
 
+def _encodings(definition: str, batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    encoder = Encoder(Vocabulary(definition))
+    for part in chain.from_iterable(map(parts, batches)):
+        yield _listed(*_encoded(encoder, part))
+
+
+def _decodings(definition: str, batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    decoder = Decoder(definition)
+    for part in chain.from_iterable(map(parts, batches)):
+        texts = []
+        for row in part:
+            known = row.values.drop_null().to_numpy() if row.is_valid else np.empty(0, np.int32)
+            texts.append(decoder.decode(known))
+        yield pa.array(texts, pa.string())
+
+
+def _round_trips(definition: str, batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    encoder, decoder = Encoder(Vocabulary(definition)), Decoder(definition)
+    for part in chain.from_iterable(map(parts, batches)):
+        ids, starts = _encoded(encoder, part)
+        texts = [decoder.decode(ids[s:e]) for s, e in zip(starts[:-1], starts[1:])]
+        yield pa.StructArray.from_arrays([_listed(ids, starts), pa.array(texts, pa.string())], ["ids", "decoded"])
+
+
 def encoded(spark: SparkSession, text: Column, tokenizer_path: str) -> Column:
     """The ids of a text, array<int>; none for a null or empty text."""
     definition = _definition(spark, tokenizer_path)
 
     @F.arrow_udf("array<int>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder = Encoder(Vocabulary(definition.value))
-        for batch in batches:
-            yield _listed(*_encoded(encoder, batch))
+        yield from _encodings(definition.value, batches)
+        give_back()
 
     return encode(text)
 
@@ -279,13 +310,8 @@ def decoded(spark: SparkSession, ids: Column, tokenizer_path: str) -> Column:
 
     @F.arrow_udf("string")
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        decoder = Decoder(definition.value)
-        for batch in batches:
-            texts = []
-            for row in batch:
-                known = row.values.drop_null().to_numpy() if row.is_valid else np.empty(0, np.int32)
-                texts.append(decoder.decode(known))
-            yield pa.array(texts, pa.string())
+        yield from _decodings(definition.value, batches)
+        give_back()
 
     return decode(ids)
 
@@ -296,11 +322,8 @@ def there_and_back(spark: SparkSession, text: Column, tokenizer_path: str) -> Co
 
     @F.arrow_udf("struct<ids:array<int>,decoded:string>")
     def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder, decoder = Encoder(Vocabulary(definition.value)), Decoder(definition.value)
-        for batch in batches:
-            ids, starts = _encoded(encoder, batch)
-            texts = [decoder.decode(ids[s:e]) for s, e in zip(starts[:-1], starts[1:])]
-            yield pa.StructArray.from_arrays([_listed(ids, starts), pa.array(texts, pa.string())], ["ids", "decoded"])
+        yield from _round_trips(definition.value, batches)
+        give_back()
 
     return both(text)
 

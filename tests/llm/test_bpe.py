@@ -1,8 +1,10 @@
 """Encoding agrees with the tokenizer library, and decoding with its join of tokens."""
 
 import hashlib
+import tracemalloc
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
@@ -73,3 +75,58 @@ def test_edges(edges, clashing, empty):
 def test_decoding_passes_over_unknown_ids(spark):
     ids = spark.createDataFrame([([1, None, 10**6, -1, 2],), (None,)], "ids array<int>")
     assert [r.decoded for r in bpe.decode_documents(ids, WORD_BPE).collect()] == ['" #', ""]
+
+
+def test_keeping_pieces_of_the_last_texts(vocabulary, monkeypatch):
+    monkeypatch.setattr(bpe, "KEPT_PIECES", 3)
+    encoder = bpe.Encoder(vocabulary)
+    for text in ["one two three four", "four it's <|endoftext|> one", "", "it's seven one", "two"]:
+        assert encoder.encode([text])[0].tolist() == expected(text)
+    assert set(encoder.pieces.place) <= {"", "it's", "seven", "one", "two"}
+
+
+def test_parts_hold_every_value_in_order(monkeypatch):
+    monkeypatch.setattr(bpe, "PART_BYTES", 8)
+    texts = ["cut off", "abcd", None, "", "efgh", "a text longer than a part", "ÄÖ", "i", None]
+    got = [p.to_pylist() for p in bpe.parts(pa.array(texts)[1:])]
+    assert got == [["abcd", None, "", "efgh"], ["a text longer than a part"], ["ÄÖ", "i", None]]
+    ids = [[1], None, [2], [3, None, 5], [], [6]]
+    assert [p.to_pylist() for p in bpe.parts(pa.array(ids))] == [[[1], None, [2]], [[3, None, 5]], [[], [6]]]
+    assert list(bpe.parts(pa.array([], pa.string()))) == []
+    assert [len(p) for p in bpe.parts(pa.nulls(3))] == [3]
+
+
+def test_columns_in_many_parts(spark, edges, monkeypatch):
+    monkeypatch.setattr(bpe, "PART_BYTES", 64)
+    monkeypatch.setattr(bpe, "KEPT_PIECES", 5)
+    odd = spark.createDataFrame([(i, t) for i, t in enumerate([*ODD, None] * 3)], "doc_id long, text string").coalesce(2)
+    for docs in (odd, edges):
+        rows = bpe.round_trip_documents(docs, WORD_BPE).collect()
+        assert len(rows) == docs.count()
+        for r in rows:
+            assert r.ids == expected(r.text or "") and r.decoded == LIBRARY.decode(r.ids, skip_special_tokens=False)
+        apart = bpe.decode_documents(bpe.encode_documents(docs, WORD_BPE), WORD_BPE)
+        assert sorted(map(repr, apart.collect())) == sorted(map(repr, rows))
+
+
+def test_memory_follows_the_part_not_the_batch(vocabulary):
+    texts = pa.array([" ".join(f"w{j % 997}" for j in range(i, i + 4000)) for i in range(300)])
+    peaks, counts = [], []
+    for batches in ([texts], bpe.parts(texts)):
+        encoder = bpe.Encoder(vocabulary)
+        tracemalloc.start()
+        counts.append(sum(len(bpe._encoded(encoder, part)[0]) for part in batches))
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert counts[0] == counts[1] and peaks[1] < peaks[0] / 2
+
+
+def test_a_large_batch_is_passed_on_in_parts():
+    called = []
+    texts = pa.array([" ".join(f"w{i}" for i in range(200_000))] * 3)
+    with open(WORD_BPE, encoding="utf-8") as f:
+        definition = f.read()
+    for _ in bpe._round_trips(definition, iter([texts])):
+        called.append(1)
+    bpe.give_back()
+    assert len(called) == 3  # texts of over half a part
