@@ -11,18 +11,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from fundloom.llm.common import SPACES, small_batches
+from fundloom.llm.common import SPACES, give_back, small_batches
 from fundloom.session import materialize
 
 #: Words of a window.
 WINDOW = 20
 _FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # odd multipliers of the two window hashes
 _ROWS = 200_000
-#: Words whose hashes a task keeps at hand, and texts it knows again; beyond, it forgets them.
-_KEPT_WORDS = 500_000
+#: Texts that a task knows again; beyond, it forgets them.
+_KEPT_TEXTS = 500_000
+#: Bytes of texts that are taken apart at once; memory follows this and the longest text.
+PART_BYTES = 2_000_000
+_LOW = np.uint64((1 << 32) - 1)
+_LONG = 64  # bytes of a word that is hashed by itself
+_FIRST_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 
 def levels(window: int) -> list[int]:
@@ -35,17 +41,62 @@ def levels(window: int) -> list[int]:
     return found
 
 
-class _Hashes(dict):
-    """The hash of each word, computed when it is first asked for."""
+def word_hashes(words: pa.Array) -> np.ndarray:
+    """The hash of each word: its length, then eight bytes at a time, mixed in; of long words XXH64."""
+    ends = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+    letters = np.frombuffer(words.buffers()[2] or b"", np.uint8)
+    padded = np.concatenate([letters, np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(letters) + 1, "<u8", padded, strides=(1,))  # the eight bytes from each one on
+    at, sizes = ends[:-1], np.diff(ends)
+    hashes = sizes.astype(np.uint64) * np.uint64(_FACTORS[0])
+    on = slice(None)
+    for done in range(0, min(_LONG, int(sizes.max(initial=0))), 8):
+        if done:
+            on = np.flatnonzero(sizes > done)
+        kept = _FIRST_BYTES[np.minimum(sizes[on] - done, 8)]
+        hashes[on] = _mixed(hashes[on] ^ (eight[np.minimum(at[on] + done, len(letters))] & kept))
+    for i in np.flatnonzero(sizes > _LONG).tolist():
+        hashes[i] = xxhash.xxh64_intdigest(letters[ends[i] : ends[i + 1]])
+    return hashes
 
-    def __missing__(self, word: bytes) -> int:
-        found = self[word] = xxhash.xxh64_intdigest(word)
-        return found
 
-    def of(self, words: list[bytes]) -> np.ndarray:
-        if len(self) > _KEPT_WORDS:
-            self.clear()
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+class _Words:
+    """The words of several texts, one text after the other; blank texts count as one empty word."""
+
+    def __init__(self, texts: pa.Array):
+        self.lists = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(pc.fill_null(texts, "")))
+        self.sizes = _sizes(self.lists)
+        self.starts = _before(self.sizes)
+        self.text = np.repeat(np.arange(len(self.sizes)), self.sizes)
+
+    def inside(self, window: int) -> np.ndarray:
+        """For each position whether a window from there on ends in the same text; as many as there are windows."""
+        n = max(0, len(self.text) - window + 1)
+        return self.text[:n] == self.text[len(self.text) - n :]
+
+
+def _sizes(lists: pa.Array) -> np.ndarray:
+    return pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _before(sizes: np.ndarray) -> np.ndarray:
+    return np.cumsum(sizes) - sizes
+
+
+def _lists(values: pa.Array, sizes: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32)), values)
+
+
+def _slices(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.RecordBatch]:
+    """The batches in slices whose texts have about `PART_BYTES` together, or one text."""
+    for batch in batches:
+        if batch.num_rows:
+            sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy()
+            part = np.cumsum(sizes, dtype=np.int64) // PART_BYTES
+            edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+            for at, end in zip(edges, edges[1:]):
+                yield batch.slice(at, end - at)
+    give_back()
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -54,42 +105,39 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def window_hashes(words: np.ndarray, lengths: list[int], which: int = 0) -> list[np.ndarray]:
-    """For each length, the hash of the words from each position on; a length is twice the one before."""
+def window_hashes(words: np.ndarray, length: int, which: int = 0) -> np.ndarray:
+    """The hash of the `length` words from each position on, found by doubling."""
     factor = _FACTORS[which]
-    power, now, size, found = factor, words, 1, []
-    for length in lengths:
-        if size == 1:
-            n = max(0, len(words) - length + 1)
-            now = np.zeros(n, np.uint64)
-            for j in range(length):
-                now = now * np.uint64(factor) + words[j : j + n]
-            power, size = pow(factor, length, 1 << 64), length
-        else:
-            n = max(0, len(words) - length + 1)
-            now = now[:n] * np.uint64(power) + now[size : size + n]
-            power, size = pow(power, 2, 1 << 64), length
-        found.append(now)
-    return [_mixed(h) for h in found]
+    now, power, size = words, factor, 1
+    for bit in bin(length)[3:]:
+        n = max(0, len(words) - 2 * size + 1)
+        now, power, size = now[:n] * np.uint64(power) + now[size : size + n], pow(power, 2, 1 << 64), 2 * size
+        if bit == "1":
+            n = max(0, len(words) - size)
+            now = now[:n] * np.uint64(factor) + words[size : size + n]
+            power, size = power * factor % (1 << 64), size + 1
+    return _mixed(now)
 
 
 def chosen_parts(hashes: np.ndarray, window: int, length: int) -> np.ndarray:
-    """For each window the position of its part of least hash, the leftmost if equal."""
-    inside = window - length + 1
+    """For each window the position of its part of least hash (of the upper 32 bits), the leftmost if equal."""
+    inside, size = window - length + 1, 1
     if len(hashes) < inside:
         return np.empty(0, np.int64)
-    view = np.lib.stride_tricks.sliding_window_view(hashes, inside)
-    return np.arange(len(view)) + view.argmin(axis=1)
+    least = (hashes & ~_LOW) | np.arange(len(hashes), dtype=np.uint64)
+    while 2 * size <= inside:
+        least, size = np.minimum(least[:-size], least[size:]), 2 * size
+    if size < inside:
+        least = np.minimum(least[: size - inside], least[inside - size :])
+    return (least & _LOW).astype(np.int64)
 
 
 def _spans(words: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """A hash of the words of each stretch."""
-    factor = np.uint64(_FACTORS[1])
-    out = np.zeros(len(starts), np.uint64)
-    for j in range(int(sizes.max()) if len(sizes) else 0):
-        on = sizes > j
-        out[on] = out[on] * factor + words[starts[on] + j]
-    return _mixed(out)
+    """A hash of the words of each stretch: the difference of two sums, moved to where the stretch starts."""
+    back = np.cumprod(np.append(np.uint64(1), np.full(len(words), pow(_FACTORS[1], -1, 1 << 64), np.uint64)))
+    ahead = np.cumprod(np.append(np.uint64(1), np.full(len(words), _FACTORS[1], np.uint64)))
+    sums = np.append(np.uint64(0), np.cumsum(words * back[:-1]))
+    return _mixed((sums[starts + sizes] - sums[starts]) * ahead[starts])
 
 
 def _signed(x: np.ndarray) -> pa.Array:
@@ -121,59 +169,67 @@ class _Rows:
                 yield pa.record_batch(arrays, self.names)
 
 
-def _survivors(column: pa.Array, i: int) -> np.ndarray:
-    return column[i].values.to_numpy(zero_copy_only=False)
+def _changes(*columns: np.ndarray) -> np.ndarray:
+    """Where a row differs from the one before in any of the columns; the first row does."""
+    differ = np.ones(len(columns[0]), bool)
+    differ[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return np.flatnonzero(differ)
 
 
 def _first_level(window: int):
     """Rows (h, d, p) of the chosen parts of the first length, from texts; of equal texts in a task, once."""
-    lengths = levels(window)
+    length = levels(window)[0]
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, hashes, seen = _Rows(["h", "d", "p"]), _Hashes(), set()
-        for batch in batches:
-            for text in batch.column(0):
-                found = (text.as_py() or "").encode().split()
-                if len(found) < window:
-                    continue
-                d = xxhash.xxh64_intdigest(b" ".join(found), 42)
-                if d in seen:
-                    continue
-                if len(seen) >= _KEPT_WORDS:
-                    seen.clear()
-                seen.add(d)
-                (h,) = window_hashes(hashes.of(found), lengths[:1])
-                at = np.unique(chosen_parts(h, window, lengths[0]))
-                rows.add(h[at], np.full(len(at), d, np.uint64), at.astype(np.int32))
-                yield from rows.full()
+        rows, seen = _Rows(["h", "d", "p"]), set()
+        for batch in _slices(batches, 0):
+            words = _Words(batch.column(0))
+            joined = pc.binary_join(words.lists, " ").cast(pa.binary())
+            d, new = np.zeros(len(joined), np.uint64), np.zeros(len(joined), bool)
+            for i in np.flatnonzero(words.sizes >= window).tolist():
+                d[i] = one = xxhash.xxh64_intdigest(joined[i].as_buffer(), 42)
+                if one not in seen:
+                    if len(seen) >= _KEPT_TEXTS:
+                        seen.clear()
+                    seen.add(one)
+                    new[i] = True
+            h = window_hashes(word_hashes(words.lists.flatten()), length)
+            live = np.flatnonzero(words.inside(window) & new[words.text[: max(0, len(words.text) - window + 1)]])
+            at = chosen_parts(h, window, length)[live]
+            at = at[_changes(at)]
+            text = words.text[at]
+            rows.add(h[at], d[text], (at - words.starts[text]).astype(np.int32))
+            yield from rows.full()
         yield from rows.rest()
 
     return emit
 
 
-def _live(words: np.ndarray, window: int, level: int, marks: np.ndarray, lengths: list[int]):
-    """The windows whose chosen part of the length at `level` is among the repeated ones, these parts, and the
-    hashes of that length."""
-    h = window_hashes(words, lengths[: level + 1])[-1]
-    parts = chosen_parts(h, window, lengths[level])
-    live = np.flatnonzero(np.isin(parts, marks))
-    return live, parts[live], h
+def _live(words: _Words, marks: pa.Array, h: np.ndarray, window: int, length: int):
+    """The windows whose chosen part of `length` is among the repeated ones, and these parts."""
+    marked = np.zeros(len(words.text) + 1, bool)
+    marked[np.repeat(words.starts, _sizes(marks)) + marks.flatten().to_numpy()] = True
+    parts = chosen_parts(h, window, length)
+    live = np.flatnonzero(words.inside(window) & marked[parts])
+    return live, parts[live]
 
 
 def _next_level(window: int, level: int):
     """Rows (h, d, p) of the chosen parts of a middle length, from texts with the repeated parts before."""
-    lengths = levels(window)
+    before, length = levels(window)[level - 1 : level + 1]
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, hashes = _Rows(["h", "d", "p"]), _Hashes()
-        for batch in batches:
-            for i in range(batch.num_rows):
-                words = hashes.of(batch.column(1)[i].as_py().encode().split())
-                live, _, _ = _live(words, window, level - 1, _survivors(batch.column(2), i), lengths)
-                h = window_hashes(words, lengths[: level + 1])[-1]
-                at = np.unique(chosen_parts(h, window, lengths[level])[live])
-                rows.add(h[at], np.full(len(at), batch.column(0)[i].as_py(), np.int64), at.astype(np.int32))
-                yield from rows.full()
+        rows = _Rows(["h", "d", "p"])
+        for batch in _slices(batches, 1):
+            words = _Words(batch.column(1))
+            each = word_hashes(words.lists.flatten())
+            live, _ = _live(words, batch.column(2), window_hashes(each, before), window, before)
+            h = window_hashes(each, length)
+            at = chosen_parts(h, window, length)[live]
+            at = at[_changes(at)]
+            text = words.text[at]
+            rows.add(h[at], batch.column(0).to_numpy()[text], (at - words.starts[text]).astype(np.int32))
+            yield from rows.full()
         yield from rows.rest()
 
     return emit
@@ -182,43 +238,51 @@ def _next_level(window: int, level: int):
 def _stretches(window: int, level: int):
     """Rows (h, d, s, n, words) from texts with their repeated parts: one for each run of windows that share
     such a part, with the part's hash, where the run starts, how many windows it has and a hash of its words."""
-    lengths = levels(window)
+    length = levels(window)[level]
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, hashes = _Rows(["h", "d", "s", "n", "words"]), _Hashes()
-        for batch in batches:
-            for i in range(batch.num_rows):
-                words = hashes.of(batch.column(1)[i].as_py().encode().split())
-                live, at, h = _live(words, window, level, _survivors(batch.column(2), i), lengths)
-                if not len(live):
-                    continue
-                heads = np.append(0, np.flatnonzero((np.diff(live) != 1) | (np.diff(at) != 0)) + 1)
-                n = np.diff(np.append(heads, len(live)))
-                s = live[heads]
-                rows.add(
-                    h[at[heads]], np.full(len(s), batch.column(0)[i].as_py(), np.int64),
-                    s.astype(np.int32), n.astype(np.int32), _spans(words, s, n + window - 1),
-                )
-                yield from rows.full()
+        rows = _Rows(["h", "d", "s", "n", "words"])
+        for batch in _slices(batches, 1):
+            words = _Words(batch.column(1))
+            each = word_hashes(words.lists.flatten())
+            h = window_hashes(each, length)
+            live, at = _live(words, batch.column(2), h, window, length)
+            if not len(live):
+                continue
+            heads = _changes(live - np.arange(len(live)), at)
+            n = np.diff(np.append(heads, len(live)))
+            s, text = live[heads], words.text[live[heads]]
+            rows.add(
+                h[at[heads]], batch.column(0).to_numpy()[text], (s - words.starts[text]).astype(np.int32),
+                n.astype(np.int32), _spans(each, s, n + window - 1),
+            )
+            yield from rows.full()
         yield from rows.rest()
 
     return emit
 
 
+def _runs(words: _Words, runs: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Where the runs (s, n) of each text start among all `words`, and their n."""
+    s, n = (c.to_numpy().astype(np.int64) for c in runs.flatten().flatten())
+    return np.repeat(words.starts, _sizes(runs)) + s, n
+
+
 def _whole_windows(window: int):
     """Rows (h, g, d, s) of single windows, two hashes each, from texts with the runs (s, n) to open."""
-    lengths = levels(window)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, hashes = _Rows(["h", "g", "d", "s"]), _Hashes()
-        for batch in batches:
-            for i in range(batch.num_rows):
-                words = hashes.of(batch.column(1)[i].as_py().encode().split())
-                runs = batch.column(2)[i].as_py()
-                at = np.concatenate([np.arange(r["s"], r["s"] + r["n"]) for r in runs])
-                h, g = (window_hashes(words, lengths, w)[-1] for w in (0, 1))
-                rows.add(h[at], g[at], np.full(len(at), batch.column(0)[i].as_py(), np.int64), at.astype(np.int32))
-                yield from rows.full()
+        rows = _Rows(["h", "g", "d", "s"])
+        for batch in _slices(batches, 1):
+            words = _Words(batch.column(1))
+            each = word_hashes(words.lists.flatten())
+            s, n = _runs(words, batch.column(2))
+            at = np.repeat(s - _before(n), n) + np.arange(n.sum())
+            h, g = (window_hashes(each, window, w) for w in (0, 1))
+            text = words.text[at]
+            d = batch.column(0).to_numpy()[text]
+            rows.add(h[at], g[at], d, (at - words.starts[text]).astype(np.int32))
+            yield from rows.full()
         yield from rows.rest()
 
     return emit
@@ -291,25 +355,26 @@ def _cut(window: int):
     """(d, kept, n_removed, spans) from texts and their runs of repeated windows."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kept, gone, spans = [], [], []
-            for i in range(batch.num_rows):
-                words = batch.column(1)[i].as_py().encode().split()
-                edge = np.zeros(len(words) + 1, np.int64)
-                for r in batch.column(2)[i].as_py():
-                    edge[r["s"]] += 1
-                    edge[r["s"] + r["n"] + window - 1] -= 1
-                covered = np.cumsum(edge[:-1]) > 0
-                step = np.diff(np.concatenate([[0], covered.astype(np.int8), [0]]))
-                starts, ends = np.flatnonzero(step == 1).tolist(), np.flatnonzero(step == -1).tolist()
-                kept.append(b" ".join(words[k] for k in np.flatnonzero(~covered).tolist()).decode())
-                gone.append(int(covered.sum()))
-                spans.append([{"start": s, "end": e} for s, e in zip(starts, ends)])
-            span = pa.struct([("start", pa.int32()), ("end", pa.int32())])
+        for batch in _slices(batches, 1):
+            words = _Words(batch.column(1))
+            s, n = _runs(words, batch.column(2))
+            total, count = len(words.text), batch.num_rows
+            edge = np.bincount(s, minlength=total + 1) - np.bincount(s + n + window - 1, minlength=total + 1)
+            covered = np.cumsum(edge[:-1]) > 0
+            left = words.lists.flatten().filter(pa.array(~covered))
+            left = _lists(left, np.bincount(words.text[~covered], minlength=count))
+            gone = np.bincount(words.text[covered], minlength=count)
+            # a span ends with its text, whatever the next one starts with
+            kind = np.where(covered, words.text + 1, 0)
+            starts = np.flatnonzero(covered & (np.append(0, kind[:-1]) != kind))
+            ends = np.flatnonzero(covered & (np.append(kind[1:], 0) != kind)) + 1
+            text = words.text[starts]
+            bounds = [pa.array((x - words.starts[text]).astype(np.int32)) for x in (starts, ends)]
+            spans = _lists(pa.StructArray.from_arrays(bounds, ["start", "end"]), np.bincount(text, minlength=count))
             yield pa.record_batch(
-                [batch.column(0), pa.array(kept, pa.string()), pa.array(gone, pa.int64()), pa.array(spans, pa.list_(span))],
+                [batch.column(0), pc.binary_join(left, " "), pa.array(gone), spans],
                 ["d", "kept", "n_removed", "spans"],
-            )
+            )
 
     return emit
 

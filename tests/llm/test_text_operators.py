@@ -7,6 +7,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from compare import connect, difference
@@ -77,6 +78,62 @@ def test_passages_edges(edges, clashing, empty):
         passages.repeated_passages(empty, 7)
 
 
+def test_words_are_hashed_together(monkeypatch):
+    """A call for each text and each word of over 64 bytes, none for each word."""
+    calls, real = [], xxhash.xxh64_intdigest
+    monkeypatch.setattr(passages.xxhash, "xxh64_intdigest", lambda *given: calls.append(given) or real(*given))
+    texts = [" ".join(f"w{k}x{i}" for i in range(200)) for k in range(50)]
+    batch = pa.record_batch([pa.array([*texts, None, "", " \t ", "y" * 70])], ["text"])
+    rows = pa.Table.from_batches(passages._first_level(20)(iter([batch])))
+    assert len(set(rows["d"].to_pylist())) == 50 and len(calls) == 51
+
+
+def test_word_hashes_tell_words_apart():
+    words = ["", "a", "a\0", "a\0\0", "ab", "ß", *("q" * n for n in range(1, 80)), *("q" * n + "r" for n in range(80))]
+    hashes = passages.word_hashes(pa.array(words + words))
+    assert (hashes[: len(words)] == hashes[len(words) :]).all() and len(set(hashes.tolist())) == len(words)
+    for n in range(0, len(words), 7):
+        assert (passages.word_hashes(pa.array(words)[n : n + 9]) == hashes[n : min(n + 9, len(words))]).all()
+    assert len(passages.word_hashes(pa.array([], pa.string()))) == 0
+
+
+def test_parts_of_batches_change_nothing(monkeypatch):
+    """Texts side by side share no window, part or span, however many are taken at once."""
+    rng = np.random.default_rng(3)
+    texts = [" \x0b".join(rng.choice(list("abcdefgh"), n)) + " \n" for n in [0, 1, 7, 8, 9, 30, 19, 25, 40]] + [None]
+    ids, window = list(range(len(texts))), 8
+    words = [(t or "").split() for t in texts]
+    starts = [np.arange(max(0, len(w) - window + 1)).tolist() for w in words]
+    runs = [[{"s": s, "n": 1} for s in (own[:1] + own[-1:])] for own in starts]
+    span = pa.list_(pa.struct([("s", pa.int32()), ("n", pa.int32())]))
+    batch = pa.record_batch([pa.array(ids), pa.array(texts), pa.array(runs, span)], ["d", "text", "runs"])
+    marks = pa.array([list(range(max(0, len(w) - 4 + 1))) for w in words], pa.list_(pa.int32()))  # every part of 4
+    marked = pa.record_batch([batch.column(0), batch.column(1), marks], ["d", "text", "marks"])
+    given = {
+        passages._first_level: pa.record_batch([batch.column(1)], ["text"]), passages._cut: batch,
+        passages._whole_windows: batch, lambda w: passages._stretches(w, 0): marked,
+        lambda w: passages._next_level(w, 1): marked,
+    }
+    for step, rows in given.items():
+        found = []
+        for size in (1 << 20, 60, 1):
+            monkeypatch.setattr(passages, "PART_BYTES", size)
+            found.append(pa.Table.from_batches(step(window)(iter([rows, rows.slice(0, 0), rows.slice(4)]))).to_pylist())
+        assert found[0] and found[0] == found[1] == found[2]
+    for row, own in zip(pa.Table.from_batches(passages._cut(window)(iter([batch]))).to_pylist(), words):
+        gone = {k for s in (0, len(own) - window) for k in range(s, s + window)} if len(own) >= window else set()
+        assert row["kept"] == " ".join(w for k, w in enumerate(own) if k not in gone) and row["n_removed"] == len(gone)
+        assert sorted(k for one in row["spans"] for k in range(one["start"], one["end"])) == sorted(gone)
+    stretches = pa.Table.from_batches(passages._stretches(window, 0)(iter([marked]))).to_pylist()
+    covered = [(r["d"], s) for r in stretches for s in range(r["s"], r["s"] + r["n"])]
+    assert covered == [(d, s) for d, own in zip(ids, starts) for s in own]
+    kinds = {}
+    for r in stretches:
+        kinds.setdefault((r["words"], r["n"]), set()).add(tuple(words[r["d"]][r["s"] : r["s"] + r["n"] + window - 1]))
+    assert all(len(same) == 1 for same in kinds.values())
+    assert len(kinds) == len(set().union(*kinds.values()))
+
+
 # Fingerprints
 
 
